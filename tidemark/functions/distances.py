@@ -11,6 +11,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def total_variation() -> Column:
@@ -58,7 +59,7 @@ def _upper_gamma(shape: float, x: float) -> float:
     return scale / (x + 1 - shape + fraction)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_squared_p_value(statistic: pd.Series, degrees: pd.Series) -> pd.Series:
     """Tail probability of the chi-squared distribution. Runs on finished aggregates, one row per test."""
     return pd.Series(
