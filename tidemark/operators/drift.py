@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import distances
@@ -16,9 +16,22 @@ WINDOW = ["window_start", "window_end"]
 
 
 def distribution(df: DataFrame, monitor: Monitor, columns: Sequence[str] | None = None) -> DataFrame:
-    """Share ``p`` of each value per window, model, slice and column; nulls are left out."""
+    """Share ``p`` of each value per window, model, slice and column; nulls are left out.
+
+    ``next_start`` / ``next_end`` name the following window of the series that exists and
+    ``has_previous`` says whether there is an earlier one; both come from the totals, which
+    have one row per window and series.
+    """
     counts = value_counts(df, monitor, columns or monitor.categorical).filter(F.col("value").isNotNull())
+    line = Window.partitionBy(*SERIES).orderBy("window_start")
     totals = counts.groupBy(*GROUP, "column_name").agg(F.sum("n").alias("total"))
+    totals = totals.withColumns(
+        {
+            "next_start": F.lead("window_start").over(line),
+            "next_end": F.lead("window_end").over(line),
+            "has_previous": F.lag("window_start").over(line).isNotNull(),
+        }
+    )
     shares = counts.join(totals, [*GROUP, "column_name"])
     return shares.withColumn("p", F.col("n") / F.col("total"))
 
@@ -35,11 +48,18 @@ def _distances(sides: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _sides(current: DataFrame, reference: DataFrame, by: Sequence[str]) -> DataFrame:
+def _side(start: str, end: str, current: bool) -> Column:
+    """One distribution row as the current or the reference side of the pair at a window."""
     zero, none = F.lit(0.0), F.lit(0).cast("long")
-    left = current.select(*by, "value", F.col("p"), zero.alias("q"), F.col("n").alias("a"), none.alias("b"))
-    right = reference.select(*by, "value", zero.alias("p"), F.col("p").alias("q"), none.alias("a"), F.col("n").alias("b"))
-    return left.unionByName(right)
+    p, n = F.col("p"), F.col("n")
+    return F.struct(
+        F.col(start).alias("window_start"),
+        F.col(end).alias("window_end"),
+        (p if current else zero).alias("p"),
+        (zero if current else p).alias("q"),
+        (n if current else none).alias("a"),
+        (none if current else n).alias("b"),
+    )
 
 
 def _finish(found: DataFrame, kind: str, p_value: bool) -> DataFrame:
@@ -55,18 +75,15 @@ def _finish(found: DataFrame, kind: str, p_value: bool) -> DataFrame:
 def consecutive_drift(shares: DataFrame, p_value: bool = False) -> DataFrame:
     """Each window against the previous window that exists; the first window has no row.
 
-    Both windows of a pair are put under the later one and summed, so the value
-    tables meet in one aggregate instead of an outer join.
+    Every value row counts for its own window and, as reference, for the next one. The two
+    sides of a pair then meet in one aggregate, without joining the table to itself.
     """
-    by = [*SERIES, *WINDOW]
-    windows = shares.select(*by).distinct()
-    # One row per window and series: short enough for one task each.
-    before = F.lag("window_start").over(Window.partitionBy(*SERIES).orderBy("window_start"))
-    pairs = windows.withColumn("_before", before).filter(F.col("_before").isNotNull())
-    current = shares.join(pairs.drop("_before", "window_end"), [*SERIES, "window_start"], "left_semi")
-    earlier = shares.drop("window_end").withColumnRenamed("window_start", "_before")
-    reference = earlier.join(pairs, [*SERIES, "_before"])
-    return _finish(_distances(_sides(current, reference, by), by), "CONSECUTIVE", p_value)
+    own, following = _side("window_start", "window_end", True), _side("next_start", "next_end", False)
+    sides = F.array_compact(
+        F.array(F.when(F.col("has_previous"), own), F.when(F.col("next_start").isNotNull(), following))
+    )
+    rows = shares.select(*SERIES, "value", F.inline(sides))
+    return _finish(_distances(rows, [*SERIES, *WINDOW]), "CONSECUTIVE", p_value)
 
 
 def baseline_drift(shares: DataFrame, baseline: DataFrame, columns: Sequence[str], p_value: bool = False) -> DataFrame:
@@ -81,10 +98,15 @@ def baseline_drift(shares: DataFrame, baseline: DataFrame, columns: Sequence[str
     totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
     fixed = counts.join(totals, "column_name").withColumn("p", F.col("n") / F.col("total"))
     by = [*SERIES, *WINDOW]
-    windows = shares.select(*by).distinct().join(totals.select("column_name"), "column_name", "left_semi")
-    reference = windows.join(fixed, "column_name")
-    current = shares.join(totals.select("column_name"), "column_name", "left_semi")
-    return _finish(_distances(_sides(current, reference, by), by), "BASELINE", p_value)
+    watched = shares.filter(F.col("column_name").isin(list(columns)))
+    reference = watched.select(*by).distinct().join(fixed, "column_name")
+    own, other = _side("window_start", "window_end", True), _side("window_start", "window_end", False)
+    rows = watched.select(*SERIES, "value", F.inline(F.array(own))).unionByName(
+        reference.select(*SERIES, "value", F.inline(F.array(other)))
+    )
+    # A column that is empty in the baseline has nothing to be compared with.
+    known = totals.select("column_name")
+    return _finish(_distances(rows.join(known, "column_name", "left_semi"), by), "BASELINE", p_value)
 
 
 def performance_series(profile: DataFrame, metric: str, model: str, since: str | None = None) -> DataFrame:
@@ -129,11 +151,15 @@ def drift_series(
 def all_metrics(performance: DataFrame, drift: DataFrame, drift_columns: Sequence[str]) -> DataFrame:
     """Performance joined with drift by time and model.
 
-    Without any drift rows the performance stands alone, with null drift.
+    Only times with drift are kept; without any drift rows the performance stands alone,
+    with null drift. Both cases are one plan.
     """
-    if drift.isEmpty():
-        return performance.withColumns({c: F.lit(None).cast("double") for c in drift_columns})
-    return performance.join(drift, ["time", "model_id"])
+    # One row; the constant key only carries it to every performance row.
+    present = drift.agg(F.count(F.lit(1)).alias("_present")).withColumn("_one", F.lit(1))
+    marked = drift.withColumn("_found", F.lit(True))
+    joined = performance.join(marked, ["time", "model_id"], "left").withColumn("_one", F.lit(1))
+    kept = joined.join(F.broadcast(present), "_one").filter((F.col("_present") == 0) | F.col("_found").isNotNull())
+    return kept.select(*performance.columns, *drift_columns)
 
 
 @dataclass(frozen=True)

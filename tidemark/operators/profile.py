@@ -47,9 +47,11 @@ def with_grain(df: DataFrame, monitor: Monitor) -> DataFrame:
     span = F.window(monitor.time_col, monitor.granularity)
     model = F.lit(ALL_MODELS) if monitor.model_col is None else F.col(monitor.model_col).cast("string")
     added = {f"_slice{i}": F.expr(s).cast("string") for i, s in enumerate(monitor.slices)}
-    return df.withColumns({"_window": span, "_model": model, **added}).withColumns(
+    marked = df.withColumns({"_window": span, "_model": model, **added}).withColumns(
         {"window_start": F.col("_window.start"), "window_end": F.col("_window.end")}
     )
+    # Stated here so that all plans built on the same grain scan alike and share one exchange.
+    return marked.filter(F.col("window_start").isNotNull() & F.col("window_end").isNotNull())
 
 
 def expand(base: DataFrame, monitor: Monitor) -> DataFrame:
@@ -125,7 +127,7 @@ def profile_numeric(df: DataFrame, monitor: Monitor) -> DataFrame:
             (F.col("_rows") - n).alias("num_nulls"),
             (F.lit(100.0) * (F.col("_rows") - n) / F.col("_rows")).alias("percent_null"),
             mean.alias("avg"),
-            F.sqrt(variance).alias("stddev"),
+            F.when(n > 0, F.sqrt(variance)).alias("stddev"),
             F.col(f"_min{i}").alias("min"),
             F.col(f"_max{i}").alias("max"),
         )

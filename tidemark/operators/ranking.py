@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,18 +99,17 @@ def exact_median(df: DataFrame, name: str) -> float | None:
 def prefix_sums(df: DataFrame, order: str, sums: list[str], parts: int = 256) -> DataFrame:
     """Running totals over distinct values of ``order``, ascending, without a global window.
 
-    ``order`` must be unique per row (group by it first). Rows are cut into ``parts``
+    ``order`` is a number, unique per row (group by it first). Rows are cut into ``parts``
     ranges of equal row count; each range sums on its own and starts from the total
     of the ranges before it. Adds ``cum_<name>`` columns, the row's own value included.
     """
     steps = [i / parts for i in range(1, parts)]
-    cuts = df.agg(F.percentile_approx(order, steps, 10 * parts)).first()[0] or []
-    cuts = sorted(set(cuts))
-    marks = F.lit(0)
-    if cuts:
-        literal = F.array(*[F.lit(c) for c in cuts])
-        marks = F.size(F.filter(literal, lambda c: c < F.col(order)))
-    ranged = df.withColumn("_part", marks)
+    cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), steps, 10 * parts)).first()[0] or []
+    edges = [-math.inf, *sorted(set(cuts)), math.inf]
+    if len(edges) < 3:
+        edges.insert(1, 0.0)
+    ranged = df.withColumn("_value", F.col(order).cast("double"))
+    ranged = Bucketizer(splits=edges, inputCol="_value", outputCol="_part").transform(ranged).drop("_value")
     totals = ranged.groupBy("_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     # At most `parts` rows, so one task is enough for this window.
     ahead = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

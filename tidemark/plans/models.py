@@ -20,6 +20,7 @@ from tidemark.plans.binding import (
     query,
     table,
 )
+from tidemark.session import scratch_path
 
 # --- preprocessing ----------------------------------------------------------
 
@@ -107,8 +108,11 @@ def _tables(spark, folder) -> churn.FeatureTables:
 
 
 def _training_rows(spark, folder):
+    """The training set as a written table: fitting reads it many times."""
     made = _tables(spark, folder)
-    return churn.churn_training_set(made.labels, made.features, exclude=[churn.TIME])
+    path = scratch_path(spark, "training_set")
+    churn.churn_training_set(made.labels, made.features, exclude=[churn.TIME]).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 # Small ensembles, so that a check run stays short; the operators take any size.
@@ -195,8 +199,7 @@ def topk_importance(spark, folder):
 @query("score_batch")
 def score_batch(spark, folder):
     made = _tables(spark, folder)
-    rows = churn.churn_training_set(made.labels, made.features, exclude=[churn.TIME])
-    model = _fit(rows, "LogisticRegression")
+    model = _fit(_training_rows(spark, folder), "LogisticRegression")
     keys = made.labels.select(churn.KEY, churn.TIME)
     scored = score.score_batch(keys, churn.churn_lookups(made.features), model)
     return scored.select(churn.KEY, churn.TIME, "avg_price_increase", "probability", "prediction")

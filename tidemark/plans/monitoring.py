@@ -47,14 +47,18 @@ def profile_slices(spark, folder):
 def _numeric_sql(column: str) -> str:
     return f"""SELECT {_KEYS}, '{column}' AS column_name, count(*) AS count,
         count(*) - count({column}) AS num_nulls,
-        round(100.0::DOUBLE * (count(*) - count({column})) / count(*), 6) AS percent_null,
-        round(avg({column}), 6) AS avg, round(stddev_pop({column}), 6) AS stddev,
+        100.0::DOUBLE * (count(*) - count({column})) / count(*) AS percent_null,
+        avg({column}) AS avg, stddev_pop({column}) AS stddev,
         min({column}) AS min, max({column}) AS max FROM g GROUP BY {_KEYS}"""
 
 
+_NUMERIC = f"p AS ({_numeric_sql('monthly_charges')} UNION ALL {_numeric_sql('tenure')})"
+
+
 @query(
     "profile_numeric",
-    f"WITH {_GROUPS} {_numeric_sql('monthly_charges')} UNION ALL {_numeric_sql('tenure')}",
+    f"""WITH {_GROUPS}, {_NUMERIC} SELECT * REPLACE (round(percent_null, 6) AS percent_null, round(avg, 6) AS avg,
+        round(stddev, 6) AS stddev) FROM p""",
 )
 def profile_numeric(spark, folder):
     return _flat(profile.profile_numeric(inference_log(spark, folder), MONITOR), "percent_null", "avg", "stddev")
@@ -79,14 +83,14 @@ def profile_categorical(spark, folder):
 
 @query(
     "profile_delta",
-    f"""WITH {_GROUPS}, p AS ({_numeric_sql('monthly_charges')} UNION ALL {_numeric_sql('tenure')})
+    f"""WITH {_GROUPS}, {_NUMERIC}
         SELECT {_KEYS}, column_name,
           round(percent_null - lag(percent_null) OVER w, 4) AS percent_null_delta,
           round(avg - lag(avg) OVER w, 4) AS avg_delta FROM p
         WINDOW w AS (PARTITION BY model_version, slice_key, slice_value, column_name ORDER BY window_start)""",
 )
 def profile_delta(spark, folder):
-    deltas = profile.profile_deltas(profile_numeric(spark, folder))
+    deltas = profile.profile_deltas(profile.profile_numeric(inference_log(spark, folder), MONITOR))
     return deltas.select(
         "window_start", "model_version", "slice_key", "slice_value", "column_name",
         F.round("percent_null_delta", 4).alias("percent_null_delta"), F.round("avg_delta", 4).alias("avg_delta"),
@@ -299,7 +303,8 @@ _ROUND_DRIFT = ["tv_distance", "l_infinity_distance", "js_distance"]
         SELECT {_KEYS}, column_name, value, n, total, round(p, 6) AS p FROM d""",
 )
 def distribution(spark, folder):
-    return _flat(profile.publish(drift.distribution(inference_log(spark, folder), MONITOR)), "p")
+    shares = profile.publish(drift.distribution(inference_log(spark, folder), MONITOR))
+    return _flat(shares.drop("next_start", "next_end", "has_previous"), "p")
 
 
 @query(

@@ -24,6 +24,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.showConsoleProgress": "false",
+        # Recording the Python line of every column call costs more than planning does.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
