@@ -22,15 +22,15 @@ def l_infinity() -> Column:
     return F.max(F.abs(F.col("p") - F.col("q")))
 
 
-def jensen_shannon() -> Column:
-    """Distance with base-2 logarithms: 0 for equal, 1 for disjoint distributions."""
-    middle = (F.col("p") + F.col("q")) / 2
+def divergence_half(name: str) -> Column:
+    """Half the term of one value in the divergence of ``p`` or ``q`` from their middle."""
+    share, middle = F.col(name), (F.col("p") + F.col("q")) / 2
+    return F.when(share > 0, share * F.log2(share / middle)).otherwise(F.lit(0.0)) / 2
 
-    def half(name: str) -> Column:
-        share = F.col(name)
-        return F.when(share > 0, share * F.log2(share / middle)).otherwise(F.lit(0.0)) / 2
 
-    return F.sqrt(F.greatest(F.sum(half("p") + half("q")), F.lit(0.0)))
+def jensen_shannon() -> Column:
+    """Distance with base-2 logarithms: 0 for equal, 1 for disjoint distributions."""
+    return F.sqrt(F.greatest(F.sum(divergence_half("p") + divergence_half("q")), F.lit(0.0)))
 
 
 def chi_squared() -> Column:

@@ -86,27 +86,73 @@ def consecutive_drift(shares: DataFrame, p_value: bool = False) -> DataFrame:
     return _finish(_distances(rows, [*SERIES, *WINDOW]), "CONSECUTIVE", p_value)
 
 
-def baseline_drift(shares: DataFrame, baseline: DataFrame, columns: Sequence[str], p_value: bool = False) -> DataFrame:
-    """Each window against the value shares of the baseline table."""
+def baseline_shares(baseline: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Baseline count ``b``, share ``q`` and column totals per column and value."""
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
     counts = (
         baseline.select(F.inline(F.array(*pairs)))
         .filter(F.col("value").isNotNull())
         .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("b"))
+    )
+    totals = counts.groupBy("column_name").agg(
+        F.sum("b").alias("base_total"), F.count(F.lit(1)).alias("base_values")
     )
-    totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
-    fixed = counts.join(totals, "column_name").withColumn("p", F.col("n") / F.col("total"))
+    return counts.join(totals, "column_name").withColumn("q", F.col("b") / F.col("base_total"))
+
+
+def baseline_drift(shares: DataFrame, baseline: DataFrame, columns: Sequence[str], p_value: bool = False) -> DataFrame:
+    """Each window against the value shares of the baseline table.
+
+    Window values are joined to their own baseline value. What the baseline has beyond a
+    window's values enters in closed form from the counts left over, so the baseline is
+    never repeated per window. Only the largest share left over needs more: it is the
+    highest baseline count of which the window lacks a value, found from how many values
+    of each count the window has.
+    """
+    fixed = baseline_shares(baseline, columns)
     by = [*SERIES, *WINDOW]
     watched = shares.filter(F.col("column_name").isin(list(columns)))
-    reference = watched.select(*by).distinct().join(fixed, "column_name")
-    own, other = _side("window_start", "window_end", True), _side("window_start", "window_end", False)
-    rows = watched.select(*SERIES, "value", F.inline(F.array(own))).unionByName(
-        reference.select(*SERIES, "value", F.inline(F.array(other)))
+    rows = watched.select(*by, "value", "p", F.col("n").alias("a"))
+    rows = rows.join(fixed.select("column_name", "value", "q", "b"), ["column_name", "value"], "left")
+    rows = rows.withColumns({"q": F.coalesce("q", F.lit(0.0)), "b": F.coalesce("b", F.lit(0))})
+
+    # Baseline counts per column, highest first, with the number of values that have each.
+    levels = fixed.groupBy("column_name", "b").agg(F.count(F.lit(1)).alias("of_level"))
+    ranked = levels.withColumn("level", F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("b"))))
+    held = rows.filter(F.col("b") > 0).groupBy(*by, "b").agg(F.count(F.lit(1)).alias("held"))
+    whole = held.join(ranked, ["column_name", "b"]).filter(F.col("held") == F.col("of_level"))
+    complete = whole.groupBy(*by).agg(F.sort_array(F.collect_list("level")).alias("levels"))
+    # Sorted levels 1, 2, .. without a gap are complete; the first absent one is the level wanted.
+    first_gap = F.size(F.filter("levels", lambda level, i: level == i + 1)) + 1
+
+    sums = rows.groupBy(*by).agg(
+        F.sum(F.abs(F.col("p") - F.col("q"))).alias("_l1"),
+        F.max(F.abs(F.col("p") - F.col("q"))).alias("_max"),
+        F.sum(distances.divergence_half("p") + distances.divergence_half("q")).alias("_js"),
+        F.sum(F.pow(F.col("p") - F.col("q"), 2) / (F.col("a") + F.col("b"))).alias("_chi"),
+        F.sum("a").alias("_a"),
+        F.sum("b").alias("_b"),
+        F.count(F.lit(1)).alias("_values"),
+        F.count_if(F.col("b") > 0).alias("_shared"),
+    )
+    totals = fixed.select("column_name", "base_total", "base_values").distinct()
+    joined = sums.join(totals, "column_name").join(complete, by, "left")
+    joined = joined.withColumn("level", F.coalesce(first_gap, F.lit(1)))
+    joined = joined.join(ranked.select("column_name", "level", F.col("b").alias("_top")), ["column_name", "level"], "left")
+    left_over = (F.col("base_total") - F.col("_b")) / F.col("base_total")
+    top = F.coalesce(F.col("_top") / F.col("base_total"), F.lit(0.0))
+    found = joined.select(
+        *by,
+        ((F.col("_l1") + left_over) / 2).alias("tv_distance"),
+        F.greatest("_max", top).alias("l_infinity_distance"),
+        F.sqrt(F.greatest(F.col("_js") + left_over / 2, F.lit(0.0))).alias("js_distance"),
+        ((F.col("_chi") + left_over / F.col("base_total")) * F.col("_a") * F.col("base_total")).alias(
+            "chi_squared_statistic"
+        ),
+        (F.col("_values") + F.col("base_values") - F.col("_shared") - 1).alias("degrees"),
     )
-    # A column that is empty in the baseline has nothing to be compared with.
-    known = totals.select("column_name")
-    return _finish(_distances(rows.join(known, "column_name", "left_semi"), by), "BASELINE", p_value)
+    return _finish(found, "BASELINE", p_value)
 
 
 def performance_series(profile: DataFrame, metric: str, model: str, since: str | None = None) -> DataFrame:

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.columns import FeatureFunction
 from tidemark.functions.ordering import order_value
@@ -51,30 +50,28 @@ class FeatureLookup:
         return [self.rename.get(c, c) for c in self.feature_names(table)]
 
 
-def key_lookup(left: DataFrame, lookup: FeatureLookup, check_unique: bool = True) -> DataFrame:
+def key_lookup(
+    left: DataFrame, lookup: FeatureLookup, check_unique: bool = True, policy: SkewPolicy = SkewPolicy()
+) -> DataFrame:
     """Left join on the full key.
 
-    A key that occurs twice on the feature side would multiply rows, so it raises
-    when such rows are read. The check groups by the join key: it shares the join's
-    shuffle and pre-aggregates before it. A hot key on the left is split at run time
-    by the adaptive skew join.
+    A key that occurs twice on the feature side would multiply rows, so it raises when
+    such rows are read. The check groups by the join key: it shares the join's shuffle and
+    pre-aggregates before it. Hot keys on the left are spread.
     """
     table = lookup.frame(left.sparkSession)
-    columns = lookup.output_columns(table)
-    keys = list(lookup.keys)
-    names = lookup.output_names(table)
+    columns, names, keys = lookup.output_columns(table), lookup.output_names(table), list(lookup.keys)
     if not check_unique:
+        # Two plain inputs: the adaptive skew join can split a hot key by itself.
         return left.join(table.select(*keys, *columns), keys, "left")
     grouped = (
         table.filter(_all_set(keys))
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*columns)).alias("_f"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(1).alias("_on"), *columns)).alias("_f"))
     )
-    message = F.concat(F.lit("lookup key is not unique: "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys]))
-    checked = grouped.select(
-        *keys, F.when(F.col("_n") > 1, F.raise_error(message).cast("string")).alias("_bad"), "_f"
-    ).filter(F.col("_bad").isNull())
-    joined = left.join(checked, keys, "left")
+    text = F.concat(F.lit("lookup key is not unique: "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys]))
+    one = F.when(F.col("_n") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    joined = skew.left_join(left, grouped.filter(one).drop("_n"), keys, policy)
     return joined.select(*[F.col(c) for c in left.columns], *[F.col(f"_f.`{n}`").alias(n) for n in names])
 
 
@@ -99,7 +96,9 @@ def asof_join(
     time_type = left.schema[time].dataType
     tables = [lk.frame(left.sparkSession) for lk in lookups]
     keys = [f"_k{i}" for i in range(len(on))]
-    key_columns = [F.col(c).alias(k) for c, k in zip(on, keys)]
+    # Both sides hash their keys, so they must carry them in one type.
+    key_types = skew.common_types(on, left, *tables)
+    key_columns = [F.col(c).cast(t).alias(k) for c, k, t in zip(on, keys, key_types)]
 
     # Label columns stay flat, so the optimizer can prune the ones nobody reads.
     payload = {c: f"_l{i}" for i, c in enumerate(left.columns) if c not in on and c != time}
@@ -138,12 +137,6 @@ def _all_set(columns: Sequence[str]) -> Column:
     return test
 
 
-def _row_hash(rows: DataFrame) -> Column:
-    """Hash of a label row, over the columns that have a hash (maps and the like have none)."""
-    simple = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    return F.xxhash64(*simple)
-
-
 def _find_pieces(rows, sides, keys, time_type, policy) -> list[skew.Piece]:
     """Pieces of the hot keys over both sides together; empty when no key is hot."""
     both = rows.filter(_all_set(keys)).select(*keys, "_time")
@@ -165,7 +158,7 @@ def _time_line(rows, sides, keys, time_type, pieces) -> DataFrame:
         return out
 
     # Label rows with a null key match nothing; they are spread instead of going to one task.
-    no_key = -F.pmod(_row_hash(rows), F.lit(NULL_KEY_SALTS)).cast("int") - 1
+    no_key = -F.pmod(skew.row_hash(rows), F.lit(NULL_KEY_SALTS)).cast("int") - 1
     if not pieces:
         salt = F.when(_all_set(keys), F.lit(0)).otherwise(no_key)
         labels = rows.withColumns({"_piece": F.lit(0), "_salt": salt, "_side": F.lit(1)})
@@ -181,7 +174,7 @@ def _time_line(rows, sides, keys, time_type, pieces) -> DataFrame:
         return marked.withColumn("_block", skew.block_index()).withColumn("_piece", skew.piece_index())
 
     salts = F.coalesce(F.get("_salts", F.col("_piece")), F.lit(1))
-    salt = F.when(_all_set(keys), F.pmod(_row_hash(rows), salts).cast("int")).otherwise(no_key)
+    salt = F.when(_all_set(keys), F.pmod(skew.row_hash(rows), salts).cast("int")).otherwise(no_key)
     labels = placed(rows).withColumns({"_salt": salt, "_side": F.lit(1)}).select(*rows.columns, *shared[-3:])
     parts = [labels]
     for i, side in enumerate(sides):
@@ -250,7 +243,7 @@ def apply_lookups(
         if timed:
             batch.append(spec)
         elif isinstance(spec, FeatureLookup):
-            out = key_lookup(out, spec)
+            out = key_lookup(out, spec, policy=policy)
         else:
             out = spec.apply(out)
     return flush(out)

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import skew
+from tidemark.operators.skew import SkewPolicy
+
 
 def merge_frames(
     target: DataFrame,
@@ -14,6 +17,7 @@ def merge_frames(
     keys: Sequence[str],
     update: Sequence[str] | None = None,
     insert: bool = True,
+    policy: SkewPolicy = SkewPolicy(),
 ) -> DataFrame:
     """The target after ``MERGE``: matched rows updated, unmatched source rows inserted.
 
@@ -34,7 +38,7 @@ def merge_frames(
     fresh = source.select(*keys, *shared)
     values = [F.col(c).alias(f"_new_{c}") for c in changed]
     per_key = fresh.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(1), *values)).alias("_s"))
-    joined = target.join(per_key, keys, "left")
+    joined = skew.left_join(target, per_key, keys, policy)
     stop = F.raise_error(F.lit("merge: several source rows match one target row")).cast("boolean")
     hit = F.when(F.col("_n") > 1, stop).otherwise(F.col("_n").isNotNull())
     merged = joined.select(

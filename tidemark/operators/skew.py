@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TRACKED_ITEMS = 20_000
-MAX_HOT_KEYS = 1_000
+MAX_HOT_KEYS = 2_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -32,14 +32,33 @@ class SkewPolicy:
     ``pieces + 1/share`` rows, whatever the size of the data.
     """
 
-    share: float = 0.002
+    share: float = 0.0005
     min_rows: int = 1_000_000
     pieces: int = 4_096
     enabled: bool = True
 
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+def key_hash(keys: Sequence[str], types: Sequence[T.DataType] = ()) -> Column:
+    """Hash of the key columns, cast to ``types`` first: equal keys of other types hash apart."""
+    columns = [F.col(k).cast(t) for k, t in zip(keys, types)] if types else [F.col(k) for k in keys]
+    return F.xxhash64(*columns)
+
+
+def common_types(keys: Sequence[str], *frames: DataFrame) -> list[T.DataType]:
+    """The types Spark would compare the key columns of the frames in."""
+    merged = frames[0].select(*keys)
+    for frame in frames[1:]:
+        merged = merged.unionByName(frame.select(*keys))
+    return [merged.schema[k].dataType for k in keys]
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row, over the columns that have one (maps and the like have none).
+
+    Taken from the values, not from the position of the row, so that a task that runs
+    again after a lost executor places its rows as before.
+    """
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)])
 
 
 @dataclass(frozen=True)
@@ -58,8 +77,8 @@ class Piece:
 def hot_keys(rows: DataFrame, policy: SkewPolicy) -> tuple[dict[int, int], int]:
     """Hot values of column ``_key`` with their approximate row counts, and the number of rows.
 
-    The sketch never misses an item above ``rows / (0.75 * TRACKED_ITEMS)``,
-    which is far below ``policy.share``. One map-side aggregate, no shuffle by key.
+    The sketch never misses an item whose share is above its error, about 1/9000 for
+    TRACKED_ITEMS, which is below ``policy.share``. One map-side aggregate, no shuffle by key.
     """
     found = rows.agg(
         F.count(F.lit(1)).alias("n"),
@@ -135,3 +154,30 @@ def piece_index() -> Column:
     block = F.col("_block")
     inside = F.size(F.filter(F.element_at("_blocks", block), lambda start: start <= F.col("_ord")))
     return F.when(block > 0, (block - 1) * F.col("_width") + inside).otherwise(F.lit(0))
+
+
+def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+    """Left join to a side that is unique per key, safe for hot keys on the left.
+
+    Adaptive execution cannot split a join whose side was just aggregated. Here the rows of
+    a hot key (a null key counts as one) are spread over salts and its single right row is
+    copied to each salt: at most ``policy.pieces`` copies over all keys together.
+    """
+    keys = list(keys)
+    if not policy.enabled:
+        return left.join(right, keys, "left")
+    types = common_types(keys, left, right)
+    hot, total = hot_keys(left.select(key_hash(keys, types).alias("_key")), policy)
+    if not hot:
+        return left.join(right, keys, "left")
+    rows = [(k, max(2, math.ceil(policy.pieces * n / total))) for k, n in hot.items()]
+    salts = F.broadcast(left.sparkSession.createDataFrame(rows, "_key long, _salts int"))
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("_key", key_hash(keys, types)).join(salts, "_key", "left")
+
+    spread = F.coalesce(F.pmod(row_hash(left), F.col("_salts")).cast("int"), F.lit(0))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))
+    salted = marked(left).withColumn("_salt", spread).drop("_key", "_salts")
+    copied = marked(right).withColumn("_salt", copies).drop("_key", "_salts")
+    return salted.join(copied, [*keys, "_salt"], "left").drop("_salt")
