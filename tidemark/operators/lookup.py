@@ -14,7 +14,7 @@ from tidemark.functions.ordering import order_value
 from tidemark.operators import skew
 from tidemark.operators.skew import SkewPolicy
 
-NULL_KEY_SALTS = 1_024
+NO_TIME_SALTS = 1_024
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,8 @@ def asof_join(
 
     A key that holds a large share of the rows is cut into pieces along time.
     The last feature row before each piece goes along with the piece, so each
-    piece is complete on its own.
+    piece is complete on its own. A null key is a key like any other here: no feature row
+    has it, and it is cut when it is hot.
     """
     lookups = [lookups] if isinstance(lookups, FeatureLookup) else list(lookups)
     on = list(lookups[0].keys)
@@ -139,7 +140,7 @@ def _all_set(columns: Sequence[str]) -> Column:
 
 def _find_pieces(rows, sides, keys, time_type, policy) -> list[skew.Piece]:
     """Pieces of the hot keys over both sides together; empty when no key is hot."""
-    both = rows.filter(_all_set(keys)).select(*keys, "_time")
+    both = rows.select(*keys, "_time")
     for side in sides:
         both = both.unionByName(side.select(*keys, "_time"))
     marks = both.select(skew.key_hash(keys).alias("_key"), order_value("_time", time_type).alias("_ord"))
@@ -157,13 +158,10 @@ def _time_line(rows, sides, keys, time_type, pieces) -> DataFrame:
             out = out.unionByName(part, allowMissingColumns=True)
         return out
 
-    # Label rows with a null key match nothing; they are spread instead of going to one task.
-    no_key = -F.pmod(skew.row_hash(rows), F.lit(NULL_KEY_SALTS)).cast("int") - 1
     if not pieces:
-        salt = F.when(_all_set(keys), F.lit(0)).otherwise(no_key)
-        labels = rows.withColumns({"_piece": F.lit(0), "_salt": salt, "_side": F.lit(1)})
-        still = {"_piece": F.lit(0), "_salt": F.lit(0), "_side": F.lit(0)}
-        return union([labels] + [s.withColumns(still) for s in sides])
+        flat = {"_piece": F.lit(0), "_salt": F.lit(0)}
+        labels = rows.withColumns({**flat, "_side": F.lit(1)})
+        return union([labels] + [s.withColumns({**flat, "_side": F.lit(0)}) for s in sides])
 
     order = order_value("_time", time_type)
     order_type = rows.select(order.alias("_ord")).schema["_ord"].dataType
@@ -173,8 +171,9 @@ def _time_line(rows, sides, keys, time_type, pieces) -> DataFrame:
         marked = df.withColumns({"_key": skew.key_hash(keys), "_ord": order}).join(table, "_key", "left")
         return marked.withColumn("_block", skew.block_index()).withColumn("_piece", skew.piece_index())
 
-    salts = F.coalesce(F.get("_salts", F.col("_piece")), F.lit(1))
-    salt = F.when(_all_set(keys), F.pmod(skew.row_hash(rows), salts).cast("int")).otherwise(no_key)
+    # Rows without a time match nothing, so any salt is right for them.
+    salts = F.when(F.col("_ord").isNull(), F.lit(NO_TIME_SALTS)).otherwise(F.get("_salts", F.col("_piece")))
+    salt = F.pmod(skew.row_hash(rows), F.coalesce(salts, F.lit(1))).cast("int")
     labels = placed(rows).withColumns({"_salt": salt, "_side": F.lit(1)}).select(*rows.columns, *shared[-3:])
     parts = [labels]
     for i, side in enumerate(sides):

@@ -169,7 +169,7 @@ def _analysis_error(df: DataFrame, check: Check) -> str | None:
     try:
         df.select(*check.unique) if check.unique else df.select(check.violation)
     except PySparkException as error:
-        return f"Exception: {error.getErrorClass() if hasattr(error, 'getErrorClass') else error}"
+        return f"Exception: {str(error).splitlines()[0]}"
     return None
 
 

@@ -100,10 +100,8 @@ def cut_pieces(rows: DataFrame, hot: dict[int, int], total: int, policy: SkewPol
         .agg(F.percentile_approx("_ord", steps, SKETCH_ACCURACY).alias("cuts"))
         .collect()
     )
-    out = []
-    for row in cuts:
-        out.extend(_pieces_of(row["_key"], row["cuts"], wanted[row["_key"]]))
-    return out
+    found = {row["_key"]: row["cuts"] for row in cuts}
+    return [piece for key in hot for piece in _pieces_of(key, found.get(key, []), wanted[key])]
 
 
 def _pieces_of(key: int, cuts: list, wanted: int) -> list[Piece]:

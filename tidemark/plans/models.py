@@ -236,12 +236,12 @@ _ALIASES, _TAGS = orders_sql(ALIAS_COLUMNS), orders_sql(TAG_COLUMNS)
     f"""WITH m AS (SELECT CASE WHEN churn = 'Yes' THEN 'churned' ELSE 'stayed' END AS kind, monthly_charges AS c
                    FROM ({BRONZE_SQL}))
         SELECT 'run-7' AS run_id, 'churn' AS experiment, 'profile' AS run_name,
-               TIMESTAMP '2024-02-01 00:00:00' AS start_time, kind AS metric, round(avg(c), 6) AS value FROM m
+               TIMESTAMP '2024-02-01 00:00:00' AS start_time, kind AS metric, round(avg(c), 9) AS value FROM m
         GROUP BY kind""",
 )
 def runs_log(spark, folder):
     kind = F.when(F.col("churn") == "Yes", "churned").otherwise("stayed").alias("metric")
-    metrics = bronze(spark, folder).groupBy(kind).agg(F.round(F.avg("monthly_charges"), 6).alias("value"))
+    metrics = bronze(spark, folder).groupBy(kind).agg(F.round(F.avg("monthly_charges"), 9).alias("value"))
     out = registry.log_metrics(metrics, "run-7", "churn", "profile", _AT)
     return out.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 

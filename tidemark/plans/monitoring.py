@@ -24,8 +24,16 @@ _KEYS = "window_start, model_version, slice_key, slice_value"
 
 
 def _flat(df, *rounded):
-    """Results without the window end, numbers rounded for comparison."""
-    return df.drop("window_end").withColumns({c: F.round(c, 6) for c in rounded})
+    """Results without the window end, numbers rounded for comparison.
+
+    Means of amounts get more digits than ratios: with few, a mean of cents often lies
+    halfway between two roundings, and the order of summing would decide.
+    """
+    digits = {c: 9 if c in _MEANS else 6 for c in rounded}
+    return df.drop("window_end").withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
+_MEANS = {"avg", "stddev", "expected_loss", "value"}
 
 
 @query(
@@ -57,8 +65,8 @@ _NUMERIC = f"p AS ({_numeric_sql('monthly_charges')} UNION ALL {_numeric_sql('te
 
 @query(
     "profile_numeric",
-    f"""WITH {_GROUPS}, {_NUMERIC} SELECT * REPLACE (round(percent_null, 6) AS percent_null, round(avg, 6) AS avg,
-        round(stddev, 6) AS stddev) FROM p""",
+    f"""WITH {_GROUPS}, {_NUMERIC} SELECT * REPLACE (round(percent_null, 6) AS percent_null, round(avg, 9) AS avg,
+        round(stddev, 9) AS stddev) FROM p""",
 )
 def profile_numeric(spark, folder):
     return _flat(profile.profile_numeric(inference_log(spark, folder), MONITOR), "percent_null", "avg", "stddev")
@@ -85,15 +93,15 @@ def profile_categorical(spark, folder):
     "profile_delta",
     f"""WITH {_GROUPS}, {_NUMERIC}
         SELECT {_KEYS}, column_name,
-          round(percent_null - lag(percent_null) OVER w, 4) AS percent_null_delta,
-          round(avg - lag(avg) OVER w, 4) AS avg_delta FROM p
+          round(percent_null - lag(percent_null) OVER w, 9) AS percent_null_delta,
+          round(avg - lag(avg) OVER w, 9) AS avg_delta FROM p
         WINDOW w AS (PARTITION BY model_version, slice_key, slice_value, column_name ORDER BY window_start)""",
 )
 def profile_delta(spark, folder):
     deltas = profile.profile_deltas(profile.profile_numeric(inference_log(spark, folder), MONITOR))
     return deltas.select(
         "window_start", "model_version", "slice_key", "slice_value", "column_name",
-        F.round("percent_null_delta", 4).alias("percent_null_delta"), F.round("avg_delta", 4).alias("avg_delta"),
+        F.round("percent_null_delta", 9).alias("percent_null_delta"), F.round("avg_delta", 9).alias("avg_delta"),
     )
 
 
@@ -198,7 +206,7 @@ _SCORE = "monthly_charges / (monthly_charges + 50)"
                         false_negatives::DOUBLE AS false_negatives, true_negatives::DOUBLE AS true_negatives,
                         example_count::DOUBLE AS example_count, accuracy_score, precision_score, recall_score, f1_score,
                         l.v AS log_loss, a.v AS roc_auc FROM b, l, a)
-        SELECT 'test_' || metric AS metric, round(value, 6) AS value FROM (UNPIVOT wide ON COLUMNS(*) INTO NAME metric VALUE value)""",
+        SELECT 'test_' || metric AS metric, round(value, 9) AS value FROM (UNPIVOT wide ON COLUMNS(*) INTO NAME metric VALUE value)""",
 )
 def eval_long(spark, folder):
     scored = inference_log(spark, folder).withColumn("score", F.expr(_SCORE))
@@ -226,7 +234,7 @@ def roc_points(spark, folder):
 _LOSS = "avg(CASE WHEN prediction != churn AND churn = 'Yes' THEN -monthly_charges ELSE 0 END)"
 
 
-@query("expected_loss", f"WITH {_GROUPS} SELECT {_KEYS}, round({_LOSS}, 6) AS expected_loss FROM g GROUP BY {_KEYS}")
+@query("expected_loss", f"WITH {_GROUPS} SELECT {_KEYS}, round({_LOSS}, 9) AS expected_loss FROM g GROUP BY {_KEYS}")
 def expected_loss(spark, folder):
     return _flat(profile.publish(profile.custom_metrics(inference_log(spark, folder), MONITOR)), "expected_loss")
 
@@ -242,7 +250,7 @@ _PERFORMANCE = f"""
 @query(
     "perf_metrics",
     f"""WITH {_GROUPS}, {_PERFORMANCE}
-        SELECT window_start AS time, round(f1_macro, 6) AS performance_metric, round(expected_loss, 6) AS expected_loss,
+        SELECT window_start AS time, round(f1_macro, 6) AS performance_metric, round(expected_loss, 9) AS expected_loss,
                model_version AS model_id FROM perf WHERE model_version = '1' ORDER BY time""",
 )
 def perf_metrics(spark, folder):
@@ -391,7 +399,7 @@ _ALL = f"""{_GROUPS}, {_PERFORMANCE}, {_distribution_sql(WATCHED)}, {_consecutiv
 @query(
     "all_metrics",
     f"""WITH {_ALL} SELECT time, model_id, round(performance_metric, 6) AS performance_metric,
-        round(expected_loss, 6) AS expected_loss, round(prediction, 6) AS prediction, round(churn, 6) AS churn
+        round(expected_loss, 9) AS expected_loss, round(prediction, 6) AS prediction, round(churn, 6) AS churn
         FROM metrics""",
 )
 def all_metrics(spark, folder):
