@@ -165,15 +165,13 @@ def _time_line(rows, sides, keys, time_type, pieces) -> DataFrame:
 
     order = order_value("_time", time_type)
     order_type = rows.select(order.alias("_ord")).schema["_ord"].dataType
-    table = F.broadcast(skew.piece_table(rows, pieces, order_type))
 
     def placed(df: DataFrame) -> DataFrame:
-        marked = df.withColumns({"_key": skew.key_hash(keys), "_ord": order}).join(table, "_key", "left")
-        return marked.withColumn("_block", skew.block_index()).withColumn("_piece", skew.piece_index())
+        return skew.place(df, pieces, order, order_type, keys)
 
     # Rows without a time match nothing, so any salt is right for them.
-    salts = F.when(F.col("_ord").isNull(), F.lit(NO_TIME_SALTS)).otherwise(F.get("_salts", F.col("_piece")))
-    salt = F.pmod(skew.row_hash(rows), F.coalesce(salts, F.lit(1))).cast("int")
+    salts = F.when(F.col("_ord").isNull(), F.lit(NO_TIME_SALTS)).otherwise(F.coalesce("_copies", F.lit(1)))
+    salt = F.when(salts > 1, F.pmod(skew.row_hash(rows), salts).cast("int")).otherwise(F.lit(0))
     labels = placed(rows).withColumns({"_salt": salt, "_side": F.lit(1)}).select(*rows.columns, *shared[-3:])
     parts = [labels]
     for i, side in enumerate(sides):
@@ -191,9 +189,9 @@ def _carry(placed: DataFrame, feature: str, keys: Sequence[str], pieces: list[sk
     table, whose size does not depend on the data.
     """
     spark = placed.sparkSession
-    grid = spark.createDataFrame([(p.key, p.index, p.salts) for p in pieces], "_key long, _piece int, _copies int")
+    grid = spark.createDataFrame([(p.key, p.index, p.salts) for p in pieces], "_key long, _piece int, _salts int")
     last = (
-        placed.filter(F.col("_heads").isNotNull())
+        placed.filter(F.col("_copies").isNotNull())
         .groupBy(*keys, "_key", "_piece")
         .agg(F.max_by(F.struct("_time", feature), "_time").alias("_last"))
         .groupBy(*keys, "_key")
@@ -203,14 +201,14 @@ def _carry(placed: DataFrame, feature: str, keys: Sequence[str], pieces: list[sk
     line = Window.partitionBy(*keys).orderBy("_piece")
     before = F.last("_last", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
     upto = F.last("_last", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, 0))
-    got = F.when(F.col("_copies") > 1, upto).otherwise(before)
+    got = F.when(F.col("_salts") > 1, upto).otherwise(before)
     return (
         slots.withColumn("_got", got)
         .filter(F.col("_got").isNotNull())
         .select(
             *keys,
             "_piece",
-            F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_salt"),
+            F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"),
             F.lit(0).alias("_side"),
             F.col("_got._time").alias("_time"),
             F.col(f"_got.{feature}").alias(feature),

@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 TRACKED_ITEMS = 20_000
 MAX_HOT_KEYS = 2_000
 SKETCH_ACCURACY = 10_000
+CUT_ROWS = 20_000_000
+GRID_CELLS = 65_536
 
 
 @dataclass(frozen=True)
@@ -94,12 +96,11 @@ def cut_pieces(rows: DataFrame, hot: dict[int, int], total: int, policy: SkewPol
     wanted = {k: max(2, math.ceil(policy.pieces * n / max(total, 1))) for k, n in hot.items()}
     grid = max(wanted.values())
     steps = [i / grid for i in range(1, grid)]
-    cuts = (
-        rows.filter(F.col("_key").isin(list(hot)) & F.col("_ord").isNotNull())
-        .groupBy("_key")
-        .agg(F.percentile_approx("_ord", steps, SKETCH_ACCURACY).alias("cuts"))
-        .collect()
-    )
+    marks = rows.filter(F.col("_key").isin(list(hot)) & F.col("_ord").isNotNull())
+    if sum(hot.values()) > CUT_ROWS:
+        # Only the places of the cuts come from a sample; every row is still assigned to a piece.
+        marks = marks.sample(CUT_ROWS / sum(hot.values()), seed=0)
+    cuts = marks.groupBy("_key").agg(F.percentile_approx("_ord", steps, SKETCH_ACCURACY).alias("cuts")).collect()
     found = {row["_key"]: row["cuts"] for row in cuts}
     return [piece for key in hot for piece in _pieces_of(key, found.get(key, []), wanted[key])]
 
@@ -119,39 +120,54 @@ def _pieces_of(key: int, cuts: list, wanted: int) -> list[Piece]:
     return pieces
 
 
-def piece_table(template: DataFrame, pieces: list[Piece], order_type: T.DataType) -> DataFrame:
-    """One row per hot key: start values cut into blocks, so a lookup takes two short scans."""
-    by_key: dict[int, list[Piece]] = {}
-    for piece in pieces:
-        by_key.setdefault(piece.key, []).append(piece)
-    rows = []
-    for key, parts in by_key.items():
-        starts = [p.start for p in parts[1:]]
-        width = max(1, math.isqrt(len(starts)))
-        blocks = [starts[i : i + width] for i in range(0, len(starts), width)]
-        rows.append((key, [b[0] for b in blocks], blocks, [p.salts for p in parts], width))
-    schema = T.StructType(
-        [
-            T.StructField("_key", T.LongType(), False),
-            T.StructField("_heads", T.ArrayType(order_type), False),
-            T.StructField("_blocks", T.ArrayType(T.ArrayType(order_type)), False),
-            T.StructField("_salts", T.ArrayType(T.IntegerType()), False),
-            T.StructField("_width", T.IntegerType(), False),
-        ]
-    )
-    return template.sparkSession.createDataFrame(rows, schema)
-
+def _spans(pieces: list[Piece], whole: bool) -> list[tuple[Piece, int | float, int | float]]:
+    """Pieces with their first and last order value, both inside."""
+    low, high = (-(2**63), 2**63 - 1) if whole else (-math.inf, math.inf)
+    out = []
+    for piece, after in zip(pieces, [*pieces[1:], None]):
+        last = high
+        if after is not None and after.key == piece.key:
+            last = after.start - 1 if whole else math.nextafter(after.start, -math.inf)
+        out.append((piece, low if piece.start is None else piece.start, last))
+    return out
 
-def block_index() -> Column:
-    """Number of the block of start values that may hold ``_ord``; 0 before the first cut."""
-    return F.when(F.col("_ord").isNotNull(), F.size(F.filter("_heads", lambda head: head <= F.col("_ord"))))
 
+def place(df: DataFrame, pieces: list[Piece], order: Column, order_type: T.DataType, keys: Sequence[str]) -> DataFrame:
+    """Add ``_ord``, ``_piece`` (0 for keys that are not hot) and ``_copies`` (null for those).
 
-def piece_index() -> Column:
-    """Index of the piece that holds ``_ord``, from ``_block``; 0 for keys that are not hot."""
-    block = F.col("_block")
-    inside = F.size(F.filter(F.element_at("_blocks", block), lambda start: start <= F.col("_ord")))
-    return F.when(block > 0, (block - 1) * F.col("_width") + inside).otherwise(F.lit(0))
+    The time line is laid over a grid of cells, and a piece is listed under each cell it
+    touches. A row then meets only the pieces of its own cell, in a broadcast join whose
+    table is bounded by the number of pieces and GRID_CELLS.
+    """
+    whole = isinstance(order_type, T.IntegralType)
+    starts = [p.start for p in pieces if p.start is not None] or [0]
+    low, high = min(starts), max(starts)
+    cells = max(64, min(4_096, GRID_CELLS // len({p.key for p in pieces})))
+    width = ((high - low) // cells + 1) if whole else ((high - low) / cells or 1.0)
+
+    def cell_of(value) -> int:
+        return 0 if value <= low else cells - 1 if value >= high else min(cells - 1, int((value - low) // width))
+
+    rows = [
+        (p.key, cell, first, last, p.index, p.salts)
+        for p, first, last in _spans(pieces, whole)
+        for cell in range(cell_of(first), cell_of(last) + 1)
+    ]
+    kind = "long" if whole else "double"
+    table = df.sparkSession.createDataFrame(
+        rows, f"_key long, _cell int, _first {kind}, _last {kind}, _place int, _copies int"
+    )
+    at = F.least(F.greatest(F.col("_ord"), F.lit(low)), F.lit(high)) - F.lit(low)
+    cell = F.least(F.floor(at / F.lit(width)).cast("int"), F.lit(cells - 1))
+    marked = df.withColumns({"_key": key_hash(keys), "_ord": order}).withColumn("_cell", cell)
+    inside = F.col("_ord").between(F.col("_first"), F.col("_last"))
+    on = (marked["_key"] == table["_key"]) & (marked["_cell"] == table["_cell"]) & inside
+    joined = marked.join(F.broadcast(table), on, "left")
+    return joined.select(
+        *[marked[c] for c in [*df.columns, "_key", "_ord"]],
+        F.coalesce("_place", F.lit(0)).alias("_piece"),
+        "_copies",
+    )
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], policy: SkewPolicy = SkewPolicy()) -> DataFrame:
