@@ -21,6 +21,7 @@ from tidemark.operators import drift, profile, quality, splits
 from tidemark.operators.lookup import FeatureLookup, training_set
 from tidemark.operators.profile import Monitor
 from tidemark.operators.quality import ColumnRule, Expectation
+from tidemark.sources.tables import FeatureStore
 
 KEY, TIME, LABEL = "customer_id", "transaction_ts", "churn"
 
@@ -167,6 +168,17 @@ def feature_job(
     return FeatureTables(features, labels, quality.run_checks(built, checks))
 
 
+def publish_features(
+    store: FeatureStore, made: FeatureTables, feature_table: str = "churn_features", label_table: str = "churn_labels"
+) -> None:
+    """Write both tables with their keys, unless a check on the built features failed."""
+    failed = made.checks.filter(~F.col("passed")).collect()
+    if failed:
+        raise ValueError("feature checks failed: " + "; ".join(f"{r['name']}: {r['message']}" for r in failed))
+    for name, rows in ((label_table, made.labels), (feature_table, made.features)):
+        store.reset_and_write(name, rows, [KEY, TIME], time_key=TIME, tags={"quality": "silver"})
+
+
 CHURN_MONITOR = Monitor(
     time_col="inference_timestamp",
     model_col="model_version",

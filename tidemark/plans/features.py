@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns
 from tidemark.operators import quality, splits
 from tidemark.plans import churn
 from tidemark.plans.binding import BRONZE_SQL, LOG_SQL, bronze, inference_log, query, sql_bucket, table
+from tidemark.sources import tables
 
 SNAPSHOT = "2024-02-01 00:00:00"
 
@@ -188,6 +191,24 @@ def silver_features(spark, folder):
     return churn.silver_features(validated, _snapshot(), wall_clock=True)[0]
 
 
+_SPLIT_OF_CUSTOMER = f"CASE WHEN {sql_bucket(['f.customer_id'], 42)} < 8000 THEN 'train' ELSE 'test' END"
+
+
+@query(
+    "feature_tables",
+    f"""SELECT f.* EXCLUDE (churn), f.churn AS label, {_SPLIT_OF_CUSTOMER} AS split
+        FROM ({_FEATURES}) f WHERE customer_id IS NOT NULL""",
+)
+def feature_tables(spark, folder):
+    """Raw table to stored feature and label tables, read back and joined on their key."""
+    made = churn.feature_job(bronze(spark, folder), _snapshot())
+    store, mark = tables.FeatureStore(spark, "default"), uuid.uuid4().hex[:12]
+    churn.publish_features(store, made, f"tidemark_features_{mark}", f"tidemark_labels_{mark}")
+    labels = store.read(f"tidemark_labels_{mark}").withColumnRenamed("churn", "label")
+    out = store.read(f"tidemark_features_{mark}").join(labels, ["customer_id", "transaction_ts"])
+    return out.withColumn("transaction_ts", F.col("transaction_ts").cast("timestamp_ntz"))
+
+
 _CHECKS = [
     ("customer_id_no_nulls", "customer_id IS NULL", "nulls in 'customer_id'", "No nulls in 'customer_id'"),
     (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import score
 from tidemark.operators.profile import Monitor
 from tidemark.plans import churn
-from tidemark.plans.binding import BRONZE_COLUMNS, LOG_COLUMNS, query, table
+from tidemark.plans.binding import BRONZE_COLUMNS, LOG_COLUMNS, LOG_SQL, query, table
 from tidemark.plans.features import _FEATURES, SNAPSHOT, _snapshot
 from tidemark.session import scratch_path
 from tidemark.sources import tables
@@ -65,7 +65,16 @@ def stream_score(spark, folder):
     return spark.read.parquet(path)
 
 
-@query("stream_daily")
+@query(
+    "stream_daily",
+    f"""WITH l AS (SELECT *, CAST(date_trunc('day', inference_timestamp) AS TIMESTAMP) AS window_start FROM ({LOG_SQL}))
+        SELECT window_start, model_version, count(*) AS count, count(monthly_charges) AS monthly_charges_count,
+               round(sum(monthly_charges), 6) AS monthly_charges_sum,
+               CAST(count_if(churn IS NOT NULL) AS BIGINT) AS labelled,
+               CAST(count_if(churn = prediction) AS BIGINT) AS correct
+        FROM l WHERE window_start + INTERVAL 2 DAY <= (SELECT max(inference_timestamp) FROM l)
+        GROUP BY window_start, model_version""",
+)
 def stream_daily(spark, folder):
     """Windows the watermark has closed; the newest days stay open until later rows arrive."""
     log = _stream(spark, folder, "events").selectExpr(*LOG_COLUMNS)
@@ -77,4 +86,6 @@ def stream_daily(spark, folder):
     daily = jobs.daily_metrics(log, monitor)
     jobs.append_stream(daily, path, scratch_path(spark, "cp")).awaitTermination()
     rows = spark.read.schema(daily.schema).parquet(path)
-    return rows.select(F.col("window.start").alias("window_start"), "*").drop("window")
+    start = F.col("window.start").cast("timestamp_ntz").alias("window_start")
+    total = F.round("monthly_charges_sum", 6)
+    return rows.select(start, "*").drop("window").withColumn("monthly_charges_sum", total)
