@@ -8,7 +8,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
-from tidemark.functions.distances import _upper_gamma
+from tidemark.functions.distances import upper_gamma
 from tidemark.operators import classify, drift, profile
 from tidemark.operators.profile import Monitor
 from tidemark.plans import churn
@@ -51,7 +51,7 @@ def test_auc_against_pairs(spark):
 
 @pytest.mark.parametrize("x, k, p", [(3.841459, 1, 0.05), (18.307038, 10, 0.05), (2.0, 2, math.exp(-1.0)), (0.0, 3, 1.0)])
 def test_p_value(x, k, p):
-    assert _upper_gamma(k / 2, x / 2) == pytest.approx(p, abs=1e-6)
+    assert upper_gamma(k / 2, x / 2) == pytest.approx(p, abs=1e-6)
 
 
 MONITOR = Monitor("ts", model_col="m", categorical=["c"], slices=["big"])
@@ -99,7 +99,7 @@ def test_consecutive_drift_skips_empty_days(spark):
         row = got[day]
         assert row["tv_distance"] == pytest.approx(tv) and row["l_infinity_distance"] == pytest.approx(li)
         assert row["js_distance"] == pytest.approx(js) and row["chi_squared_statistic"] == pytest.approx(chi)
-        assert row["chi_squared_pvalue"] == pytest.approx(_upper_gamma(k / 2, chi / 2))
+        assert row["chi_squared_pvalue"] == pytest.approx(upper_gamma(k / 2, chi / 2))
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -118,7 +118,7 @@ def test_baseline_drift_by_hand(spark, seed):
         tv, li, js, chi, k = by_hand(cur, Counter(b[0] for b in base))
         assert row["tv_distance"] == pytest.approx(tv) and row["l_infinity_distance"] == pytest.approx(li)
         assert row["js_distance"] == pytest.approx(js) and row["chi_squared_statistic"] == pytest.approx(chi)
-        assert row["chi_squared_pvalue"] == pytest.approx(_upper_gamma(k / 2, chi / 2), abs=1e-9)
+        assert row["chi_squared_pvalue"] == pytest.approx(upper_gamma(k / 2, chi / 2), abs=1e-9)
         checked += 1
     assert checked >= 20
 

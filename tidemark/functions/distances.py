@@ -39,33 +39,41 @@ def chi_squared() -> Column:
     return spread * F.sum("a") * F.sum("b")
 
 
-def _upper_gamma(shape: float, x: float) -> float:
-    """Share of the Gamma(shape, 1) distribution above ``x``."""
-    if x <= 0:
-        return 1.0
-    scale = math.exp(shape * math.log(x) - x - math.lgamma(shape))
-    if x < shape + 1:  # power series of the lower part
-        term = total = 1.0 / shape
-        n = shape
-        while abs(term) > abs(total) * 1e-16:
-            n += 1
-            term *= x / n
-            total += term
-        return max(0.0, 1.0 - total * scale)
-    # continued fraction of the upper part, evaluated from the far end
-    fraction = 0.0
-    for n in range(500, 0, -1):
-        fraction = n * (shape - n) / (x + 2 * n + 1 - shape + fraction)
-    return scale / (x + 1 - shape + fraction)
-
-
-@F.pandas_udf(T.DoubleType())
-def chi_squared_p_value(statistic: pd.Series, degrees: pd.Series) -> pd.Series:
+def _tail_of_gamma():
+    """Functions made inside a function travel to the workers by value, so the workers need no copy of this package."""
+
+    def upper_gamma(shape: float, x: float) -> float:
+        """Share of the Gamma(shape, 1) distribution above ``x``."""
+        if x <= 0:
+            return 1.0
+        scale = math.exp(shape * math.log(x) - x - math.lgamma(shape))
+        if x < shape + 1:  # power series of the lower part
+            term = total = 1.0 / shape
+            n = shape
+            while abs(term) > abs(total) * 1e-16:
+                n += 1
+                term *= x / n
+                total += term
+            return max(0.0, 1.0 - total * scale)
+        # continued fraction of the upper part, evaluated from the far end
+        fraction = 0.0
+        for n in range(500, 0, -1):
+            fraction = n * (shape - n) / (x + 2 * n + 1 - shape + fraction)
+        return scale / (x + 1 - shape + fraction)
+
+    return upper_gamma
+
+
+upper_gamma = _tail_of_gamma()
+
+
+def chi_squared_p_value(statistic: Column, degrees: Column) -> Column:
     """Tail probability of the chi-squared distribution. Runs on finished aggregates, one row per test."""
-    return pd.Series(
-        [
-            float("nan") if pd.isna(s) or pd.isna(d) or d < 1 else _upper_gamma(d / 2, s / 2)
-            for s, d in zip(statistic, degrees)
-        ],
-        dtype="float64",
-    )
+    tail = upper_gamma
+
+    @F.pandas_udf(T.DoubleType())
+    def p_value(s: pd.Series, k: pd.Series) -> pd.Series:
+        sound = s.notna() & (k >= 1)
+        return pd.Series([tail(b / 2, a / 2) if ok else None for a, b, ok in zip(s, k, sound)], dtype="float64")
+
+    return p_value(statistic, degrees)

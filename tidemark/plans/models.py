@@ -205,23 +205,18 @@ def score_batch(spark, folder):
     return scored.select(churn.KEY, churn.TIME, "avg_price_increase", "probability", "prediction")
 
 
-def _load_rule():
-    """A plain Python model: the balance per nation step decides."""
-
-    def predict(rows):
-        return (rows["c_acctbal"] / (rows["c_nationkey"] + 1) > 300).map({True: "Yes", False: "No"})
-
-    return predict
-
-
 @query(
     "score_udf",
     """SELECT c_custkey, CASE WHEN c_acctbal / (c_nationkey + 1) > 300 THEN 'Yes' ELSE 'No' END AS prediction
        FROM customer""",
 )
 def score_udf(spark, folder):
+    def load():
+        """A plain Python model: the balance per nation step decides."""
+        return lambda rows: (rows["c_acctbal"] / (rows["c_nationkey"] + 1) > 300).map({True: "Yes", False: "No"})
+
     customers = table(spark, folder, "customer")
-    scored = score.score_with(customers, _load_rule, ["c_acctbal", "c_nationkey"])
+    scored = score.score_with(customers, load, ["c_acctbal", "c_nationkey"])
     return scored.select("c_custkey", "prediction")
 
 
