@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Container, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -25,6 +26,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    For local runs and shared folders; on other clusters it is installed or sent with --py-files.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have, whatever its extra columns are called."""
     taken = {c.lower() for c in df.columns}

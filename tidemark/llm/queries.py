@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact, packing
+from tidemark.llm import bpe, exact, packing, simhash, toxicity
+from tidemark.llm.common import importable
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +17,11 @@ def query(name: str, sql: str | None = None):
     """Register a query, with its SQL where SQL can express it."""
 
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -56,3 +61,18 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+@query("op10_toxic_segments")
+def toxic_segments(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op7_simhash_groups")
+def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
