@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact, packing, simhash, toxicity
+from tidemark.llm import bpe, exact, packing, simhash, substring, toxicity
 from tidemark.llm.common import importable
 
 QUERIES = {}
@@ -76,3 +76,9 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query("op1_substring_dedup")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out, removed, total = substring.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", F.col(removed).alias("removed_sentences"), F.col(total).alias("sentences"))
