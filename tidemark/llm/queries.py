@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact, packing, simhash, substring, toxicity
+from tidemark.llm import bpe, exact, langid, mil, packing, simhash, substring, toxicity
 from tidemark.llm.common import importable
 
 QUERIES = {}
@@ -82,3 +82,15 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out, removed, total = substring.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return out.select("doc_id", "text", F.col(removed).alias("removed_sentences"), F.col(total).alias("sentences"))
+
+
+@query("op2_quality_mil")
+def quality_mil(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return mil.score(docs, mil.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op4_language_filters")
+def language_filters(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return langid.identify(docs, langid.fit(docs))
