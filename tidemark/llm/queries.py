@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact, langid, mil, packing, simhash, substring, toxicity
+from tidemark.llm import bpe, exact, html_text, langid, mil, packing, simhash, substring, toxicity
 from tidemark.llm.common import importable
 
 QUERIES = {}
@@ -94,3 +94,8 @@ def quality_mil(spark: SparkSession, folder: str) -> DataFrame:
 def language_filters(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return langid.identify(docs, langid.fit(docs))
+
+
+@query("op6_html_density")
+def html_density(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
