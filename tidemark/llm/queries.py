@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact, html_text, langid, mil, packing, simhash, substring, toxicity
+from tidemark.llm import bpe, exact, html_text, imatch, langid, mil, packing, simhash, substring, toxicity
 from tidemark.llm.common import importable
 
 QUERIES = {}
@@ -99,3 +100,13 @@ def language_filters(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_html_density")
 def html_density(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query("op9_imatch")
+def imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.edited_fingerprints(table(spark, folder, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
