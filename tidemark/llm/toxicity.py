@@ -4,8 +4,8 @@ A word scores the log of how much likelier it is in toxic text than elsewhere, w
 Dirichlet priors from the word counts of the whole corpus; words may be known by their
 first letters only, so that inflected forms share a score. Words without evidence score a
 little below zero, so segments of positive total are passages that are toxic as a whole.
-A linear scan finds all maximal ones. Scores are log likelihood ratios, so the chance that
-clean text of n words has a segment of score s is about 1 - exp(-K n exp(-s)); K is fitted.
+A linear scan finds all maximal ones. Scores are log likelihood ratios, so in clean text of n
+words about K n exp(-s) segments reach a score s; K is fitted.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ PRIOR_SHARE = 0.25
 #: many words of topics that happen to have toxic texts are somewhat likelier there, and a text has
 #: hundreds of those.
 LEAST_ODDS, LOWER, LEAST_COUNT = float(np.log(10.0)), 1.5, 3
-#: Segments count as significant below this chance.
-SIGNIFICANCE = 0.05
+#: Terms of the series for the tail of a Poisson law.
+SERIES = 40
 HELD_OUT = 5
 
 
@@ -100,26 +100,36 @@ class Model:
         hits = [(i, s) for i, s in enumerate(map(self.word_score, words)) if s > 0]
         return len(words), maximal_segments(hits, self.gap) if hits else []
 
-    def evidence(self, n: int, segments: list[tuple[float, int, int]]) -> tuple[float, int]:
-        """Total of the significant passages' scores over what chance gives, and their number.
+    def evidence(self, n: int, scores: list[float]) -> tuple[float, int]:
+        """How unlikely the best passages are in clean text, and how many passages that is for.
 
-        A passage's chance is 1 - exp(-K n exp(-s)); its evidence is the negative log of it.
+        In clean text of n words the number of segments that reach s follows a Poisson law of
+        mean K n exp(-s). The evidence is the largest -log of the chance that r segments reach
+        the r-th best score.
         """
-        expected = np.log(self.k * max(n, 1)) - np.array([s for s, _, _ in segments])  # log of K n exp(-s)
-        rare = -expected  # the chance is the expected number where that is small
-        found = np.where(expected < -12, rare, -np.log(-np.expm1(-np.exp(np.clip(expected, -12, 30)))))
-        strong = found[found >= -np.log(SIGNIFICANCE)]
-        return float(strong.sum()), len(strong)
+        best = np.sort(np.array(scores))[::-1]
+        r = np.arange(1, len(best) + 1)
+        mean = self.k * max(n, 1) * np.exp(-best)
+        # Chance of r or more: the first term, times a series in which mean/(r+1) is below 1 where it matters.
+        ratio = mean[:, None] / (r[:, None] + np.arange(1, SERIES + 1))
+        series = 1 + np.cumprod(np.minimum(ratio, 1), axis=1).sum(1)
+        found = np.where(mean < r, mean - r * np.log(mean) + _log_factorial(r) - np.log(series), 0.0)
+        at = int(found.argmax())
+        return max(0.0, float(found[at])), at + 1
 
     def score(self, text: str) -> tuple[float, int]:
         n, segments = self.segments(text)
-        total, passages = self.evidence(n, segments)
-        if not passages:
+        if not segments:
             return self.base, 0
+        total, passages = self.evidence(n, [s for s, _, _ in segments])
         a, b = self.weights
         return float(1 / (1 + np.exp(-(a + b * np.log1p(total))))), passages
 
 
+def _log_factorial(r: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.log(r))
+
+
 def _counts(rows: DataFrame) -> DataFrame:
     """Words with their counts in all text, in toxic and in clean labelled text: (word, n, toxic, clean).
 
@@ -249,9 +259,8 @@ def _calibrated(model: Model, sample: list[tuple[int, int, list[float]]]) -> Mod
     model.k = len(clean) / max(1e-9, sum(n * np.exp(-s) for n, s in clean)) if clean else 1.0
     totals, labels, silent = [], [], []
     for label, n, scores in sample:
-        total, passages = model.evidence(n, [(s, 0, 0) for s in scores])
-        if passages:
-            totals.append(total)
+        if scores:
+            totals.append(model.evidence(n, scores)[0])
             labels.append(1.0 if label else 0.0)
         else:
             silent.append(1.0 if label else 0.0)
@@ -262,7 +271,7 @@ def _calibrated(model: Model, sample: list[tuple[int, int, list[float]]]) -> Mod
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, held_out, score, predicted, passages (the number of significant ones).
+    """One row per document: id, held_out, score, predicted, passages (the number of those the evidence is for).
 
     Every row gets its own score, repeated or not; a null text is empty and scores the share of
     toxic documents among those without evidence; a null id is held out, as nothing was learnt
