@@ -58,6 +58,13 @@ def test_change_feed_rebuilds_the_new_state(spark):
     )
 
 
+def test_change_feed_refuses_repeated_keys(spark):
+    one = spark.createDataFrame([(1, "a")], "k int, v string")
+    for old, new in ((one.union(one), one), (one, one.union(one))):
+        with pytest.raises(PySparkException, match="not unique"):
+            merge.change_feed(old, new, ["k"]).collect()
+
+
 def test_union_logs_fills_absent_columns(spark):
     offline = spark.createDataFrame([(0,)], "k int")
     got = merge.union_logs(offline, offline.withColumn("x", F.lit(1)))
@@ -109,6 +116,53 @@ def test_a_crashed_write_leaves_the_old_state(spark):
     assert rows(spark.table("default.crash")) == [(1, 2.0)]
 
 
+@pytest.mark.parametrize("step", ["before", "after"])
+def test_a_crash_around_the_switch_loses_nothing(spark, step, monkeypatch):
+    """Stop before or after the location is set, then merge again."""
+    name = f"default.crash_{step}"
+    df = spark.createDataFrame([(i, 1.0) for i in range(10)], "k int, v double")
+    FeatureStore(spark, "default").reset_and_write(f"crash_{step}", df, ["k"])
+    run = type(spark).sql
+
+    def crash(self, text, *args, **kwargs):
+        if "SET LOCATION" in text:
+            if step == "after":
+                run(self, text, *args, **kwargs)
+            raise RuntimeError("stopped")
+        return run(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", crash)
+    with pytest.raises(RuntimeError, match="stopped"):
+        tables.merge_into(spark, name, df.filter("k = 1").withColumn("v", F.lit(2.0)))
+    monkeypatch.undo()
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == 10
+    for value in (3.0, 4.0):
+        tables.merge_into(spark, name, df.filter("k = 2").withColumn("v", F.lit(value)))
+    want = {i: 1.0 for i in range(10)} | {2: 4.0} | ({1: 2.0} if step == "after" else {})
+    assert dict(rows(spark.table(name))) == want
+
+
+def test_old_states_go_and_tables_live_in_their_schema(spark):
+    df = spark.createDataFrame([(1, 0.0)], "k int, v double")
+    FeatureStore(spark, "default").reset_and_write("kept", df, ["k"])
+    for i in range(7):
+        tables.publish_version(spark, "default.kept", df.withColumn("v", F.lit(float(i))))
+    base = tables.properties(spark, "default.kept")[tables.BASE]
+    assert base.startswith(spark.catalog.getDatabase("default").locationUri)
+    _, states = tables._states(spark, base)
+    assert len(states) == tables.RETAINED and tables.current_version(spark, "default.kept") == max(states)
+    assert rows(spark.table("default.kept")) == [(1, 6.0)]
+
+
+def test_late_labels_into_a_table(spark):
+    log = spark.createDataFrame([(1, None, "a"), (2, "No", "b")], "k int, churn string, x string")
+    FeatureStore(spark, "default").reset_and_write("late", log, ["k"])
+    labels = spark.createDataFrame([(1, "Yes"), (9, "No")], "k int, churn string")
+    tables.merge_into(spark, "default.late", labels, update=["churn"], insert=False)
+    assert rows(spark.table("default.late")) == [(1, "Yes", "a"), (2, "No", "b")]
+
+
 def test_dry_run_changes_nothing(spark):
     store = FeatureStore(spark, "default", dry_run=True)
     store.reset_and_write("ghost", spark.range(1), ["id"])
@@ -138,6 +192,12 @@ def test_write_modes_partitions_and_comment(spark):
     tables.drop_table(spark, "default.modes")
 
 
+def test_append_may_bring_and_lack_columns(spark):
+    tables.write_table(spark.createDataFrame([(1, "x")], "a int, b string"), "default.grows")
+    tables.write_table(spark.createDataFrame([(2.5, 2)], "c double, a int"), "default.grows", mode="append")
+    assert rows(spark.table("default.grows").select("a", "b", "c")) == [(1, "x", None), (2, None, 2.5)]
+
+
 def test_ingest_checks_and_stamps(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     tables.ingest(df, "default.raw", [ColumnRule("a", type="int", nullable=False)])

@@ -74,14 +74,20 @@ def late_labels(log: DataFrame, labels: DataFrame, keys: Sequence[str], label: s
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row changes between two states of a keyed table, as ``_change_type`` rows.
 
-    insert, delete, update_preimage and update_postimage. Keys must be unique and not
-    null on both sides, so the join cannot meet a hot key. Values compare null-safe.
+    insert, delete, update_preimage and update_postimage. Values compare null-safe. A key
+    that occurs twice on a side raises, so the join never builds pairs; the check groups by the
+    join's own key. A null key matches nothing.
     """
     keys, columns = list(keys), before.columns
     rest = [c for c in columns if c not in keys]
 
     def packed(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.struct(F.lit(1).alias("_on"), *rest).alias(name))
+        one = df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(1).alias("_on"), *rest)).alias("_r")
+        )
+        text = F.concat(F.lit("change feed key is not unique: "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys]))
+        twice = F.raise_error(text).cast(one.schema["_r"].dataType)
+        return one.select(*keys, F.when(F.col("_n") > 1, twice).otherwise(F.col("_r")).alias(name))
 
     both = packed(before, "_old").join(packed(after.select(*columns), "_new"), keys, "full_outer")
     gone, came = F.col("_new").isNull(), F.col("_old").isNull()

@@ -72,20 +72,19 @@ def stream_score(spark, folder):
                round(sum(monthly_charges), 6) AS monthly_charges_sum,
                CAST(count_if(churn IS NOT NULL) AS BIGINT) AS labelled,
                CAST(count_if(churn = prediction) AS BIGINT) AS correct
-        FROM l WHERE window_start + INTERVAL 2 DAY <= (SELECT max(inference_timestamp) FROM l)
-        GROUP BY window_start, model_version""",
+        FROM l GROUP BY window_start, model_version""",
 )
 def stream_daily(spark, folder):
-    """Windows the watermark has closed; the newest days stay open until later rows arrive."""
+    """Every day of the log, the newest ones included, which a closing watermark alone would not publish."""
     log = _stream(spark, folder, "events").selectExpr(*LOG_COLUMNS)
     monitor = Monitor(
         "inference_timestamp", model_col="model_version", prediction_col="prediction", label_col="churn",
         numeric=["monthly_charges"],
     )
-    path = scratch_path(spark, "stream_daily")
     daily = jobs.daily_metrics(log, monitor)
-    jobs.append_stream(daily, path, scratch_path(spark, "cp")).awaitTermination()
-    rows = spark.read.schema(daily.schema).parquet(path)
     start = F.col("window.start").cast("timestamp_ntz").alias("window_start")
-    total = F.round("monthly_charges_sum", 6)
-    return rows.select(start, "*").drop("window").withColumn("monthly_charges_sum", total)
+    daily = daily.select(start, *[c for c in daily.columns if c != "window"])
+    name, keys = f"tidemark_daily_{uuid.uuid4().hex[:12]}", ["window_start", "model_version"]
+    tables.create_keyed_table(spark, name, daily.schema, keys)
+    jobs.upsert_aggregates(daily, name, keys, scratch_path(spark, "cp")).awaitTermination()
+    return spark.table(name).withColumn("monthly_charges_sum", F.round("monthly_charges_sum", 6))

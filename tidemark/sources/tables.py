@@ -1,24 +1,31 @@
 """Catalog tables: writes, keyed merges, versions, properties and schemas.
 
 Plain file tables cannot be merged in place. Here each state of a keyed table is a
-``_version=N`` folder, and one ``ALTER TABLE .. SET LOCATION`` makes a finished
-folder the current one: readers see the old state or the new one, a crash leaves the
-old one, and earlier states stay readable. With Delta present, ``MERGE`` is used.
+``_version=N`` folder beside the schema's tables, and one ``ALTER TABLE .. SET LOCATION``
+makes a finished folder the current one: readers see the old state or the new one, and a
+crash at any moment leaves one of them. The location alone says which state is current; a
+number is taken once, whether its write was finished or not. The newest states stay
+readable. With Delta present, ``MERGE`` is used.
 """
 
 from __future__ import annotations
 
+import re
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import quality
 from tidemark.operators.merge import merge_frames
-from tidemark.session import scratch_path
 
-KEYS, TIME, BASE, VERSION = "tidemark.keys", "tidemark.time", "tidemark.base", "tidemark.version"
+KEYS, TIME, BASE = "tidemark.keys", "tidemark.time", "tidemark.base"
+#: States of a keyed table that are kept, the current one included.
+RETAINED = 5
 
 
 def _text(value: str) -> str:
@@ -37,16 +44,41 @@ def write_table(
     comment: str | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """Write a catalog table. Schemas may grow on append; the caller's options win."""
-    settings = {"mergeSchema": "true"}
-    if mode == "overwrite":
-        settings["overwriteSchema"] = "true"
-    writer = df.write.format(fmt).mode(mode).options(**{**settings, **(options or {})})
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    """Write a catalog table.
+
+    An append may bring new columns, which the table gets (older rows read null), and may lack
+    others, which are null in its rows. File formats have no such option, so the catalog entry
+    is widened first; with Delta the format does it.
+    """
+    spark = df.sparkSession
+    if mode == "append" and spark.catalog.tableExists(name):
+        if fmt == "delta":
+            options = {"mergeSchema": "true", **(options or {})}
+        else:
+            df = _fitted(df, name)
+    out = df.write.format(fmt).mode(mode).options(**(options or {}))
+    (out.partitionBy(*partition_by) if partition_by else out).saveAsTable(name)
     if comment:
-        set_comment(df.sparkSession, name, comment)
+        set_comment(spark, name, comment)
+
+
+def _fitted(df: DataFrame, name: str) -> DataFrame:
+    """``df`` in the columns of the table, after the table got those it lacks."""
+    spark = df.sparkSession
+    held = {c.lower() for c in spark.table(name).columns}
+    new = [f for f in df.schema.fields if f.name.lower() not in held]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(T.StructType(new))})")
+        spark.catalog.refreshTable(name)
+    given = {c.lower(): c for c in df.columns}
+    return df.select(
+        *[
+            F.col(f"`{given[f.name.lower()]}`").alias(f.name)
+            if f.name.lower() in given
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spark.table(name).schema.fields
+        ]
+    )
 
 
 def ingest(
@@ -143,12 +175,12 @@ def create_keyed_table(
     absent = [k for k in [*keys, *([time_key] if time_key else [])] if k not in schema.fieldNames()]
     if absent:
         raise ValueError(f"key columns not in the schema: {absent}")
-    base = base or scratch_path(spark, name.replace(".", "_"))
+    base = base or _base(spark, name)
     location = f"{base}/_version=0"
     spark.createDataFrame([], schema).write.parquet(location)
     drop_table(spark, name)
     spark.sql(f"CREATE TABLE {name} ({_columns(schema)}) USING parquet LOCATION {_text(location)}")
-    facts = {KEYS: ",".join(keys), BASE: base, VERSION: 0, **({TIME: time_key} if time_key else {})}
+    facts = {KEYS: ",".join(keys), BASE: base, **({TIME: time_key} if time_key else {})}
     set_properties(spark, name, {**facts, **(tags or {})})
     if comment:
         set_comment(spark, name, comment)
@@ -162,25 +194,53 @@ def table_keys(spark: SparkSession, name: str) -> list[str]:
     return properties(spark, name).get(KEYS, "").split(",")
 
 
+def _base(spark: SparkSession, name: str) -> str:
+    """A new folder for the states of a table, in its schema's own location."""
+    *schema, table = name.split(".")
+    home = spark.catalog.getDatabase(".".join(schema) or spark.catalog.currentDatabase()).locationUri
+    return f"{home.rstrip('/')}/{table}__states_{uuid.uuid4().hex[:12]}"
+
+
+def _states(spark: SparkSession, base: str) -> tuple[object, dict[int, object]]:
+    """The file system, and the folders of all states by number, finished or not."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for status in files.listStatus(path):
+        if match := re.fullmatch(r"_version=(\d+)", status.getPath().getName()):
+            found[int(match[1])] = status.getPath()
+    return files, found
+
+
+def current_version(spark: SparkSession, name: str) -> int:
+    """Number of the state that the table's location points to."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return int(rows[0]["data_type"].rstrip("/").rpartition("_version=")[2])
+
+
 def publish_version(spark: SparkSession, name: str, df: DataFrame, sort_by: Sequence[str] = ()) -> int:
-    """Write ``df`` as the next version of a keyed table and make it current."""
-    facts = properties(spark, name)
-    # A leftover folder of a crashed write may already hold the next number; it was never current.
-    version = int(facts[VERSION]) + 1
-    location = f"{facts[BASE]}/_version={version}"
+    """Write ``df`` as a new state of a keyed table and make it current.
+
+    The folder is new, so ``df`` may read any state, and what a crashed write left is never
+    written over. Of the states before the new one the newest RETAINED - 1 stay.
+    """
+    base = properties(spark, name)[BASE]
+    files, states = _states(spark, base)
+    version = max([*states, current_version(spark, name)]) + 1
+    location = f"{base}/_version={version}"
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("overwrite").parquet(location)
+    out.write.mode("errorifexists").parquet(location)
     spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(location)}")
-    set_properties(spark, name, {VERSION: version})
     spark.catalog.refreshTable(name)
+    for old in sorted(states, reverse=True)[RETAINED - 1 :]:
+        files.delete(states[old], True)
     return version
 
 
 def read_version(spark: SparkSession, name: str, version: int | None = None) -> DataFrame:
-    """One state of a keyed table; the current one by default."""
-    facts = properties(spark, name)
-    version = int(facts[VERSION]) if version is None else version
-    return spark.read.schema(spark.table(name).schema).parquet(f"{facts[BASE]}/_version={version}")
+    """One retained state of a keyed table; the current one by default."""
+    version = current_version(spark, name) if version is None else version
+    return spark.read.schema(spark.table(name).schema).parquet(f"{properties(spark, name)[BASE]}/_version={version}")
 
 
 def merge_into(
@@ -232,10 +292,22 @@ class FeatureStore:
 
     def create_or_replace(
         self, table: str, df: DataFrame, keys: Sequence[str], time_key: str | None = None,
-        comment: str = "", tags: Mapping[str, str] | None = None,
+        comment: str = "", tags: Mapping[str, str] | None = None, raise_on_drop_error: bool = True,
     ) -> None:
-        if not self._skip("create", table):
-            create_keyed_table(self.spark, self.full_name(table), df.schema, keys, time_key, comment, tags)
+        """An empty keyed table in place of any earlier one.
+
+        With ``raise_on_drop_error=False`` an earlier table that can't be dropped is only
+        replaced in the catalog if the catalog lets it be created.
+        """
+        if self._skip("create", table):
+            return
+        name = self.full_name(table)
+        try:
+            drop_table(self.spark, name)
+        except PySparkException:
+            if raise_on_drop_error:
+                raise
+        create_keyed_table(self.spark, name, df.schema, keys, time_key, comment, tags)
 
     def write(self, table: str, df: DataFrame, mode: str = "merge") -> None:
         """Merge by the declared key, which is checked on the incoming rows first."""
@@ -246,8 +318,11 @@ class FeatureStore:
             merge_into(self.spark, self.full_name(table), df)
 
     def reset_and_write(self, table: str, df: DataFrame, keys: Sequence[str], **options) -> None:
+        """Replace the table by ``df``: a plain write, as there is nothing to merge with."""
         self.create_or_replace(table, df, keys, **options)
-        self.write(table, df)
+        if not self._skip("write", table):
+            check_primary_key(df, keys)
+            publish_version(self.spark, self.full_name(table), df, sort_by=keys)
 
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.full_name(table))

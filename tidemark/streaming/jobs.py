@@ -21,32 +21,65 @@ from tidemark.sources import tables
 LAST_BATCH = "tidemark.batch"
 
 
+def _stream_id(spark: SparkSession) -> str:
+    """The running query's id. It is kept in the checkpoint, so a restarted stream is the same and any other is not."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _once(spark: SparkSession, table: str, number: int, change: Callable[[], None]) -> None:
+    """Make a change for a batch unless the table bears the stamp of that batch of that stream, or a later one."""
+    stamp = f"{LAST_BATCH}.{_stream_id(spark)}"
+    if int(tables.properties(spark, table).get(stamp, -1)) < number:
+        change()
+        tables.set_properties(spark, table, {stamp: number})
+
+
 def upsert_stream(
     stream: DataFrame, table: str, keys: Sequence[str], time_col: str, checkpoint: str, name: str | None = None
 ) -> StreamingQuery:
     """Merge a stream into a keyed table, newest row per key first within each batch.
 
-    The batch number is stored with the table: a batch that is delivered again after a
-    failure is recognised and skipped. Rows older than the table's own are left out.
+    The batch number is stored with the table under the id of the stream's checkpoint: a batch
+    that is delivered again after a failure is recognised and skipped, and streams don't
+    disturb each other. Rows older than the table's own are left out, so even a stream that
+    starts again without its checkpoint ends in the same state. A null key raises: it matches
+    nothing, so it would be inserted again with every delivery.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        stamp = f"{LAST_BATCH}.{name or 'stream'}"
-        if int(tables.properties(spark, table).get(stamp, -1)) >= number:
-            return
-        newest = latest_per_key(batch, keys, time_col)
-        held = spark.table(table).select(*keys, F.col(time_col).alias("_held"))
-        newer = newest.join(held, list(keys), "left").filter(
-            F.col("_held").isNull() | (F.col(time_col) >= F.col("_held"))
-        )
-        tables.merge_into(spark, table, newer.drop("_held"), keys)
-        tables.set_properties(spark, table, {stamp: number})
+
+        def change() -> None:
+            newest = latest_per_key(batch, keys, time_col)
+            for key in keys:
+                missing = F.raise_error(F.lit(f"stream row without key {key}")).cast(newest.schema[key].dataType)
+                newest = newest.withColumn(key, F.coalesce(F.col(key), missing))
+            held = spark.table(table).select(*keys, F.col(time_col).alias("_held"))
+            newer = newest.join(held, list(keys), "left").filter(
+                F.col("_held").isNull() | (F.col(time_col) >= F.col("_held"))
+            )
+            tables.merge_into(spark, table, newer.drop("_held"), keys)
+
+        _once(spark, table, number, change)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     return (writer.queryName(name) if name else writer).start()
 
 
+def upsert_aggregates(stream: DataFrame, table: str, keys: Sequence[str], checkpoint: str) -> StreamingQuery:
+    """Keep a keyed table equal to a streaming aggregate, open groups included.
+
+    Every batch brings the changed groups with their whole new values, which replace the old ones.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        _once(spark, table, number, lambda: tables.merge_into(spark, table, batch, keys))
+
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return writer.outputMode("update").trigger(availableNow=True).start()
+
+
 def append_stream(
     stream: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df
 ) -> StreamingQuery:
