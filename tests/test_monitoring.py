@@ -165,3 +165,13 @@ def test_metric_template(spark):
     assert text == "avg(`prediction` = `churn`)"
     with pytest.raises(ValueError):
         profile.fill_template("{{label_col}}", Monitor("ts"))
+
+
+def test_deviation_of_values_with_a_large_mean(spark):
+    at = dt.datetime(2024, 1, 1)
+    rows = [(at, 1.7e9 + i % 3, "" if i % 2 else "x") for i in range(30)]
+    df = spark.createDataFrame(rows, "ts timestamp, v double, s string")
+    out = profile.profile_numeric(df, profile.Monitor("ts", slices=["s"], numeric=["v"])).collect()
+    whole = [r for r in out if r["slice_key"] is None]
+    assert all(abs(r["stddev"] - (2 / 3) ** 0.5) < 1e-6 for r in whole)
+    assert {r["slice_value"] for r in out if r["slice_key"] == "s"} == {"", "x"}

@@ -103,5 +103,25 @@ def test_class_weights(spark):
     df = spark.createDataFrame([("No",), ("Yes",), ("Yes",), (None,)], "y string")
     assert {r["y"]: r["weight"] for r in splits.class_weights(df, "y").collect()} == {"No": 1.5, "Yes": 0.75}
     assert splits.with_class_weights(df, "y").filter("weight IS NOT NULL").count() == 3
-    with pytest.raises(ValueError, match="classes"):
-        splits.with_class_weights(spark.range(5), "id", max_classes=4)
+    many = splits.with_class_weights(spark.range(1500), "id")
+    assert many.count() == 1500 and many.select("weight").distinct().collect()[0][0] == 1.0
+
+
+def test_order_statistics_at_the_edges(spark):
+    inf, nan = float("inf"), float("nan")
+    values = [inf, -inf, nan, 1e308, -1e308, 0.0, 5e-324, 1.0, 1.0 + 2**-52, inf]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    want = sorted(v for v in values if v == v)
+    assert ranking.order_statistics(df, "v", list(range(len(want)))) == want
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - jobs < 400
+    assert ranking.exact_median(spark.createDataFrame([(float(i),) for i in range(200)] + [(inf,)], "v double"), "v") == 100.0
+    wide = [-(2**63), 2**63 - 1, 0, 5, -7]
+    longs = spark.createDataFrame([(v,) for v in wide], "v long")
+    assert ranking.order_statistics(longs, "v", [0, 1, 2, 3, 4]) == sorted(wide)
+
+
+def test_cutoff_with_nan(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(9)] + [(float("nan"),)], "t double")
+    cutoff, distinct = ranking.percent_rank_cutoff(df, "t", 0.5)
+    assert (cutoff, distinct) == (4.0, 2)

@@ -72,8 +72,9 @@ def expand(base: DataFrame, monitor: Monitor) -> DataFrame:
 
 
 def publish(df: DataFrame) -> DataFrame:
-    """Empty slice markers to null."""
-    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in ("slice_key", "slice_value")})
+    """The markers of the whole table to null; an empty value of a real slice stays."""
+    sliced = F.col("slice_key") != ""
+    return df.withColumns({c: F.when(sliced, F.col(c)) for c in ("slice_key", "slice_value")})
 
 
 def window_counts(df: DataFrame, time_col: str, granularity: str = "1 day", by: Sequence[str] = ()) -> DataFrame:
@@ -101,8 +102,8 @@ def profile_numeric(df: DataFrame, monitor: Monitor) -> DataFrame:
             )
         ],
     )
-    # Squared deviations of merged groups: within groups, plus between group means.
-    merged = expand(base, monitor).groupBy(*GROUP).agg(
+    wide = expand(base, monitor)
+    totals = wide.groupBy(*GROUP).agg(
         F.sum("_rows").alias("_rows"),
         *[
             a
@@ -110,17 +111,31 @@ def profile_numeric(df: DataFrame, monitor: Monitor) -> DataFrame:
             for a in (
                 F.sum(f"_n{i}").alias(f"_n{i}"),
                 F.sum(f"_sum{i}").alias(f"_sum{i}"),
-                F.sum(F.col(f"_dev{i}") + F.pow(F.col(f"_sum{i}"), 2) / F.nullif(F.col(f"_n{i}"), F.lit(0))).alias(f"_sq{i}"),
                 F.min(f"_min{i}").alias(f"_min{i}"),
                 F.max(f"_max{i}").alias(f"_max{i}"),
             )
         ],
     )
 
+    # Squared deviations of merged groups: within groups, plus those of the group means from the total mean.
+    # Taken as a difference of large squares they would lose all digits where the mean is large.
+    def mean_of(i: int) -> Column:
+        return F.col(f"_sum{i}") / F.nullif(F.col(f"_n{i}"), F.lit(0))
+
+    means = totals.select(*GROUP, *[mean_of(i).alias(f"_mean{i}") for i, _ in enumerate(monitor.numeric)])
+    apart = wide.join(means, GROUP).groupBy(*GROUP).agg(
+        *[
+            F.sum(F.col(f"_dev{i}") + F.col(f"_n{i}") * F.pow(mean_of(i) - F.col(f"_mean{i}"), 2)).alias(f"_sq{i}")
+            for i, _ in enumerate(monitor.numeric)
+        ],
+        F.count(F.lit(1)).alias("_groups"),
+    )
+    merged = totals.join(apart, GROUP)
+
     def stats(i: int, name: str) -> Column:
         n, total = F.col(f"_n{i}"), F.col(f"_sum{i}")
         mean = total / F.nullif(n, F.lit(0))
-        variance = F.greatest(F.col(f"_sq{i}") / F.nullif(n, F.lit(0)) - mean * mean, F.lit(0.0))
+        variance = F.col(f"_sq{i}") / F.nullif(n, F.lit(0))
         return F.struct(
             F.lit(name).alias("column_name"),
             F.col("_rows").alias("count"),

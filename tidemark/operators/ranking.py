@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import order_value
@@ -22,20 +22,53 @@ def order_statistics(df: DataFrame, name: str, ranks: list[int]) -> list[int | f
     HISTOGRAM_CELLS counters reach the driver, and rows never leave the executors.
     """
     values = df.select(order_value(name, df.schema[name].dataType).alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
-    bounds = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    return [_select(values, bounds["lo"], bounds["hi"], rank) for rank in ranks]
+    bounds = _bounds(values)
+    return [_value_at(values, bounds, rank) for rank in ranks]
+
+
+def _bounds(values: DataFrame) -> Row:
+    """Of the non-null ``v``: rows below and among the finite values, least and largest finite one, infinite and NaN rows."""
+    number = F.col("v").cast("double")
+    finite = ~F.isnan(number) & (F.abs(number) != F.lit(math.inf))
+    return values.agg(
+        F.count_if(number == F.lit(-math.inf)).alias("low"),
+        F.count_if(finite).alias("finite"),
+        F.count_if(number == F.lit(math.inf)).alias("high"),
+        F.count_if(F.isnan(number)).alias("nan"),
+        F.min(F.when(finite, F.col("v"))).alias("lo"),
+        F.max(F.when(finite, F.col("v"))).alias("hi"),
+    ).first()
+
+
+def _value_at(values: DataFrame, bounds: Row, rank: int) -> int | float:
+    """Value at a rank, in Spark's order: NaN is the largest. Infinite bounds never enter the search."""
+    if rank < bounds["low"]:
+        return -math.inf
+    rank -= bounds["low"]
+    if rank < bounds["finite"]:
+        return _select(values, bounds["lo"], bounds["hi"], rank)
+    rank -= bounds["finite"]
+    if rank < bounds["high"]:
+        return math.inf
+    if rank - bounds["high"] < bounds["nan"]:
+        return math.nan
+    raise ValueError("rank is beyond the number of rows")
 
 
 def _select(values: DataFrame, lo, hi, rank: int):
+    """Value at ``rank`` among those between the finite ``lo`` and ``hi``."""
     while lo != hi:
-        width = (hi - lo) / HISTOGRAM_CELLS
         if isinstance(lo, int):
             step = max(1, math.ceil((hi - lo + 1) / HISTOGRAM_CELLS))
-            cell = F.expr(f"(v - {lo}L) div {step}L") if lo >= 0 else F.expr(f"(v + {-lo}L) div {step}L")
-        elif width > 0 and math.isfinite(width):
-            cell = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(HISTOGRAM_CELLS - 1))
+            # A long's whole range doesn't fit a long.
+            cell = F.expr(f"(CAST(v AS DECIMAL(20, 0)) - CAST('{lo}' AS DECIMAL(20, 0))) div {step}")
         else:
-            cell = F.when(F.col("v") == F.lit(lo), F.lit(0)).otherwise(F.lit(1))
+            width = hi / HISTOGRAM_CELLS - lo / HISTOGRAM_CELLS
+            if width > 0:
+                place = F.floor(F.col("v") / F.lit(width) - F.lit(lo / width))
+                cell = F.least(F.greatest(place, F.lit(0)), F.lit(HISTOGRAM_CELLS - 1))
+            else:
+                cell = F.when(F.col("v") == F.lit(lo), F.lit(0)).otherwise(F.lit(1))
         cells = (
             values.filter(F.col("v").between(lo, hi))
             .groupBy(cell.alias("cell"))
@@ -43,6 +76,16 @@ def _select(values: DataFrame, lo, hi, rank: int):
             .orderBy("cell")
             .collect()
         )
+        if len(cells) == 1 and (cells[0]["lo"], cells[0]["hi"]) == (lo, hi):
+            # Neighbouring doubles that one cell can't tell apart.
+            split = F.when(F.col("v") == F.lit(lo), F.lit(0)).otherwise(F.lit(1))
+            cells = (
+                values.filter(F.col("v").between(lo, hi))
+                .groupBy(split.alias("cell"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                .orderBy("cell")
+                .collect()
+            )
         for row in cells:
             if rank < row["n"]:
                 lo, hi = row["lo"], row["hi"]
@@ -83,7 +126,7 @@ def percent_rank_cutoff(df: DataFrame, name: str, ratio: float) -> tuple[int | f
     if before < nulls:
         return None, distinct
     values = df.select(mark.alias("v")).filter("v IS NOT NULL")
-    return _select(values, lo, hi, before - nulls), distinct
+    return _value_at(values, _bounds(values), before - nulls), distinct
 
 
 def exact_median(df: DataFrame, name: str) -> float | None:

@@ -124,14 +124,10 @@ def class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFram
     return paired.select(label, "n", (F.col("_total") / (F.col("_classes") * F.col("n"))).alias(weight))
 
 
-def with_class_weights(df: DataFrame, label: str, weight: str = "weight", max_classes: int = 1_000) -> DataFrame:
-    """Rows with the weight of their class, for ``weightCol``.
+def with_class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
+    """Rows with the weight of their class, for ``weightCol``; any number of classes.
 
-    A shuffle by label would have as many tasks as classes, so the weights are counted
-    first and go along as a broadcast table of at most ``max_classes`` rows.
+    The weights are one row a class. Adaptive execution broadcasts them while they are small,
+    as classes are; otherwise it is an ordinary join.
     """
-    rows = class_weights(df, label, weight).drop("n").limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"{label} has more than {max_classes} classes")
-    schema = f"`{label}` {df.schema[label].dataType.simpleString()}, `{weight}` double"
-    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, schema)), label, "left")
+    return df.join(class_weights(df, label, weight).drop("n"), label, "left")
