@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import FeatureFunction
 from tidemark.functions.ordering import order_value
@@ -83,7 +84,8 @@ def asof_join(
     All rows of both sides are laid on one time line per key, and a running
     ``last`` carries features forward onto the label rows: one shuffle, however
     many lookups share the keys, and no pairs of rows are ever built. Features
-    come before labels at equal times. Label rows without a match, with a null
+    come before labels at equal times; of several feature rows at one key and time the one with
+    the largest hash of its values counts, so the result is repeatable. Label rows without a match, with a null
     key or with a null time are kept with null features.
 
     A key that holds a large share of the rows is cut into pieces along time.
@@ -103,11 +105,15 @@ def asof_join(
 
     # Label columns stay flat, so the optimizer can prune the ones nobody reads.
     payload = {c: f"_l{i}" for i, c in enumerate(left.columns) if c not in on and c != time}
-    rows = left.select(*key_columns, F.col(time).alias("_time"), *[F.col(c).alias(p) for c, p in payload.items()])
+    rows = left.select(
+        *key_columns, F.col(time).alias("_time"), F.lit(0).cast("long").alias("_tie"),
+        *[F.col(c).alias(p) for c, p in payload.items()],
+    )
     sides = [
         t.select(
             *key_columns,
             F.col(lk.time_key).cast(time_type).alias("_time"),
+            _value_hash(lk, t).alias("_tie"),
             F.struct(F.col(lk.time_key).cast(time_type).alias("_at"), *lk.output_columns(t)).alias(f"_f{i}"),
         ).filter(_all_set([*keys, "_time"]))
         for i, (lk, t) in enumerate(zip(lookups, tables))
@@ -115,7 +121,7 @@ def asof_join(
     pieces = _find_pieces(rows, sides, keys, time_type, policy) if policy.enabled else []
     line = _time_line(rows, sides, keys, time_type, pieces)
 
-    carried = Window.partitionBy(*keys, "_piece", "_salt").orderBy("_time", "_side")
+    carried = Window.partitionBy(*keys, "_piece", "_salt").orderBy("_time", "_side", "_tie")
     carried = carried.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = line.withColumns(
         {f"_f{i}": F.last(f"_f{i}", ignorenulls=True).over(carried) for i in range(len(sides))}
@@ -131,6 +137,12 @@ def asof_join(
     return filled.select(*out)
 
 
+def _value_hash(lookup: FeatureLookup, table: DataFrame) -> Column:
+    """Hash of the feature values that have one (maps and the like have none)."""
+    plain = [c for c in lookup.feature_names(table) if isinstance(table.schema[c].dataType, T.AtomicType)]
+    return F.xxhash64(*[F.col(c) for c in plain]) if plain else F.lit(0).cast("long")
+
+
 def _all_set(columns: Sequence[str]) -> Column:
     test = F.lit(True)
     for name in columns:
@@ -150,7 +162,7 @@ def _find_pieces(rows, sides, keys, time_type, policy) -> list[skew.Piece]:
 
 def _time_line(rows, sides, keys, time_type, pieces) -> DataFrame:
     """Label rows, feature rows and, for hot keys, the feature rows carried into each piece."""
-    shared = [*keys, "_time", "_piece", "_salt", "_side"]
+    shared = [*keys, "_time", "_tie", "_piece", "_salt", "_side"]
 
     def union(parts: list[DataFrame]) -> DataFrame:
         out = parts[0]
@@ -193,7 +205,7 @@ def _carry(placed: DataFrame, feature: str, keys: Sequence[str], pieces: list[sk
     last = (
         placed.filter(F.col("_copies").isNotNull())
         .groupBy(*keys, "_key", "_piece")
-        .agg(F.max_by(F.struct("_time", feature), "_time").alias("_last"))
+        .agg(F.max_by(F.struct("_time", "_tie", feature), F.struct("_time", "_tie")).alias("_last"))
         .groupBy(*keys, "_key")
         .agg(F.map_from_entries(F.collect_list(F.struct("_piece", "_last"))).alias("_by_piece"))
     )
@@ -211,6 +223,7 @@ def _carry(placed: DataFrame, feature: str, keys: Sequence[str], pieces: list[sk
             F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"),
             F.lit(0).alias("_side"),
             F.col("_got._time").alias("_time"),
+            F.col("_got._tie").alias("_tie"),
             F.col(f"_got.{feature}").alias(feature),
         )
     )

@@ -85,9 +85,13 @@ def current_tags(tags: DataFrame) -> DataFrame:
 
 
 def version_metric(versions: DataFrame, runs: DataFrame, metric: str) -> DataFrame:
-    """Model versions with a metric of the run behind them, null when it was not logged."""
-    values = runs.filter(F.col("metric") == metric).select("run_id", F.col("value").alias("metric_value"))
-    return versions.join(values, "run_id", "left")
+    """Model versions with a metric of the run behind them, null when it was not logged.
+
+    A run may log a metric again: the newest value counts, the larger one on ties.
+    """
+    newest = F.max(F.struct("start_time", "value")).alias("_newest")
+    values = runs.filter(F.col("metric") == metric).groupBy("run_id").agg(newest)
+    return versions.join(values.select("run_id", F.col("_newest.value").alias("metric_value")), "run_id", "left")
 
 
 def _gate(name: str, passed, message) -> Column:
@@ -119,25 +123,18 @@ def gate_checks(
         return F.format_string("%.4f", c)
 
     enough = size >= min_chars
-    text = F.when(enough, F.format_string(f"Description has %d chars (min={min_chars}).", size)).otherwise(
-        F.format_string(f"Description too short or missing (%d chars, min={min_chars}).", size)
-    )
-    missing = F.lit(f"Metric '{metric}' was not logged.")
-    against = F.when(value.isNull(), F.lit(f"Challenger metric '{metric}' not found."))
-    if accept_if_no_champion:
-        alone = F.lit(f"No '{champion}' model found - accepting challenger automatically.")
-    else:
-        alone = F.lit(f"No '{champion}' model found and accept_if_no_champion=False.")
-    duel = F.concat(
-        F.lit(f"Challenger {metric}="), number(value), F.lit(f" vs {champion} {metric}="), number(top), F.lit(".")
-    )
+    text = F.format_string(f"%d characters of description, {min_chars} needed", size)
+    missing = F.lit(f"the run behind this version has no value of {metric}")
+    against = F.when(value.isNull(), missing)
+    alone = F.lit(f"nothing holds the alias {champion}: " + ("passes unopposed" if accept_if_no_champion else "refused"))
+    duel = F.concat(F.lit(f"{metric} "), number(value), F.lit(f", {champion} has "), number(top))
     gates = F.array(
         _gate("has_description", enough, text),
         _gate(
             f"metric_{metric}_passed",
             F.coalesce(value >= min_value, F.lit(False)),
             F.when(value.isNull(), missing).otherwise(
-                F.concat(F.lit(f"{metric}="), number(value), F.lit(f" (threshold={min_value})."))
+                F.concat(F.lit(f"{metric} "), number(value), F.lit(f", at least {min_value} needed"))
             ),
         ),
         _gate(
