@@ -175,3 +175,8 @@ def test_deviation_of_values_with_a_large_mean(spark):
     whole = [r for r in out if r["slice_key"] is None]
     assert all(abs(r["stddev"] - (2 / 3) ** 0.5) < 1e-6 for r in whole)
     assert {r["slice_value"] for r in out if r["slice_key"] == "s"} == {"", "x"}
+
+
+def test_p_value_with_very_many_degrees():
+    assert abs(upper_gamma(5e6, 5e6) - 0.49994) < 2e-5
+    assert abs(upper_gamma(0.5, 0.5) - 0.31731050786) < 1e-10 and abs(upper_gamma(3, 10.0) - 0.00276939571) < 1e-10

@@ -125,3 +125,9 @@ def test_cutoff_with_nan(spark):
     df = spark.createDataFrame([(float(i),) for i in range(9)] + [(float("nan"),)], "t double")
     cutoff, distinct = ranking.percent_rank_cutoff(df, "t", 0.5)
     assert (cutoff, distinct) == (4.0, 2)
+
+
+def test_newest_row_may_hold_a_map(spark):
+    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"a": 2}), (2, 1, {"b": 1})], "k int, t int, m map<string,int>")
+    got = {r["k"]: r["m"] for r in splits.latest_per_key(df, ["k"], "t").collect()}
+    assert got == {1: {"a": 2}, 2: {"b": 1}}

@@ -55,11 +55,19 @@ def _tail_of_gamma():
                 term *= x / n
                 total += term
             return max(0.0, 1.0 - total * scale)
-        # continued fraction of the upper part, evaluated from the far end
-        fraction = 0.0
-        for n in range(500, 0, -1):
-            fraction = n * (shape - n) / (x + 2 * n + 1 - shape + fraction)
-        return scale / (x + 1 - shape + fraction)
+        # continued fraction of the upper part, forward until it no longer changes
+        tiny, n = 1e-300, 0
+        b = x + 1 - shape
+        c, d = 1 / tiny, 1 / b
+        total = d
+        while True:
+            n += 1
+            step, b = n * (shape - n), b + 2
+            d = 1 / (step * d + b or tiny)
+            c = b + step / c or tiny
+            total *= c * d
+            if abs(c * d - 1) < 1e-15:
+                return min(1.0, scale * total)
 
     return upper_gamma
 

@@ -141,6 +141,11 @@ def roc_auc(points: DataFrame) -> DataFrame:
     return points.agg((wins / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
 
 
+def average_precision(points: DataFrame) -> DataFrame:
+    """Area under the precision-recall curve in steps: precision at each threshold by the recall it adds."""
+    return points.agg((F.sum(F.col("pos") * F.col("precision")) / F.sum("pos")).alias("precision_recall_auc"))
+
+
 def log_loss(df: DataFrame, label: str, score: str, positive: str) -> DataFrame:
     """Mean negative log likelihood of the given probability of the positive class."""
     chance = F.least(F.greatest(F.col(score), F.lit(1e-15)), F.lit(1 - 1e-15))
@@ -157,7 +162,8 @@ def evaluate(
     out = _long(wide, prefix)
     if score is not None:
         out = out.unionByName(_long(log_loss(df, label, score, positive), prefix))
-        out = out.unionByName(_long(roc_auc(roc_points(df, label, score, positive)), prefix))
+        points = roc_points(df, label, score, positive)
+        out = out.unionByName(_long(roc_auc(points), prefix)).unionByName(_long(average_precision(points), prefix))
     return out
 
 

@@ -43,7 +43,8 @@ class PrepSpec:
     Number strategies: mean, median, constant, most_frequent. Category strategies:
     most_frequent, constant. ``remainder`` says what happens to other columns: drop
     or passthrough. ``handle_unknown``: ignore gives all zeros, error raises.
-    ``max_categories`` guards against encoding an id column; exceeding it raises.
+    ``max_categories`` can guard against encoding an id column: exceeding it raises. There is no limit
+    unless one is given.
     """
 
     booleans: Sequence[str] = ()
@@ -57,7 +58,7 @@ class PrepSpec:
     handle_unknown: str = "ignore"
     fill_value: object = None
     remainder: str = "drop"
-    max_categories: int = 500
+    max_categories: int | None = None
 
 
 def churn_spec(**overrides: object) -> PrepSpec:
@@ -200,14 +201,17 @@ def _fit_categories(df: DataFrame, spec: PrepSpec) -> dict[str, tuple[str | None
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # One row more than allowed per column shows that a column is too wide. The rank filter is
-    # applied before the shuffle (window group limit), so a wide column never sends all its values.
-    place = F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("n"), "value"))
-    rows = counts.withColumn("place", place).filter(F.col("place") <= spec.max_categories + 1).collect()
+    # The values are parameters of the fitted encoder, one output column each. Where a limit is set, one row
+    # more per column shows that a column is too wide; the rank filter is applied before the shuffle
+    # (window group limit), so such a column never sends all its values.
+    if spec.max_categories is not None:
+        place = F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("n"), "value"))
+        counts = counts.withColumn("place", place).filter(F.col("place") <= spec.max_categories + 1).drop("place")
+    rows = counts.collect()
     out: dict[str, tuple[str | None, list[str]]] = {}
     for name in names:
-        found = sorted((r["place"], r["value"]) for r in rows if r["column_name"] == name)
-        if len(found) > spec.max_categories:
+        found = sorted((-r["n"], r["value"]) for r in rows if r["column_name"] == name)
+        if spec.max_categories is not None and len(found) > spec.max_categories:
             raise ValueError(f"{name} has more than {spec.max_categories} categories")
         strategy = spec.boolean_strategy if name in spec.booleans else spec.category_strategy
         if strategy == "constant":

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.ordering import order_value
 
 HISTOGRAM_CELLS = 8_192
+RANGE_ROWS = 500_000
 
 
 def order_statistics(df: DataFrame, name: str, ranks: list[int]) -> list[int | float]:
@@ -139,13 +140,15 @@ def exact_median(df: DataFrame, name: str) -> float | None:
     return float(sum(found) / len(found))
 
 
-def prefix_sums(df: DataFrame, order: str, sums: list[str], parts: int = 256) -> DataFrame:
+def prefix_sums(df: DataFrame, order: str, sums: list[str], parts: int | None = None) -> DataFrame:
     """Running totals over distinct values of ``order``, ascending, without a global window.
 
     ``order`` is a number, unique per row (group by it first). Rows are cut into ``parts``
-    ranges of equal row count; each range sums on its own and starts from the total
-    of the ranges before it. Adds ``cum_<name>`` columns, the row's own value included.
+    ranges of equal row count (by default one for every RANGE_ROWS rows); each range sums on its
+    own and starts from the total of the ranges before it. Adds ``cum_<name>`` columns, the
+    row's own value included.
     """
+    parts = parts or max(16, math.ceil(df.count() / RANGE_ROWS))
     steps = [i / parts for i in range(1, parts)]
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), steps, 10 * parts)).first()[0] or []
     edges = [-math.inf, *sorted(set(cuts)), math.inf]
@@ -154,10 +157,10 @@ def prefix_sums(df: DataFrame, order: str, sums: list[str], parts: int = 256) ->
     ranged = df.withColumn("_value", F.col(order).cast("double"))
     ranged = Bucketizer(splits=edges, inputCol="_value", outputCol="_part").transform(ranged).drop("_value")
     totals = ranged.groupBy("_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    # At most `parts` rows, so one task is enough for this window.
+    # One row a range, so one task is enough for this window.
     ahead = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t_{c}").over(ahead), F.lit(0)).alias(f"_o_{c}") for c in sums])
     inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = ranged.join(F.broadcast(offsets), "_part")
+    out = ranged.join(offsets, "_part")
     out = out.withColumns({f"cum_{c}": F.col(f"_o_{c}") + F.sum(c).over(inside) for c in sums})
     return out.drop("_part", *[f"_o_{c}" for c in sums])

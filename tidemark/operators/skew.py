@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 TRACKED_ITEMS = 20_000
 MAX_HOT_KEYS = 2_000
 SKETCH_ACCURACY = 10_000
-CUT_ROWS = 20_000_000
 GRID_CELLS = 65_536
 
 
@@ -82,6 +81,8 @@ def hot_keys(rows: DataFrame, policy: SkewPolicy) -> tuple[dict[int, int], int]:
     The sketch never misses an item whose share is above its error, about 1/9000 for
     TRACKED_ITEMS, which is below ``policy.share``. One map-side aggregate, no shuffle by key.
     """
+    if policy.share * MAX_HOT_KEYS < 1:
+        raise ValueError(f"a share below 1/{MAX_HOT_KEYS} can't be told from the sketch")
     found = rows.agg(
         F.count(F.lit(1)).alias("n"),
         F.expr(f"approx_top_k(_key, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
@@ -97,9 +98,6 @@ def cut_pieces(rows: DataFrame, hot: dict[int, int], total: int, policy: SkewPol
     grid = max(wanted.values())
     steps = [i / grid for i in range(1, grid)]
     marks = rows.filter(F.col("_key").isin(list(hot)) & F.col("_ord").isNotNull())
-    if sum(hot.values()) > CUT_ROWS:
-        # Only the places of the cuts come from a sample; every row is still assigned to a piece.
-        marks = marks.sample(CUT_ROWS / sum(hot.values()), seed=0)
     cuts = marks.groupBy("_key").agg(F.percentile_approx("_ord", steps, SKETCH_ACCURACY).alias("cuts")).collect()
     found = {row["_key"]: row["cuts"] for row in cuts}
     return [piece for key in hot for piece in _pieces_of(key, found.get(key, []), wanted[key])]

@@ -93,13 +93,18 @@ def attach_labels(
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], time_col: str) -> DataFrame:
-    """The newest row per key; equal times are settled by the other columns, largest first.
+    """The newest row per key; equal times are settled by the other orderable columns, largest first.
 
     An aggregate, not a window: rows are reduced before the shuffle, so a key with
     very many rows sends at most one row per input partition.
     """
     rest = [c for c in df.columns if c not in keys and c != time_col]
-    newest = df.groupBy(*keys).agg(F.max(F.struct(time_col, *rest)).alias("_r"))
+    plain = [c for c in rest if "map<" not in df.schema[c].dataType.simpleString()]
+    if plain == rest:
+        newest = F.max(F.struct(time_col, *rest))
+    else:  # maps can't be compared, but the row that the others choose has them
+        newest = F.max_by(F.struct(time_col, *rest), F.struct(time_col, *plain))
+    newest = df.groupBy(*keys).agg(newest.alias("_r"))
     return newest.select(*[F.col(c) if c in keys else F.col(f"_r.`{c}`").alias(c) for c in df.columns])
 
 

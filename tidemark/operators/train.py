@@ -19,8 +19,15 @@ from tidemark.operators.prep import FittedPrep, PrepSpec
 
 FAMILIES = ("LogisticRegression", "RandomForest", "GradientBoosting")
 
-# Defaults of the plain boosted-tree model.
-GBT_DEFAULTS = {"max_depth": 5, "n_estimators": 20, "learning_rate": 0.1, "max_bin": 64, "subsample": 0.8}
+# Parameters of the plain boosted-tree model.
+GBT_DEFAULTS = {
+    "n_estimators": 250,
+    "max_depth": 8,
+    "learning_rate": 0.0678,
+    "max_bin": 229,
+    "min_samples_leaf": 66,
+    "subsample": 0.6965,
+}
 
 
 @dataclass(frozen=True)
@@ -60,7 +67,8 @@ def classifier(family: str, params: Mapping[str, float], rows: int, seed: int =
     columns = {"featuresCol": "features", "labelCol": "label_index", "weightCol": "weight"}
     if family == "LogisticRegression":
         penalty = 1.0 / (params["C"] * max(rows, 1)) if "C" in params else 0.0
-        return LogisticRegression(regParam=penalty, tol=params.get("tol", 1e-6), **columns)
+        # The penalty is on the weights of the columns as encoded, not on rescaled ones.
+        return LogisticRegression(regParam=penalty, tol=params.get("tol", 1e-6), standardization=False, **columns)
     if family == "RandomForest":
         return RandomForestClassifier(
             numTrees=int(params["n_estimators"]),
@@ -75,6 +83,7 @@ def classifier(family: str, params: Mapping[str, float], rows: int, seed: int =
             maxDepth=int(params["max_depth"]),
             stepSize=params["learning_rate"],
             maxBins=max(2, int(params["max_bin"])),
+            minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
             subsamplingRate=params.get("subsample", 1.0),
             seed=seed,
             **columns,

@@ -202,10 +202,12 @@ _SCORE = "monthly_charges / (monthly_charges + 50)"
               WHERE score IS NOT NULL GROUP BY 1),
         c AS (SELECT *, sum(neg) OVER (ORDER BY score) - neg AS below FROM s),
         a AS (SELECT sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS v FROM c),
+        d AS (SELECT *, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp FROM s),
+        e AS (SELECT sum(pos * tp / (tp + fp)) / sum(pos) AS v FROM d),
         wide AS (SELECT true_positives::DOUBLE AS true_positives, false_positives::DOUBLE AS false_positives,
                         false_negatives::DOUBLE AS false_negatives, true_negatives::DOUBLE AS true_negatives,
                         example_count::DOUBLE AS example_count, accuracy_score, precision_score, recall_score, f1_score,
-                        l.v AS log_loss, a.v AS roc_auc FROM b, l, a)
+                        l.v AS log_loss, a.v AS roc_auc, e.v AS precision_recall_auc FROM b, l, a, e)
         SELECT 'test_' || metric AS metric, round(value, 9) AS value FROM (UNPIVOT wide ON COLUMNS(*) INTO NAME metric VALUE value)""",
 )
 def eval_long(spark, folder):
