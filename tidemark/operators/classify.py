@@ -116,10 +116,9 @@ def roc_points(df: DataFrame, label: str, score: str, positive: str) -> DataFram
         .groupBy(F.col(score).cast("double").alias("threshold"))
         .agg(F.count_if(truth).alias("pos"), F.count_if(~truth).alias("neg"))
     )
-    whole = per_score.agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).withColumn("_one", F.lit(1))
-    running = prefix_sums(per_score, "threshold", ["pos", "neg"]).withColumn("_one", F.lit(1))
-    # `whole` is one row.
-    both = running.join(F.broadcast(whole), "_one")
+    whole = per_score.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
+    both = prefix_sums(per_score, "threshold", ["pos", "neg"]).withColumn("_whole", whole)
+    both = both.withColumns({"_p": F.col("_whole.p"), "_n": F.col("_whole.n")})
     tp = F.col("_p") - F.col("cum_pos") + F.col("pos")
     fp = F.col("_n") - F.col("cum_neg") + F.col("neg")
     return both.select(

@@ -122,9 +122,9 @@ def baseline_drift(shares: DataFrame, baseline: DataFrame, columns: Sequence[str
     ranked = levels.withColumn("level", F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("b"))))
     held = rows.filter(F.col("b") > 0).groupBy(*by, "b").agg(F.count(F.lit(1)).alias("held"))
     whole = held.join(ranked, ["column_name", "b"]).filter(F.col("held") == F.col("of_level"))
-    complete = whole.groupBy(*by).agg(F.sort_array(F.collect_list("level")).alias("levels"))
-    # Sorted levels 1, 2, .. without a gap are complete; the first absent one is the level wanted.
-    first_gap = F.size(F.filter("levels", lambda level, i: level == i + 1)) + 1
+    # Levels 1, 2, .. without a gap are complete; the first absent one is the level wanted.
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("level"))
+    complete = whole.withColumn("place", place).groupBy(*by).agg((F.count_if(F.col("level") == F.col("place")) + 1).alias("gap"))
 
     sums = rows.groupBy(*by).agg(
         F.sum(F.abs(F.col("p") - F.col("q"))).alias("_l1"),
@@ -138,7 +138,7 @@ def baseline_drift(shares: DataFrame, baseline: DataFrame, columns: Sequence[str
     )
     totals = fixed.select("column_name", "base_total", "base_values").distinct()
     joined = sums.join(totals, "column_name").join(complete, by, "left")
-    joined = joined.withColumn("level", F.coalesce(first_gap, F.lit(1)))
+    joined = joined.withColumn("level", F.coalesce("gap", F.lit(1)))
     joined = joined.join(ranked.select("column_name", "level", F.col("b").alias("_top")), ["column_name", "level"], "left")
     left_over = (F.col("base_total") - F.col("_b")) / F.col("base_total")
     top = F.coalesce(F.col("_top") / F.col("base_total"), F.lit(0.0))
@@ -200,11 +200,9 @@ def all_metrics(performance: DataFrame, drift: DataFrame, drift_columns: Sequenc
     Only times with drift are kept; without any drift rows the performance stands alone,
     with null drift. Both cases are one plan.
     """
-    # One row; the constant key only carries it to every performance row.
-    present = drift.agg(F.count(F.lit(1)).alias("_present")).withColumn("_one", F.lit(1))
+    none = drift.agg(F.count(F.lit(1)) == 0).scalar()
     marked = drift.withColumn("_found", F.lit(True))
-    joined = performance.join(marked, ["time", "model_id"], "left").withColumn("_one", F.lit(1))
-    kept = joined.join(F.broadcast(present), "_one").filter((F.col("_present") == 0) | F.col("_found").isNotNull())
+    kept = performance.join(marked, ["time", "model_id"], "left").filter(F.col("_found").isNotNull() | none)
     return kept.select(*performance.columns, *drift_columns)
 
 

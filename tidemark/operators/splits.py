@@ -123,10 +123,8 @@ def route_traffic(
 def class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
     """Balanced weight per class: rows / (classes x rows of the class)."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    whole = counts.agg(F.sum("n").alias("_total"), F.count(F.lit(1)).alias("_classes"))
-    # One-row total joined on a constant key; both sides have one row per class at most.
-    paired = counts.withColumn("_one", F.lit(1)).join(whole.withColumn("_one", F.lit(1)), "_one")
-    return paired.select(label, "n", (F.col("_total") / (F.col("_classes") * F.col("n"))).alias(weight))
+    share = counts.agg(F.sum("n") / F.count(F.lit(1))).scalar()
+    return counts.select(label, "n", (share / F.col("n")).alias(weight))
 
 
 def with_class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:

@@ -21,8 +21,9 @@ def src_dispatch(spark, folder):
 
 @query("src_table", "SELECT * FROM orders")
 def src_table(spark, folder):
-    table(spark, folder, "orders").createOrReplaceTempView("tidemark_orders")
-    return readers.read_source(spark, Source("table", table="tidemark_orders"))
+    name = _fresh(spark, "orders")
+    tables.write_table(table(spark, folder, "orders"), name)
+    return readers.read_source(spark, Source("table", table=name))
 
 
 @query(
@@ -90,8 +91,7 @@ def _fresh(spark, label: str) -> str:
 def write_roundtrip(spark, folder):
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
     name = _fresh(spark, "lines")
-    options = {"path": scratch_path(spark, name)}
-    tables.write_table(rows, name, partition_by=["l_returnflag"], options=options, comment="order lines")
+    tables.write_table(rows, name, partition_by=["l_returnflag"], comment="order lines")
     return spark.table(name)
 
 
@@ -103,10 +103,7 @@ def bronze_ingest(spark, folder):
         ColumnRule("o_totalprice", type="double", at_least=0),
     ]
     name = _fresh(spark, "bronze")
-    orders = table(spark, folder, "orders")
-    tables.quality.check_schema(orders, rules)
-    stamped = tables.stamp_ingestion(orders, F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00'"))
-    tables.write_table(stamped, name, options={"path": scratch_path(spark, name)})
+    tables.ingest(table(spark, folder, "orders"), name, rules, at=F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00'"))
     return spark.table(name)
 
 
