@@ -181,7 +181,7 @@ def test_gates_and_promotion(spark, store):
     gates = registry.gate_checks(versions, runs, aliases, "f1", min_value=0.65)
     got = {(r["model"], r["version"], r["check"]): (r["passed"], r["message"]) for r in gates.collect()}
     assert got["m", 3, "has_description"][0] is False
-    assert got["m", 2, "champion_challenger_passed"] == (True, "Challenger f1=0.8000 vs Champion f1=0.7000.")
+    assert got["m", 2, "champion_challenger_passed"] == (True, "f1 0.8000, Champion has 0.7000")
     assert got["m", 3, "champion_challenger_passed"][0] is False
     assert got["new", 1, "metric_f1_passed"] == (False, "the run behind this version has no value of f1")
     assert got["new", 1, "champion_challenger_passed"][0] is False
