@@ -17,13 +17,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import cut_words, identified, text_slices
+from tidemark.llm.common import Recent, cut_words, identified, text_slices
 
 NONE = 1 << 62
 #: Children of a node of the tree.
 FAN = 32
-#: Words a Python worker remembers before it starts anew.
-REMEMBERED = 500_000
+#: Words, and matches of the split pattern, in a generation of a Python worker's memory.
+REMEMBERED = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -162,10 +162,8 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.pairs = Pairs(ranks)
-        self.pieces: dict[str, list[int]] = {}
-        self.ids: dict[str, bytes] = {}  # of a blank and the word, as text
-        self.back: dict[str, bytes] = {}  # what those ids decode to
-        self.odd: set[str] = set()  # parts beside more white space than one blank
+        self.pieces = Recent(REMEMBERED)  # ids of a match of the pattern
+        self.words = Recent(REMEMBERED)  # ids of a blank and the word, as text, and what they decode to
 
     def merge(self, pieces: list[str]) -> list[list[int]]:
         raw = [p.encode() for p in pieces]
@@ -179,31 +177,30 @@ class Codec:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.bytes_of[i] for i in ids])
 
-    def learn(self, new: set[str]) -> None:
+    def learn(self, new: list[str]) -> None:
         """Encode and decode words that weren't met before, each with the blank before it."""
-        split = {w: self.pattern.findall(" " + w) for w in new}
-        pieces = list({p for found in split.values() for p in found if p not in self.pieces})
-        self.pieces.update(zip(pieces, self.merge(pieces)))
-        for w, found in split.items():
-            ids = [i for p in found for i in self.pieces[p]]
-            self.ids[w] = " ".join(map(str, ids)).encode()
-            self.back[w] = self.decode(ids)
+        split = [self.pattern.findall(" " + w) for w in new]
+        pieces = self.pieces.missing(set().union(*split))
+        known = self.pieces.now
+        known.update(zip(pieces, self.merge(pieces)))
+        for w, found in zip(new, split):
+            ids = [i for p in found for i in known[p]]
+            self.words.now[w] = " ".join(map(str, ids)).encode(), self.decode(ids)
 
     def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
         """Of each text: number of ids, SHA-256 of the ids as text, SHA-256 of the decoded bytes."""
-        if len(self.ids) > REMEMBERED:
-            for memory in (self.ids, self.back, self.pieces):
-                memory.clear()
-        split = cut_words(texts, self.ids, self.odd)
-        self.learn(set().union(*[parts[1:] for parts in split]).difference(self.ids))
+        split, new = cut_words(texts, self.words)
+        self.learn(new)
         counts, hashes, decoded = [], [], []
+        get = self.words.now.__getitem__
         for parts in split:
             head = self.encode(parts[0])
             first = [" ".join(map(str, head)).encode()] if head else []
-            ids = b" ".join(first + list(map(self.ids.__getitem__, parts[1:])))
-            back = self.decode(head) + b"".join(map(self.back.__getitem__, parts[1:]))
-            counts.append(ids.count(b" ") + 1 if ids else 0)
-            hashes.append(hashlib.sha256(ids).hexdigest())
+            known = list(map(get, parts[1:]))
+            line = b" ".join(first + [k[0] for k in known])
+            back = self.decode(head) + b"".join([k[1] for k in known])
+            counts.append(line.count(b" ") + 1 if line else 0)
+            hashes.append(hashlib.sha256(line).hexdigest())
             decoded.append(hashlib.sha256(back).hexdigest())
         return counts, hashes, decoded
 

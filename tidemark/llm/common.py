@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Container, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 4_000_000
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -83,15 +83,51 @@ def text_slices(batch: pa.RecordBatch, chars: int = SLICE_CHARS) -> Iterator[tup
 _SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
-def cut_words(texts: list[str], known: Container[str], odd: set[str]) -> list[list[str]]:
-    """Each text cut at the single blanks between two other characters.
+class Recent:
+    """What was computed for the words met lately: two generations, the older one dropped when the newer is full."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.now: dict = {}
+        self.older: dict = {}
+
+    def missing(self, words: set) -> list:
+        """The words not known; known ones of the older generation move to the newer, so all others are in ``now``."""
+        if len(self.now) > self.limit:
+            self.older, self.now = self.now, {}
+        new = words.difference(self.now)
+        older = self.older
+        self.now.update([(w, older[w]) for w in new if w in older])
+        return [w for w in new if w not in older]
+
+
+def cut_words(texts: list[str], known: Recent) -> tuple[list[list[str]], list[str]]:
+    """Each text cut at the single blanks between two other characters, and the parts not known.
 
     For byte-level BPE: a match of its split pattern that holds a blank starts with it or lies
     in a run of white space, so no match crosses such a cut, and the parts can be encoded one
-    by one, all but the first with the blank before them. ``odd`` gathers parts that show that
-    their text has other white space beside a blank; ``known`` parts show it no more.
+    by one, all but the first with the blank before them.
     """
     split = [text.split(" ") for text in texts]
-    new = set().union(*split).difference(known)
-    odd.update(w for w in new if not w or w[0].isspace() or w[-1].isspace())
-    return [parts if odd.isdisjoint(parts) else _SINGLE_BLANK.split(text) for parts, text in zip(split, texts)]
+    new = known.missing(set().union(*split))
+    # Parts that show that their text has other white space beside a blank; they are never known.
+    odd = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
+    if odd:
+        split = [parts if odd.isdisjoint(parts) else _SINGLE_BLANK.split(text) for parts, text in zip(split, texts)]
+        new = known.missing(set().union(*[parts[1:] for parts in split]))
+    return split, new
+
+
+def plain_words(new: list[str]) -> tuple[list[str], list[str], list[str]]:
+    """Words of letters only, such words with one mark after them, and all others.
+
+    With the blank before it the first is one match of the split pattern, and the second two.
+    """
+    letters = [w for w in new if w.isalpha()]
+    rest = [w for w in new if not w.isalpha()]
+    marked = [w for w in rest if w[-1:] in _MARKS and w[:-1].isalpha()]
+    done = set(marked)
+    return letters, marked, [w for w in rest if w not in done]
+
+
+_MARKS = frozenset(".,;:!?")

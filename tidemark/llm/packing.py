@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,9 +21,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_words, identified, text_slices
+from tidemark.llm.common import Recent, cut_words, identified, plain_words, text_slices
 
-REMEMBERED = 500_000
+#: Words in a generation of a Python worker's memory.
+REMEMBERED = 400_000
 
 
 @dataclass(frozen=True)
@@ -38,6 +38,8 @@ class Plan:
     inner_cut: float = 48.0
     #: Each window, so that short windows which need no padding aren't free.
     window: float = 8.0
+    #: Of the sentence ends in as many tokens only the last is a choice.
+    spacing: int = 32
     #: Sentences longer than this may be cut every ``inner_step`` tokens.
     long_sentence: int = 192
     inner_step: int = 32
@@ -59,17 +61,19 @@ def best_ends(positions: np.ndarray, penalties: np.ndarray, plan: Plan) -> list[
         hit = np.flatnonzero(positions[np.minimum(at, len(positions) - 1)] == positions - power)
         for j, i in zip(hit.tolist(), at[hit].tolist()):
             exact.setdefault(j, []).append(i)
+    # Starts that are near enough for each end, and the parts of its cost that don't depend on the start.
+    lowest = np.searchsorted(positions, positions - plan.capacity).tolist()
     place, extra = positions.tolist(), (penalties + plan.window).tolist()
-    cost = [0.0] * len(place)
-    start = [0] * len(place)
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # (cost + position, index), both rising
+    last = len(place) - 1
+    cost, start = [0.0] * (last + 1), [0] * (last + 1)
+    values, indices, head = [0.0], [0], 0  # the monotone queue: costs + positions and indices, both rising
     capacity = plan.capacity
-    for j in range(1, len(place)):
-        p = place[j]
-        while place[queue[0][1]] < p - capacity:
-            queue.popleft()
-        value, i = queue[0]
-        best = value + capacity - p
+    for j in range(1, last + 1):
+        p, low = place[j], lowest[j]
+        while indices[head] < low:
+            head += 1
+        i = indices[head]
+        best = values[head] + capacity - p
         if j in exact:
             for k in exact[j]:
                 if cost[k] < best:
@@ -77,9 +81,11 @@ def best_ends(positions: np.ndarray, penalties: np.ndarray, plan: Plan) -> list[
         best += extra[j]
         cost[j], start[j] = best, i
         value = best + p
-        while queue and queue[-1][0] > value:
-            queue.pop()
-        queue.append((value, j))
+        while len(values) > head and values[-1] > value:
+            values.pop()
+            indices.pop()
+        values.append(value)
+        indices.append(j)
     ends, j = [], len(place) - 1
     while j:
         ends.append(j)
@@ -87,67 +93,98 @@ def best_ends(positions: np.ndarray, penalties: np.ndarray, plan: Plan) -> list[
     return ends[::-1]
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter a byte-level vocabulary writes for each byte: printable ones are themselves, others follow U+0100."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class TokenLine:
-    """Token ids of a text and where its sentences end."""
+    """Token ids of a text and where its sentences end.
+
+    Matches of the split pattern are encoded once, many in one call, already split and written
+    in the vocabulary's letters, so that the library only has to merge.
+    """
 
     def __init__(self, path: str, pattern: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.pre_tokenizer = CharDelimiterSplit("\0")
         self.pattern = regex.compile(pattern)
-        self.ids: dict[str, bytes] = {}  # of a blank and the word, 4 bytes each
-        self.odd: set[str] = set()
+        self.letters = byte_letters()
+        self.words = Recent(REMEMBERED)  # ids of a blank and the word, 4 bytes each
+        self.pieces = Recent(REMEMBERED // 4)  # ids of a match of the pattern, for other parts of texts
         vocabulary = self.tokenizer.get_vocab()
         shown = [""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             shown[i] = token
-        # In this kind of vocabulary a blank is written as U+0120 and a line feed as U+010A.
-        self.closes = np.array([t[-1:] in (".", "!", "?", "Ċ") for t in shown])
-        self.opens = np.array([t[:1] in ("Ġ", "Ċ") for t in shown])
-        self.breaks = np.array([t[-1:] == "Ċ" for t in shown])
+        blank, line = self.letters[32], self.letters[10]
+        self.breaks = np.array([t[-1:] == line for t in shown])
+        self.closes = np.array([t[-1:] in (".", "!", "?") for t in shown])
+        self.opens = np.array([t[:1] in (blank, line) for t in shown])
+
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of matches of the pattern, none of them empty."""
+        if not pieces:
+            return []
+        line = "\0".join([p.encode().decode("latin-1").translate(self.letters) for p in pieces])
+        encoded = self.tokenizer.encode(line, add_special_tokens=False)
+        raw, word = np.array(encoded.ids, "<u4").tobytes(), np.array(encoded.word_ids)
+        ends = [0, *(4 * (np.flatnonzero(np.diff(word)) + 1)).tolist(), len(raw)]
+        return [raw[a:b] for _, a, b in zip(pieces, ends[:-1], ends[1:], strict=True)]
+
+    def _known(self, found: list[list[str]]) -> list[bytes]:
+        """Ids of lists of matches."""
+        pieces = self.pieces.missing(set().union(*found))
+        self.pieces.now.update(zip(pieces, self._merged(pieces)))
+        return [b"".join(map(self.pieces.now.__getitem__, f)) for f in found]
+
+    def _learn(self, new: list[str]) -> None:
+        letters, marked, others = plain_words(new)
+        known = self.words.now
+        bases = list({w[:-1] for w in marked}.difference(known, letters))
+        plain = letters + bases
+        known.update(zip(plain, self._merged([" " + w for w in plain])))
+        marks = {w[-1] for w in marked}
+        ends = dict(zip(marks, self._known([[m] for m in marks])))
+        known.update((w, known[w[:-1]] + ends[w[-1]]) for w in marked)
+        known.update(zip(others, self._known([self.pattern.findall(" " + w) for w in others])))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of the texts as the tokenizer gives them, each text followed by id 0."""
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-        split = cut_words(texts, self.ids, self.odd)
-        new = list(set().union(*[parts[1:] for parts in split]).difference(self.ids))
-        whole = [" " + w for w in new] + [parts[0] for parts in split]
-        found = [self.pattern.findall(w) for w in whole]
-        pieces = list({p for f in found for p in f})
-        known = {
-            p: np.array(e.ids, "<u4").tobytes()
-            for p, e in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False))
-        }
-        joined = [b"".join([known[p] for p in f]) for f in found]
-        self.ids.update(zip(new, joined))
-        heads = joined[len(new) :]
-        get = self.ids.__getitem__
-        end = bytes(4)
+        split, new = cut_words(texts, self.words)
+        self._learn(new)
+        heads = self._known([self.pattern.findall(parts[0]) for parts in split])
+        get, end = self.words.now.__getitem__, bytes(4)
         return [
             np.frombuffer(b"".join([head, *map(get, parts[1:]), end]), "<u4") for head, parts in zip(heads, split)
         ]
 
-    def cuts(self, ids: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
-        """Positions inside one document where it may be cut, and what each costs."""
-        text = ids[:-1]
-        if len(text) < 2:
-            return np.empty(0, np.int64), np.empty(0)
-        closed = self.closes[text[:-1]] & (self.opens[text[1:]] | self.breaks[text[:-1]])
-        ends = np.flatnonzero(closed) + 1
-        fixed = np.concatenate([[0], ends, [len(ids)]])
+    def cuts(self, found: list[np.ndarray], plan: Plan) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each document: positions inside it where it may be cut, and what each costs."""
+        line = np.concatenate(found)
+        bounds = np.cumsum([0] + [len(ids) for ids in found])
+        ends = np.flatnonzero(self.breaks[line[:-1]] | (self.closes[line[:-1]] & self.opens[line[1:]])) + 1
+        # A document's closing id is no sentence of its own, and its end no cut inside it.
+        ends = np.setdiff1d(ends, np.concatenate([bounds, bounds[1:] - 1]), assume_unique=False)
+        block = (ends - bounds[np.searchsorted(bounds, ends, "right") - 1]) // plan.spacing
+        ends = ends[np.append((np.diff(block) != 0) | (np.diff(ends) >= plan.spacing), True)] if len(ends) else ends
+        fixed = np.union1d(bounds, ends)
         gaps = np.diff(fixed)
-        inner = [
-            np.arange(a + plan.inner_step, a + gap, plan.inner_step)
-            for a, gap in zip(fixed[:-1][gaps > plan.long_sentence], gaps[gaps > plan.long_sentence])
-        ]
+        long = np.flatnonzero(gaps > plan.long_sentence)
+        inner = [np.arange(a + plan.inner_step, a + g, plan.inner_step) for a, g in zip(fixed[long], gaps[long])]
         extra = np.concatenate(inner) if inner else np.empty(0, np.int64)
         places = np.concatenate([ends, extra])
         costs = np.concatenate([np.full(len(ends), plan.sentence_cut), np.full(len(extra), plan.inner_cut)])
         order = np.argsort(places, kind="stable")
-        return places[order], costs[order]
+        places, costs = places[order], costs[order]
+        at = np.searchsorted(places, bounds)
+        return [(places[a:b] - base, costs[a:b]) for a, b, base in zip(at[:-1], at[1:], bounds[:-1])]
 
 
 @dataclass
@@ -231,7 +268,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: the document's id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Every document is its ids (null text: none) and a closing id 0, so even an empty text has
+    ``path`` is a byte-level BPE tokenizer file and ``pattern`` its split pattern. Every document is its ids (null text: none) and a closing id 0, so even an empty text has
     a piece. Documents follow in the order of their ids, null ids first, repeated ids by the
     hash of their text. Partitions are ranges of ids and are packed each on its own, so only
     the last window of each is short for that reason. Sequence ids are unique, rising with the
@@ -258,8 +295,9 @@ def pack(
             kind = batch.schema.field(0).type
             for ids, texts in text_slices(batch):
                 rows = []
-                for i, found in zip(ids, tokens.encode(texts)):
-                    rows += packer.add(_Part(i, found, 0, len(found), *tokens.cuts(found, plan)))
+                encoded = tokens.encode(texts)
+                for i, found, cuts in zip(ids, encoded, tokens.cuts(encoded, plan)):
+                    rows += packer.add(_Part(i, found, 0, len(found), *cuts))
                 if rows:
                     yield table(rows)
         if rows := list(packer.flush(True)):
