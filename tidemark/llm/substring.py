@@ -141,12 +141,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per text with sentences to remove: id, version, covered (runs of sentences).
 
     The first occurrence is that of the least id, then the least place. A hash with very many
-    occurrences is no hot spot: its first one is found by a partial aggregate, and the join
-    that drops it has two stored sides, which adaptive execution can split.
+    occurrences is no hot spot: occurrences are counted, and the first one found, by partial
+    aggregates, and the joins have two stored sides, which adaptive execution can split.
     """
     every = written(spans(docs, id_col, text_col, span), "spans")
     counts = every.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    met = written(every.join(counts, "hash", "left_semi"), "repeated")
+    met = written(every.join(written(counts, "hashes"), "hash", "left_semi"), "repeated")
     place = F.struct("id", "version", "first")
     start = written(met.groupBy("hash").agg(F.min(place).alias("start")), "starts")
     later = met.join(start, "hash").filter(place != F.col("start"))
