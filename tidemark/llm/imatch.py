@@ -39,16 +39,20 @@ def lexicon(texts: DataFrame, documents: int) -> DataFrame:
 
 
 def _subset_hashes(terms: Column, level: Column) -> Column:
-    """For each of the first SUBSETS subsets of 2^level, a hash of the terms in it; -1 where there are none."""
-    mask = F.pow(F.lit(2.0), level).cast("long") - 1
+    """For each of the first SUBSETS subsets of 2^level, a hash of the sorted terms in it; -1 where there are none."""
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1
     subset = lambda t: F.shiftright(F.xxhash64(t, F.lit(SEED)), 20).bitwiseAND(mask)
-    near = F.filter(terms, lambda t: subset(t) < SUBSETS)
+    first = F.filter(F.transform(terms, lambda t: F.struct(subset(t).alias("s"), t.alias("t"))), lambda x: x["s"] < SUBSETS)
 
-    def hashed(i: int) -> Column:
-        own = F.filter(near, lambda t: subset(t) == i)
-        return F.when(F.size(own) > 0, F.xxhash64(own).bitwiseAND((1 << HASH_BITS) - 1)).otherwise(F.lit(-1))
+    def hashed(own: Column) -> Column:
+        return F.when(F.size(own) > 0, F.xxhash64(own).bitwiseAND((1 << HASH_BITS) - 1)).otherwise(F.lit(-1)).cast("int")
 
-    return F.array(*[hashed(i).cast("int") for i in range(SUBSETS)])
+    def listed(some: Column) -> Column:
+        each = F.transform(F.array(*[F.lit(i) for i in range(SUBSETS)]), lambda i: F.filter(some, lambda x: x["s"] == i))
+        return F.transform(each, hashed)
+
+    # As the only item of an array the terms of these subsets are found once, not again for each subset.
+    return F.transform(F.array(first), listed)[0]
 
 
 def fingerprints(texts: DataFrame, keys: list[str], terms: DataFrame) -> DataFrame:
