@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from tidemark.llm import exact, simhash, substring
+import corpus_pipeline
+from tidemark.llm import exact, jaccard, simhash, substring
 from tidemark.llm.components import components
 
 
@@ -281,3 +282,69 @@ def test_sentences():
             "".join(text[a:b].split()) for a, b in found
         ) == "".join(text.split())
         assert all(text[a:b] == text[a:b].strip() and a < b for a, b in found)
+
+
+# ---- near copies by whole shingle sets
+
+
+def brute_shingles(text):
+    words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def brute_kept(rows):
+    """Of (id, text) in order: those without a near copy before them that stays."""
+    kept = []
+    for i, text in rows:
+        found = brute_shingles(text)
+        if not any(5 * len(found & k) >= 4 * len(found | k) for _, k in kept):
+            kept.append((i, found))
+    return [i for i, _ in kept]
+
+
+def edited_copies(seed=5):
+    """Texts with up to a tenth of the words changed, each from the base or from the copy before it, and a common line."""
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(25):
+        words = prose(rng, rng.randrange(20, 400)).split(" ")
+        for _ in range(rng.randrange(1, 8)):
+            changed = list(words)
+            for _ in range(rng.randrange(0, 2 + len(words) // 30)):
+                changed[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(changed) + " and this line is in very many of the texts" * rng.randrange(2))
+            words = changed if rng.random() < 0.5 else words
+    rng.shuffle(texts)
+    return texts + ["", None, "One", "one", "a b c d e", "A b\tc d e", *texts[:3]]
+
+
+@pytest.mark.parametrize("rounds, sample", [(2, 4000), (0, 4000), (1, 0)])
+def test_near_copies_by_shingles(spark, rounds, sample, monkeypatch):
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "SAMPLE", sample)
+    rows = list(enumerate(edited_copies()))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_kept(rows)
+    assert sorted(r.doc_id for r in jaccard.drop_near_copies(df).collect()) == want
+    fingerprints = simhash.drop_near_copies(df)
+    assert len(want) < fingerprints.count() and len(want) > 25  # two bits are too few for such copies
+
+
+def test_near_copies_of_odd_documents(odd_docs, no_docs):
+    left = jaccard.drop_near_copies(odd_docs)
+    assert left.columns == odd_docs.columns
+    kept = sorted((r.doc_id or 0, r.text or "") for r in left.collect())
+    # Of an id with two texts both stay; repeated rows stay or go together.
+    assert [i for i, _ in kept] == [0, 0, 1, 1, 3, 5, 7, 8, 8, 9]
+    assert jaccard.drop_near_copies(no_docs).count() == 0
+
+
+def test_pipeline_drops_edited_copies(spark):
+    base = prose(random.Random(6), 300).split(" ")
+    copy = [*base[:150], "changed", *base[151:]]
+    for k in range(20, 280, 60):
+        copy[k] = f"other{k}"
+    rows = [(1, " ".join(base)), (2, " ".join(copy))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert [r.doc_id for r in stage(spark, df, "").collect()] == [1]
