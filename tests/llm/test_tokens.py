@@ -152,6 +152,20 @@ def test_encode_like_the_library(tokenizer):
             assert (np.diff(places) > 0).all()
 
 
+def test_every_sentence_end_is_a_choice():
+    line = packing.TokenLine(VOCABULARY, PATTERN)
+    texts = ["One. Two and a half! Three?\nFour. Five", " ".join(["Go on."] * 400), "No end", ""] + ["So. It is."] * 3
+    found = line.encode(texts)
+    for ids, (places, costs) in zip(found, line.cuts(found, packing.Plan())):
+        shown = [line.tokenizer.id_to_token(i) for i in ids[:-1].tolist()]
+        want = [
+            k
+            for k in range(1, len(shown))
+            if shown[k - 1][-1] == "Ċ" or (shown[k - 1][-1] in ".!?" and shown[k][0] in "ĠĊ")
+        ]
+        assert places.tolist() == want and (costs == packing.Plan().sentence_cut).all()
+
+
 def test_pack(spark, tokenizer):
     rng = random.Random(8)
     texts = {}

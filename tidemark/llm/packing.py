@@ -38,8 +38,6 @@ class Plan:
     inner_cut: float = 48.0
     #: Each window, so that short windows which need no padding aren't free.
     window: float = 8.0
-    #: Of the sentence ends in as many tokens only the last is a choice.
-    spacing: int = 32
     #: Sentences longer than this may be cut every ``inner_step`` tokens.
     long_sentence: int = 192
     inner_step: int = 32
@@ -172,8 +170,6 @@ class TokenLine:
         ends = np.flatnonzero(self.breaks[line[:-1]] | (self.closes[line[:-1]] & self.opens[line[1:]])) + 1
         # A document's closing id is no sentence of its own, and its end no cut inside it.
         ends = np.setdiff1d(ends, np.concatenate([bounds, bounds[1:] - 1]), assume_unique=False)
-        block = (ends - bounds[np.searchsorted(bounds, ends, "right") - 1]) // plan.spacing
-        ends = ends[np.append((np.diff(block) != 0) | (np.diff(ends) >= plan.spacing), True)] if len(ends) else ends
         fixed = np.union1d(bounds, ends)
         gaps = np.diff(fixed)
         long = np.flatnonzero(gaps > plan.long_sentence)
