@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact, html_text, imatch, langid, mil, packing, simhash, substring, toxicity
+from tidemark.llm import bpe, dialogue, exact, html_text, imatch, langid, mil, packing, simhash, substring, toxicity
 from tidemark.llm.common import importable
 
 QUERIES = {}
@@ -107,6 +107,35 @@ def imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.edited_fingerprints(table(spark, folder, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with faults put in, by a hash of conversation and turn. Nulls in role and text become one space."""
+    blank = F.lit(" ")
+    named = [F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *named).cast("binary")) % 20
+    text = F.coalesce("text", blank)
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", blank).alias("role"), text.alias("text"), fault.alias("fault"))
+    text = F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", ""))
+    role = F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role"))
+    times = F.when(F.col("fault") == 3, 2).otherwise(1)
+    return rows.filter("fault != 0").select(
+        "conv_id", "turn", role.alias("role"), text.otherwise(F.col("text")).alias("text"), F.explode(F.array_repeat(F.lit(1), times))
+    )
+
+
+@query("op12_conversation_repair")
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    facts, turns = dialogue.repair(damaged(rows))
+    found = facts.join(dialogue.digests(turns).withColumnRenamed("conv", "hashed"), F.col("conv").eqNullSafe(F.col("hashed")))
+    ids = rows.select("conv_id").distinct()
+    out = ids.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return out.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", none).alias("repaired_sha256")
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
