@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, dialogue, exact, html_text, imatch, langid, mil, packing, simhash, substring, toxicity
+from tidemark.llm import bpe, collocation, dialogue, exact, html_text, imatch, langid, mil, packing, simhash, substring, toxicity
 from tidemark.llm.common import importable
 
 QUERIES = {}
@@ -136,6 +136,43 @@ def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "op13_phrase_collocations",
+    """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]'
+        )) AS piece FROM documents),
+    split AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces),
+    runs AS (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+        FROM split, range(1, 5) sizes(k)),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY ALL),
+    n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+    cuts AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS c FROM candidates),
+    scored AS (
+        SELECT u.lang, u.phrase, u.a, u.c, x.f AS l, y.f AS r, 2000000 * CAST(u.a AS HUGEINT) // (x.f + y.f) AS score
+        FROM cuts u
+        JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(u.w[1:u.c], ' ')
+        JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(u.w[u.c + 1:u.k], ' ')),
+    least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS place FROM scored),
+    parts AS (
+        SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+        FROM candidates, range(2, 4) sizes(m) WHERE m < k),
+    longer AS (SELECT lang, phrase, max(a) AS most FROM parts GROUP BY ALL),
+    ranked AS (
+        SELECT s.lang, s.phrase, s.a, s.l, s.r, n.n, CAST(s.score AS BIGINT) AS score,
+               row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+        FROM least s JOIN n USING (lang) LEFT JOIN longer o ON o.lang = s.lang AND o.phrase = s.phrase
+        WHERE place = 1 AND NOT coalesce(100 * CAST(o.most AS HUGEINT) >= 80 * CAST(s.a AS HUGEINT), false))
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """,
+)
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocation.collocations(table(spark, folder, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
