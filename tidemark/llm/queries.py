@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, collocation, dialogue, exact, html_text, imatch, langid, mil, packing, simhash, substring, toxicity
-from tidemark.llm.common import importable
+from tidemark.llm import bpe, collocation, dialogue, exact, html_text, imatch, langid, mil, packing, simhash, substring, toxicity, warc
+from tidemark.llm.common import importable, written
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -107,6 +107,30 @@ def imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.edited_fingerprints(table(spark, folder, "documents"))
 
 
+@query(
+    "op11_warc_archives",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+    g AS (SELECT payload, max(page_id) AS original FROM p WHERE strlen(payload) >= 1000 GROUP BY payload)
+    SELECT p.page_id, CAST(strlen(p.payload) AS BIGINT) AS payload_bytes, sha1(p.payload) AS payload_digest,
+           CASE WHEN g.payload IS NULL OR p.page_id IS NOT DISTINCT FROM g.original THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN p.page_id IS DISTINCT FROM g.original THEN g.original END AS refers_to
+    FROM p LEFT JOIN g USING (payload)
+    """,
+)
+def warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    found = warc.outermost(written(warc.records(warc.archive(pages), content=False), "records"))
+    kind = pages.schema["page_id"].dataType
+    return found.filter("type IN ('response', 'revisit')").select(
+        F.col("page").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """Rows with faults put in, by a hash of conversation and turn. Nulls in role and text become one space."""
     blank = F.lit(" ")
