@@ -1,15 +1,15 @@
 """Phrase collocations by Rabin-Karp fingerprints (operator 13).
 
 Every run of one to four words gets a 64-bit fingerprint from prefix polynomials over the
-word codes of a batch. Only fingerprints are shuffled, with their counts, the least and
-largest value of a second, independent fingerprint, and a pointer to one occurrence. Runs
-are looked for level by level: a phrase can only be frequent if its shorter parts are, which
-a bit filter over the frequent fingerprints of the level before tells. Its size is bounded;
-where it is too small for the corpus it lets through more, and no phrase is lost.
-
-Phrases are materialised from the text at their pointers, and only the frequent ones. The
-text must give the fingerprint again. A fingerprint whose second values differ stands for
-several phrases: they are counted again by their text.
+word codes of a batch. Only fingerprints are shuffled, with their counts and the sum of a
+second, independent fingerprint. Runs are looked for level by level: a phrase can only be
+frequent if its shorter parts are, which a bit filter over the frequent fingerprints of the
+level before tells. Its size is bounded; where it is too small for the corpus it lets through
+more, and no phrase is lost.
+
+A last pass points each frequent fingerprint to one occurrence, where its phrase is read. The
+text must give the fingerprint again. If its second fingerprint times the count isn't the sum
+found, the fingerprint stands for several phrases: they are counted again by their text.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ UNKNOWN = "und"
 SLICE = 1 << 20
 #: Bits of a filter: as many times the number of fingerprints in it, but no more than 2 to the largest.
 FILTER_FACTOR, FILTER_MOST = 16, 27
+#: Bits of a second fingerprint, few enough for the sum over any number of occurrences, and of a task's memory of pointers.
+CHECK_BITS, POINTED = 22, 18
 
 _U, _ALL = np.uint64, (1 << 64) - 1
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -181,26 +183,24 @@ def bit_filter(prints: DataFrame, count: int) -> Filter:
     return Filter(bits, size)
 
 
-_COUNTED = "fp long, n long, low int, high int, doc long, at long, size int"
+def _prints(words: Words, at: np.ndarray, size: int, mask: int) -> np.ndarray:
+    """First fingerprints. ``mask`` leaves fewer bits of them, but the empty run, met once for each word, keeps its own."""
+    return words.prints(at, size) & _U(mask if size else _ALL)
 
 
-def _combined(words: Words, docs: np.ndarray, offsets: np.ndarray, at: np.ndarray, size: int, mask: int) -> pa.RecordBatch:
-    """A row per fingerprint of these runs: its count, second values, and its first occurrence."""
-    prints = words.prints(at, size) & _U(mask if size else _ALL)
-    check = (words.prints(at, size, SECOND) >> _U(32)).astype(np.uint32).view(np.int32)
-    order = np.argsort(prints, kind="stable")
+def _checks(words: Words, at: np.ndarray, size: int) -> np.ndarray:
+    return (words.prints(at, size, SECOND) >> _U(64 - CHECK_BITS)).astype(np.int64)
+
+
+def _combined(words: Words, at: np.ndarray, size: int, mask: int) -> pa.RecordBatch:
+    """A row per fingerprint of these runs: its count and the sum of its second values."""
+    prints = _prints(words, at, size, mask)
+    order = np.argsort(prints)
     ranked = prints[order]
-    heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
-    counts = np.diff(np.append(heads, len(ranked)))
-    first = at[order[heads]]
-    part = words.part[first]
-    low, high = ((f.reduceat(check[order], heads) if len(heads) else check) for f in (np.minimum, np.maximum))
-    where = words.starts[first] - words.begins[part] + offsets[part]
-    length = words.ends[first + size - 1] - words.starts[first]
-    if size == 0:  # no word at all: an empty phrase, met once for each word
-        length = np.zeros_like(length)
-    columns = [ranked[heads].view(np.int64), counts, low, high, docs[part], where, length.astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["fp", "n", "low", "high", "doc", "at", "size"])
+    heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    sums = np.add.reduceat(_checks(words, at, size)[order], heads)
+    columns = [ranked[heads].view(np.int64), np.diff(np.append(heads, len(ranked))), sums]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["fp", "n", "checks"])
 
 
 def _runs(words: Words, size: int, known: Filter | None, mask: int) -> np.ndarray:
@@ -210,39 +210,60 @@ def _runs(words: Words, size: int, known: Filter | None, mask: int) -> np.ndarra
         return at
     shorter = np.zeros(words.count + 1, bool)
     inner = words.whole(size - 1)
-    shorter[inner] = known.holds(words.prints(inner, size - 1) & _U(mask))
+    shorter[inner] = known.holds(_prints(words, inner, size - 1, mask))
     return at[shorter[at] & shorter[at + 1]]
 
 
 def _counted(docs: DataFrame, sizes: tuple[int, ...], known: Filter | None, mask: int, least: int) -> DataFrame:
-    """The fingerprints of runs of these sizes found at least so often (the empty run always)."""
+    """The fingerprints of runs of these sizes found at least so often, with n and checks."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, keys, offsets, _ in _slices(batches):
+        for words, *_ in _slices(batches):
             for size in sizes:
                 at = _runs(words, max(size, 1), shared.value, mask)
                 if len(at):
-                    yield _combined(words, keys, offsets, at, size, mask)
-
-    rows = docs.mapInArrow(run, _COUNTED)
-    counts = rows.groupBy("fp").agg(
-        F.sum("n").alias("n"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.min("doc").alias("doc"),
-        F.min_by("at", "doc").alias("at"),
-        F.min_by("size", "doc").alias("size"),
-    )
-    return counts.filter((F.col("n") >= least) | (F.col("size") == 0))
+                    yield _combined(words, at, size, mask)
+
+    counts = docs.mapInArrow(run, "fp long, n long, checks long").groupBy("fp")
+    return counts.agg(F.sum("n").alias("n"), F.sum("checks").alias("checks")).filter(F.col("n") >= least)
+
+
+def _pointers(docs: DataFrame, filters: list[Filter], mask: int) -> DataFrame:
+    """For fingerprints that may be in the filters one place each (fp, doc, at, size). The first filter has the empty runs too."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What the task pointed to lately; what it forgets is pointed to again.
+        before = np.zeros(1 << POINTED, np.uint64)
+        for words, docs, offsets, _ in _slices(batches):
+            for size in range(len(shared.value) + 1):
+                at = words.whole(max(size, 1))
+                prints = _prints(words, at, size, mask)
+                slot = (prints >> _U(64 - POINTED)).astype(np.int64)
+                new = shared.value[max(size, 1) - 1].holds(prints) & (before[slot] != prints)
+                at, prints, slot = at[new], prints[new], slot[new]
+                if not len(at):
+                    continue
+                prints, first = np.unique(prints, return_index=True)
+                at = at[first]
+                before[slot[first]] = prints
+                part = words.part[at]
+                where = words.starts[at] - words.begins[part] + offsets[part]
+                length = words.ends[at + size - 1] - words.starts[at] if size else np.zeros_like(at)
+                columns = [prints.view(np.int64), docs[part], where, length.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["fp", "doc", "at", "size"])
+
+    rows = docs.mapInArrow(run, "fp long, doc long, at long, size int").groupBy("fp")
+    return rows.agg(F.min("doc").alias("doc"), F.min_by("at", "doc").alias("at"), F.min_by("size", "doc").alias("size"))
 
 
 def _materialised(docs: DataFrame, prints: DataFrame, mask: int) -> DataFrame:
-    """fp, lang, words, phrase and n, read at the pointers; ``several`` if occurrences differ in their second value.
+    """fp, lang, words, phrase and n, read at the pointers; ``several`` if the fingerprint stands for other phrases too.
 
     The text must give the fingerprint again, so texts whose keys are equal can't be mixed up.
     """
-    runs = prints.groupBy("doc").agg(F.collect_list(F.struct("fp", "n", "low", "high", "at", "size")).alias("runs"))
+    runs = prints.groupBy("doc").agg(F.collect_list(F.struct("fp", "n", "checks", "at", "size")).alias("runs"))
     runs = written(runs, "pointers")  # a document has no more of them than runs of words
     texts = docs.join(runs.select("doc"), "doc", "left_semi").dropDuplicates(["doc", "lang", "text"])
     found = written(texts, "pointed").join(runs, "doc").select("lang", "text", "runs")
@@ -257,9 +278,12 @@ def _materialised(docs: DataFrame, prints: DataFrame, mask: int) -> DataFrame:
                 sizes = np.bincount(words.part, minlength=len(parts))
                 begins = np.cumsum(sizes) - sizes
                 prints = np.full(len(parts), _mixed(np.array([language_code(lang)], np.uint64))[0])
+                checks = np.zeros(len(parts), np.int64)
                 for size in set(sizes.tolist()) - {0}:
                     of = np.flatnonzero(sizes == size)
-                    prints[of] = words.prints(begins[of], size) & _U(mask)
+                    prints[of] = _prints(words, begins[of], size, mask)
+                    checks[of] = _checks(words, begins[of], size)
+                n, sums = (np.array([r[c] for r in held], np.int64) for c in ("n", "checks"))
                 own = np.flatnonzero(prints.view(np.int64) == np.array([r["fp"] for r in held]))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -267,8 +291,8 @@ def _materialised(docs: DataFrame, prints: DataFrame, mask: int) -> DataFrame:
                         pa.array([lang] * len(own), pa.string()),
                         pa.array(sizes[own].astype(np.int32)),
                         pa.array([b" ".join(w for w in parts[i].split(b" ") if w).decode() for i in own], pa.string()),
-                        pa.array([held[i]["n"] for i in own], pa.int64()),
-                        pa.array([held[i]["low"] != held[i]["high"] for i in own], pa.bool_()),
+                        pa.array(n[own]),
+                        pa.array((n * checks != sums)[own]),
                     ],
                     names=["fp", "lang", "words", "phrase", "n", "several"],
                 )
@@ -288,7 +312,7 @@ def _recounted(docs: DataFrame, several: DataFrame, count: int, mask: int, least
             for words, keys, _, parts in _slices(iter([numbered])):
                 for size in range(1, LONGEST + 1):
                     at = words.whole(size)
-                    prints = words.prints(at, size) & _U(mask)
+                    prints = _prints(words, at, size, mask)
                     hit = shared.value.holds(prints)
                     found: dict[tuple[int, str, str], int] = {}
                     for i, fp in zip(at[hit].tolist(), prints[hit].view(np.int64).tolist()):
@@ -322,23 +346,23 @@ def frequent_phrases(
 ) -> DataFrame:
     """lang, words, phrase, n of all phrases of up to ``longest`` words found at least ``least`` times in a language.
 
-    A row with no words and the empty phrase gives a language's number of words. Null text is
-    empty, null language is ``und``. An empty table gives no rows; other columns are not read.
+    A row with no words and the empty phrase gives a language's number of words, if it has as
+    many. Null text is empty, null language is ``und``. An empty table gives no rows; other columns are not read.
     """
     if not 1 <= longest <= LONGEST:
         raise ValueError(f"phrases have 1 to {LONGEST} words")
     mask = ((1 << print_bits) - 1) << (64 - print_bits)
     text, lang = F.coalesce(column(text_col), F.lit("")), F.coalesce(column(lang_col), F.lit(UNKNOWN))
     docs = docs.select(F.xxhash64(lang, text).alias("doc"), lang.alias("lang"), text.alias("text"))
-    levels, known = [], None
+    levels, filters = [], [None]
     for size in range(1, longest + 1):
-        level = written(_counted(docs, (0, 1) if size == 1 else (size,), known, mask, least), "prints")
+        level = written(_counted(docs, (0, 1) if size == 1 else (size,), filters[-1], mask, least), "prints")
         levels.append(level)
-        if size < longest:
-            known = bit_filter(level, level.count())
+        filters.append(bit_filter(level, level.count()))
     prints = levels[0]
     for level in levels[1:]:
         prints = prints.unionByName(level)
+    prints = prints.join(written(_pointers(docs, filters[1:], mask), "places"), "fp")
     phrases = written(_materialised(docs, prints, mask), "phrases")
     several = phrases.filter("several AND words > 0").select("fp").distinct()
     count = several.count()
