@@ -1,4 +1,5 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import PySparkException
@@ -269,3 +270,210 @@ def test_synthetic_log(spark):
 
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# --- several writers, buckets -------------------------------------------------
+
+
+def at_switch(monkeypatch, spark, action):
+    """Run ``action`` once, right before the next change of a location."""
+    run, left = type(spark).sql, [action]
+
+    def sql(self, text, *args, **kwargs):
+        if "SET LOCATION" in text and left:
+            left.pop()()
+        return run(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+
+
+@pytest.mark.parametrize("buckets", [0, 8])
+def test_interleaved_merges_keep_both_changes(spark, monkeypatch, buckets):
+    """The second merge starts and ends between the first one's write and its switch."""
+    name = f"default.both_{buckets}"
+    df = spark.createDataFrame([(i, float(i)) for i in range(50)], "k int, v double")
+    FeatureStore(spark, "default").reset_and_write(f"both_{buckets}", df, ["k"], buckets=buckets)
+    second = spark.createDataFrame([(200, 2.0), (3, -3.0)], "k int, v double")
+    at_switch(monkeypatch, spark, lambda: tables.merge_into(spark, name, second))
+    tables.merge_into(spark, name, spark.createDataFrame([(100, 1.0), (4, -4.0)], "k int, v double"))
+    monkeypatch.undo()
+    want = {i: float(i) for i in range(50)} | {3: -3.0, 4: -4.0, 100: 1.0, 200: 2.0}
+    assert dict(rows(spark.table(name).select("k", "v"))) == want
+    assert dict(rows(tables.read_version(spark, name).select("k", "v"))) == want
+
+
+@pytest.mark.parametrize("buckets", [0, 8])
+def test_a_merge_planned_on_an_older_state_is_planned_again(spark, buckets):
+    name = f"default.stale_{buckets}"
+    df = spark.createDataFrame([(i, float(i)) for i in range(5)], "k int, v double")
+    FeatureStore(spark, "default").reset_and_write(f"stale_{buckets}", df, ["k"], buckets=buckets)
+    seen = tables.current_version(spark, name)
+    tables.merge_into(spark, name, df.limit(1).withColumn("k", F.lit(200)))
+    with pytest.raises(tables.WriteConflict):
+        tables.publish_version(spark, name, df, after=seen)
+    plans = []
+
+    def plan(version):
+        plans.append(version)
+        if len(plans) == 1:  # another writer is first
+            tables.merge_into(spark, name, df.limit(1).withColumn("k", F.lit(300)))
+        return tables.read_version(spark, name, version).select("k", "v").withColumn("v", F.col("v") + 1)
+
+    tables.change_state(spark, name, plan)
+    assert len(plans) == 2 and plans[1] > plans[0]
+    found = dict(rows(spark.table(name).select("k", "v")))
+    assert sorted(found) == [0, 1, 2, 3, 4, 200, 300] and found[4] == 5.0
+
+
+def test_merges_from_several_threads(spark):
+    df = spark.createDataFrame([(i, 0.0) for i in range(4)], "k int, v double")
+    FeatureStore(spark, "default").reset_and_write("threads", df, ["k"])
+    changes = [spark.createDataFrame([(10 + i, 1.0), (i % 4, float(i))], "k int, v double") for i in range(6)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda c: tables.merge_into(spark, "default.threads", c), changes))
+    found = dict(rows(spark.table("default.threads")))
+    assert sorted(found) == [0, 1, 2, 3, *range(10, 16)] and found[3] == 3.0 and found[2] == 2.0
+
+
+def test_a_state_whose_writer_died_before_the_switch_is_followed(spark, monkeypatch):
+    """A mark without a switch, as a killed process leaves it."""
+    df = spark.createDataFrame([(1, 1.0)], "k int, v double")
+    FeatureStore(spark, "default").reset_and_write("dead", df, ["k"])
+    monkeypatch.setattr(tables, "_switch", lambda *a: None)
+    tables.merge_into(spark, "default.dead", df.withColumn("v", F.lit(2.0)))
+    monkeypatch.undo()
+    assert rows(spark.table("default.dead")) == [(1, 1.0)]
+    tables.merge_into(spark, "default.dead", df.withColumn("k", F.lit(5)))
+    assert dict(rows(spark.table("default.dead"))) == {1: 2.0, 5: 1.0}
+    base = tables.properties(spark, "default.dead")[tables.BASE]
+    files, path = tables._folder(spark, f"{base}/_after-{tables.current_version(spark, 'default.dead')}")
+    files.create(path, False).close()  # and a mark whose writer died before it wrote the number
+    monkeypatch.setattr(tables, "VOID_AFTER", -1.0)
+    tables.merge_into(spark, "default.dead", df.withColumn("k", F.lit(6)))
+    assert sorted(dict(rows(spark.table("default.dead")))) == [1, 5, 6]
+
+
+def test_a_refused_reset_leaves_the_table(spark):
+    df = spark.createDataFrame([(i, 1.0) for i in range(10)], "k int, v double")
+    store = FeatureStore(spark, "default")
+    store.reset_and_write("refused", df, ["k"])
+    with pytest.raises(ValueError, match="data checks failed"):
+        store.reset_and_write("refused", df.unionByName(df), ["k"])
+    with pytest.raises(PySparkException):
+        store.reset_and_write("refused", df.withColumn("v", F.raise_error(F.lit("boom")).cast("double")), ["k"])
+    assert store.read("refused").count() == 10
+    store.reset_and_write("refused", store.read("refused").filter("k > 6"), ["k"])  # from the table itself
+    assert store.read("refused").count() == 3
+
+
+def test_dropped_tables_leave_no_folders(spark):
+    df = spark.createDataFrame([(1, 1.0)], "k int, v double")
+    store = FeatureStore(spark, "default")
+    store.reset_and_write("gone", df, ["k"])
+    first = tables.properties(spark, "default.gone")[tables.BASE]
+    store.reset_and_write("gone", df, ["k"])
+    second = tables.properties(spark, "default.gone")[tables.BASE]
+    files, path = tables._folder(spark, second)
+    assert not files.exists(tables._folder(spark, first)[1]) and files.exists(path)
+    store.drop("gone")
+    assert not files.exists(path)
+    tables.ensure_schemas(spark, {"lake_c": ""})
+    FeatureStore(spark, "lake_c").reset_and_write("t", df, ["k"])
+    third = tables.properties(spark, "lake_c.t")[tables.BASE]
+    tables.recreate_schema(spark, "lake_c", confirm=True)
+    assert not files.exists(tables._folder(spark, third)[1])
+
+
+def test_unfinished_states_dont_push_finished_ones_out(spark):
+    df = spark.createDataFrame([(1, 1.0)], "k int, v double")
+    FeatureStore(spark, "default").reset_and_write("torn", df, ["k"])
+    broken = df.withColumn("v", F.raise_error(F.lit("boom")).cast("double"))
+    for _ in range(tables.RETAINED + 2):
+        with pytest.raises(PySparkException):
+            tables.publish_version(spark, "default.torn", broken)
+    tables.publish_version(spark, "default.torn", df.withColumn("v", F.lit(2.0)))
+    assert rows(tables.read_version(spark, "default.torn", 1)) == [(1, 1.0)]
+
+
+def test_a_merge_writes_only_the_buckets_it_touches(spark):
+    df = spark.range(2000).selectExpr("id AS k", "CAST(id AS double) AS v", "'x' AS c")
+    FeatureStore(spark, "default").reset_and_write("parted", df, ["k"], buckets=100)
+    change = spark.createDataFrame([(i * 37, -1.0) for i in range(9)] + [(9999, -2.0)], "k int, v double")
+    tables.merge_into(spark, "default.parted", change)
+    base, version = tables.properties(spark, "default.parted")[tables.BASE], tables.current_version(spark, "default.parted")
+    files, path = tables._folder(spark, f"{base}/_version={version}")
+    written = [s.getPath().getName() for s in files.listStatus(path) if "_bucket=" in s.getPath().getName()]
+    assert 0 < len(written) <= 10
+    want = {i: float(i) for i in range(2000)} | {i * 37: -1.0 for i in range(9)} | {9999: -2.0}
+    got = spark.table("default.parted")
+    assert {r["k"]: r["v"] for r in got.collect()} == want and got.filter("k = 9999").first()["c"] is None
+    assert got.filter("_bucket = 5").count() == sum(1 for r in got.collect() if r["_bucket"] == 5)
+    # Only those buckets are read, too.
+    assert len(set(written)) == len({f.split("_bucket=")[1].split("/")[0] for f in got.inputFiles() if f"_version={version}/" in f})
+
+
+def test_retention_of_a_table_with_buckets(spark):
+    df = spark.range(200).selectExpr("id AS k", "0 AS v")
+    FeatureStore(spark, "default").reset_and_write("aged", df, ["k"], buckets=16)
+    want = dict.fromkeys(range(200), 0)
+    for i in range(1, 9):
+        tables.merge_into(spark, "default.aged", spark.createDataFrame([(i, i), (50, i)], "k long, v int"))
+        want |= {i: i, 50: i}
+        assert {r["k"]: r["v"] for r in spark.table("default.aged").collect()} == want
+    now = tables.current_version(spark, "default.aged")
+    for back in range(tables.RETAINED):
+        state = {r["k"]: r["v"] for r in tables.read_version(spark, "default.aged", now - back).collect()}
+        assert state == dict.fromkeys(range(200), 0) | {i: i for i in range(1, 9 - back)} | {50: 8 - back}
+    base = tables.properties(spark, "default.aged")[tables.BASE]
+    files, path = tables._folder(spark, base)
+    found = {s.getPath().getName() for s in files.listStatus(path)}
+    assert "_version=0" not in found and f"_map-{now - tables.RETAINED}" not in found
+    first = [s.getPath().getName() for s in files.listStatus(tables._folder(spark, f"{base}/_version=1")[1])]
+    assert len([n for n in first if "_bucket" in n]) < 16  # the buckets that were rewritten since are gone
+
+
+@pytest.mark.parametrize("stop", [0, 1, 2])
+def test_a_crash_between_buckets_and_the_same_merge_again(spark, monkeypatch, stop):
+    df = spark.range(40).selectExpr("id AS k", "0 AS v")
+    name = f"default.midway_{stop}"
+    FeatureStore(spark, "default").reset_and_write(f"midway_{stop}", df, ["k"], buckets=8)
+    change = spark.createDataFrame([(i, 1) for i in range(0, 60, 4)], "k long, v int")
+    run, seen = type(spark).sql, []
+
+    def crash(self, text, *args, **kwargs):
+        if "SET LOCATION" in text:
+            seen.append(text)
+            if len(seen) > stop:
+                raise RuntimeError("stopped")
+        return run(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", crash)
+    with pytest.raises(RuntimeError, match="stopped"):
+        tables.merge_into(spark, name, change)
+    monkeypatch.undo()
+    tables.merge_into(spark, name, change)
+    want = dict.fromkeys(range(40), 0) | dict.fromkeys(range(0, 60, 4), 1)
+    assert {r["k"]: r["v"] for r in spark.table(name).collect()} == want
+
+
+def test_a_table_with_buckets_like_any_other(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, "No", "b")], "k int, churn string, x string")
+    FeatureStore(spark, "default").reset_and_write("like", df, ["k"], buckets=4)
+    labels = spark.createDataFrame([(1, "Yes"), (9, "No")], "k long, churn string")
+    tables.merge_into(spark, "default.like", labels, update=["churn"], insert=False)
+    assert rows(spark.table("default.like").drop("_bucket")) == [(1, "Yes", "a"), (2, "No", "b")]
+    other = spark.createDataFrame([("b", "Never")], "x string, churn string")
+    tables.merge_into(spark, "default.like", other, keys=["x"], update=["churn"], insert=False)  # not by the own key
+    assert rows(spark.table("default.like").drop("_bucket")) == [(1, "Yes", "a"), (2, "Never", "b")]
+    tables.publish_version(spark, "default.like", df.filter("k = 2"))  # a whole state leaves no other bucket
+    assert rows(spark.table("default.like").drop("_bucket")) == [(2, "No", "b")]
+    with pytest.raises(ValueError, match="_bucket"):
+        tables.create_keyed_table(spark, "default.bad", df.withColumn("_bucket", F.lit(1)).schema, ["k"], buckets=2)
+
+
+def test_other_formats_merge_by_themselves(spark):
+    """Without such a format here, the statement reaches the analyzer, which knows none of the catalog's tables to have it."""
+    df = spark.createDataFrame([(1, 1.0)], "k int, v double")
+    tables.write_table(df, "default.plain")
+    with pytest.raises(PySparkException, match="(?i)merge"):
+        tables._merge_rows(spark, "default.plain", df, ["k"], None, True)
