@@ -69,13 +69,32 @@ def test_short_pieces_merge_like_long_ones(codec):
 
 def test_digests_with_a_small_memory(oracle, codec):
     own = bpe.Codec(codec.ranks, PATTERN)
-    own.words.limit = own.pieces.limit = 5
+    own.words.limit = own.pieces.limit = 1_000
     texts = random_texts(600, 7) + ["", "word"]
     for at in range(0, len(texts), 11):
         part = texts[at : at + 11]
         assert list(zip(*own.digests(part))) == [digests(oracle.encode_ordinary(t), t) for t in part]
 
 
+def test_memory_is_bounded(codec):
+    """Texts without blanks, first parts and long words are not remembered, and two generations are all there is."""
+    rng = random.Random(4)
+    chinese = ["".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(2000)) for _ in range(20)]
+    long = [f"a {'x' * 3000}{i} {'漢' * 500}{i}" for i in range(20)]
+    line, own = packing.TokenLine(VOCABULARY, PATTERN), bpe.Codec(codec.ranks, PATTERN)
+    for memory, work in ((line, line.encode), (own, own.digests)):
+        work(chinese + long)
+        assert all(len(w) <= 64 for m in (memory.words, memory.pieces) for w in [*m.now, *m.older])
+        assert memory.words.held + memory.pieces.held < 50_000
+        memory.words.limit = 100_000
+        for i in range(30):
+            work([" ".join(f"w{rng.random()}" for _ in range(200))])
+            assert memory.words.held < 200_000
+        assert memory.words.older
+        memory.forget()
+        assert not (memory.words.now or memory.words.older or memory.pieces.now or memory.pieces.held)
+
+
 def test_token_digests(spark, odd_docs, no_docs, oracle):
     rows = [(r.doc_id, r.text or "") for r in odd_docs.collect()]
     got = bpe.token_digests(odd_docs, RANKS, PATTERN).collect()
@@ -141,7 +160,7 @@ def check_pieces(rows, texts, tokenizer, capacity=1024):
 
 def test_encode_like_the_library(tokenizer):
     line = packing.TokenLine(VOCABULARY, PATTERN)
-    line.words.limit = line.pieces.limit = 5
+    line.words.limit = line.pieces.limit = 1_000
     texts = random_texts(1500, 3) + ["", "a b", "end. Next!\nThird? Yes", "x" * 3000]
     for at in range(0, len(texts), 13):
         part = texts[at : at + 13]

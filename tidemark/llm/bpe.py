@@ -22,8 +22,10 @@ from tidemark.llm.common import Recent, cut_words, identified, text_slices
 NONE = 1 << 62
 #: Children of a node of the tree.
 FAN = 32
-#: Words, and matches of the split pattern, in a generation of a Python worker's memory.
-REMEMBERED = 400_000
+#: Bytes of a generation of a task's memory of words, and of matches of the split pattern.
+REMEMBERED = 32 << 20
+#: Characters encoded together.
+SLICE = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -162,8 +164,8 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.pairs = Pairs(ranks)
-        self.pieces = Recent(REMEMBERED)  # ids of a match of the pattern
-        self.words = Recent(REMEMBERED)  # ids of a blank and the word, as text, and what they decode to
+        # The ids as text and what they decode to, of matches of the pattern and of words with the blank before them.
+        self.pieces, self.words = Recent(REMEMBERED), Recent(REMEMBERED)
 
     def merge(self, pieces: list[str]) -> list[list[int]]:
         raw = [p.encode() for p in pieces]
@@ -177,39 +179,50 @@ class Codec:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.bytes_of[i] for i in ids])
 
-    def learn(self, new: list[str]) -> None:
-        """Encode and decode words that weren't met before, each with the blank before it."""
-        split = [self.pattern.findall(" " + w) for w in new]
-        pieces = self.pieces.missing(set().union(*split))
-        known = self.pieces.now
-        known.update(zip(pieces, self.merge(pieces)))
-        for w, found in zip(new, split):
-            ids = [i for p in found for i in known[p]]
-            self.words.now[w] = " ".join(map(str, ids)).encode(), self.decode(ids)
+    def _known(self, found: list[list[str]]) -> list[tuple[bytes, bytes]]:
+        """Of lists of matches: the ids as text, a blank after each, and what they decode to."""
+        pieces = list(set().union(*found))
+        known = dict(zip(pieces, self.pieces.results(pieces, self._shown)))
+        out = []
+        for f in found:
+            parts = [known[p] for p in f]
+            out.append((b"".join([ids for ids, _ in parts]), b"".join([back for _, back in parts])))
+        return out
+
+    def _shown(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
+        return [(b"".join([b"%d " % i for i in ids]), self.decode(ids)) for ids in self.merge(pieces)]
+
+    def _learn(self, new: list[str]) -> list[tuple[bytes, bytes]]:
+        """Encode and decode words, each with the blank before it."""
+        return self._known([self.pattern.findall(" " + w) for w in new])
 
     def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
         """Of each text: number of ids, SHA-256 of the ids as text, SHA-256 of the decoded bytes."""
-        split, new = cut_words(texts, self.words)
-        self.learn(new)
+        heads, words, rest, bounds = cut_words(texts)
+        known = self.words.results(words, self._learn)
+        ids, backs = [k[0] for k in known], [k[1] for k in known]
         counts, hashes, decoded = [], [], []
-        get = self.words.now.__getitem__
-        for parts in split:
-            head = self.encode(parts[0])
-            first = [" ".join(map(str, head)).encode()] if head else []
-            known = list(map(get, parts[1:]))
-            line = b" ".join(first + [k[0] for k in known])
-            back = self.decode(head) + b"".join([k[1] for k in known])
-            counts.append(line.count(b" ") + 1 if line else 0)
-            hashes.append(hashlib.sha256(line).hexdigest())
-            decoded.append(hashlib.sha256(back).hexdigest())
+        first = self._known([self.pattern.findall(h) for h in heads])
+        rest, bounds = rest.tolist(), bounds.tolist()
+        for (head, back), a, b in zip(first, bounds[:-1], bounds[1:]):
+            own = rest[a:b]
+            line = b"".join([head, *map(ids.__getitem__, own)])
+            counts.append(line.count(b" "))
+            hashes.append(hashlib.sha256(line[:-1]).hexdigest())
+            decoded.append(hashlib.sha256(b"".join([back, *map(backs.__getitem__, own)])).hexdigest())
         return counts, hashes, decoded
 
+    def forget(self) -> None:
+        """Free the memory of words."""
+        self.words.clear()
+        self.pieces.clear()
+
 
 _CODECS: dict[tuple[str, str], Codec] = {}
 
 
 def codec(path: str, pattern: str) -> Codec:
-    """One codec per Python worker, whose memory later tasks use too."""
+    """One codec per Python worker; what it remembers of words ends with the task."""
     if (path, pattern) not in _CODECS:
         _CODECS[path, pattern] = Codec(read_ranks(path), pattern)
     return _CODECS[path, pattern]
@@ -229,7 +242,7 @@ def token_digests(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            for ids, texts in text_slices(batch):
+            for ids, texts in text_slices(batch, SLICE):
                 counts, hashes, decoded = own.digests(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -240,6 +253,7 @@ def token_digests(
                     ],
                     names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        own.forget()
 
     out = source.mapInArrow(run, f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("id", id_col)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,41 +83,84 @@ def text_slices(batch: pa.RecordBatch, chars: int = SLICE_CHARS) -> Iterator[tup
 
 
 _SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+#: Characters of the longest word whose result is remembered, and what an entry takes beside word and result.
+LONG_WORD, ENTRY = 64, 200
 
 
 class Recent:
-    """What was computed for the words met lately: two generations, the older one dropped when the newer is full."""
+    """What was computed for the words met lately: two generations of about ``limit`` bytes, the older one dropped when the newer is full.
+
+    Results are bytes or tuples of them. Long words are worked on like others and not remembered.
+    """
 
     def __init__(self, limit: int) -> None:
         self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
         self.now: dict = {}
         self.older: dict = {}
-
-    def missing(self, words: set) -> list:
-        """The words not known; known ones of the older generation move to the newer, so all others are in ``now``."""
-        if len(self.now) > self.limit:
-            self.older, self.now = self.now, {}
-        new = words.difference(self.now)
-        older = self.older
-        self.now.update([(w, older[w]) for w in new if w in older])
-        return [w for w in new if w not in older]
-
-
-def cut_words(texts: list[str], known: Recent) -> tuple[list[list[str]], list[str]]:
-    """Each text cut at the single blanks between two other characters, and the parts not known.
-
-    For byte-level BPE: a match of its split pattern that holds a blank starts with it or lies
-    in a run of white space, so no match crosses such a cut, and the parts can be encoded one
-    by one, all but the first with the blank before them.
+        self.held = 0
+
+    def put(self, words: list[str], results: list) -> None:
+        if words and max(map(len, words)) > LONG_WORD:
+            brief = [(w, r) for w, r in zip(words, results) if len(w) <= LONG_WORD]
+            words, results = [w for w, _ in brief], [r for _, r in brief]
+        self.now.update(zip(words, results))
+        sizes = map(len, results) if results and isinstance(results[0], bytes) else (len(x) for r in results for x in r)
+        self.held += ENTRY * len(words) + sum(map(len, words)) + sum(sizes)
+
+    def results(self, words: list[str], make: Callable[[list[str]], list]) -> list:
+        """The results for distinct words; ``make`` computes those not known."""
+        if self.held > self.limit:
+            self.older, self.now, self.held = self.now, {}, 0
+        found = list(map(self.now.get, words))
+        new = [i for i, result in enumerate(found) if result is None]
+        if self.older and new:
+            before = list(map(self.older.get, [words[i] for i in new]))
+            again = [(i, r) for i, r in zip(new, before) if r is not None]
+            for i, r in again:
+                found[i] = r
+            self.put([words[i] for i, _ in again], [r for _, r in again])
+            new = [i for i, r in zip(new, before) if r is None]
+        if new:
+            asked = [words[i] for i in new]
+            made = make(asked)
+            for i, r in zip(new, made, strict=True):
+                found[i] = r
+            self.put(asked, made)
+        return found
+
+
+def cut_words(texts: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+    """Texts cut at the single blanks between two other characters.
+
+    The first part of each text, the distinct other parts, and for each text which of them
+    follow: numbers of parts, and the bounds of the texts in them. For byte-level BPE: a match
+    of its split pattern that holds a blank starts with it or lies in a run of white space, so
+    no match crosses such a cut, and the parts can be encoded one by one, all but the first
+    with the blank before them.
     """
-    split = [text.split(" ") for text in texts]
-    new = known.missing(set().union(*split))
-    # Parts that show that their text has other white space beside a blank; they are never known.
-    odd = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
-    if odd:
-        split = [parts if odd.isdisjoint(parts) else _SINGLE_BLANK.split(text) for parts, text in zip(split, texts)]
-        new = known.missing(set().union(*[parts[1:] for parts in split]))
-    return split, new
+    split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+    coded, bounds = split.values.dictionary_encode(), split.offsets.to_numpy().astype(np.int64)
+    index, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+    # Parts that show that their text has other white space beside a blank.
+    size = pc.binary_length(coded.dictionary).to_numpy()
+    odd = (size == 0) | (size != pc.binary_length(pc.utf8_trim_whitespace(coded.dictionary)).to_numpy())
+    odd_texts = np.flatnonzero(np.logical_or.reduceat(odd[index], bounds[:-1])) if texts else ()
+    if len(odd_texts):
+        numbers, bent = {w: i for i, w in enumerate(words)}, [_SINGLE_BLANK.split(texts[i]) for i in odd_texts.tolist()]
+        new = [np.array([numbers.setdefault(w, len(numbers)) for w in parts], np.int64) for parts in bent]
+        runs = [index[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        for i, parts in zip(odd_texts.tolist(), new):
+            runs[i] = parts
+        words, index = list(numbers), np.concatenate(runs)
+        bounds = np.cumsum([0, *map(len, runs)])
+    first = bounds[:-1]
+    heads = [words[i] for i in index[first].tolist()]
+    rest = np.delete(index, first)
+    used = np.bincount(rest, minlength=len(words)) > 0
+    return heads, [words[i] for i in np.flatnonzero(used).tolist()], (np.cumsum(used) - 1)[rest], bounds - np.arange(len(bounds))
 
 
 def plain_words(new: list[str]) -> tuple[list[str], list[str], list[str]]:

@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Recent, cut_words, identified, plain_words, text_slices
 
-#: Words in a generation of a Python worker's memory.
-REMEMBERED = 400_000
+#: Bytes of a generation of a task's memory of words.
+REMEMBERED = 48 << 20
+#: Characters encoded together.
+SLICE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -114,14 +116,16 @@ class TokenLine:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tokenizer.pre_tokenizer = CharDelimiterSplit("\0")
         self.pattern = regex.compile(pattern)
-        self.letters = byte_letters()
+        letters = byte_letters()
+        self.shown = np.array([ord(letters[b]) for b in range(255)] + [0], "<u2")
         self.words = Recent(REMEMBERED)  # ids of a blank and the word, 4 bytes each
-        self.pieces = Recent(REMEMBERED // 4)  # ids of a match of the pattern, for other parts of texts
+        self.pieces = Recent(REMEMBERED // 4)  # ids of a match of the pattern
         vocabulary = self.tokenizer.get_vocab()
         shown = [""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             shown[i] = token
-        blank, line = self.letters[32], self.letters[10]
+        self.size = np.array([len(t) for t in shown], np.int64)
+        blank, line = letters[32], letters[10]
         self.breaks = np.array([t[-1:] == line for t in shown])
         self.closes = np.array([t[-1:] in (".", "!", "?") for t in shown])
         self.opens = np.array([t[:1] in (blank, line) for t in shown])
@@ -130,38 +134,60 @@ class TokenLine:
         """Ids of matches of the pattern, none of them empty."""
         if not pieces:
             return []
-        line = "\0".join([p.encode().decode("latin-1").translate(self.letters) for p in pieces])
-        encoded = self.tokenizer.encode(line, add_special_tokens=False)
-        raw, word = np.array(encoded.ids, "<u4").tobytes(), np.array(encoded.word_ids)
-        ends = [0, *(4 * (np.flatnonzero(np.diff(word)) + 1)).tolist(), len(raw)]
-        return [raw[a:b] for _, a, b in zip(pieces, ends[:-1], ends[1:], strict=True)]
+        # No byte of a text is 255, so it can part the matches. Tokens end with their match, so lengths tell whose they are.
+        raw = np.frombuffer(b"\xff".join([p.encode() for p in pieces] + [b""]), np.uint8)
+        line = self.shown[raw[:-1]].tobytes().decode("utf-16-le")
+        ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+        past = np.flatnonzero(raw == 255)
+        ends = 4 * (np.searchsorted(np.cumsum(self.size[ids]), past - np.arange(len(pieces))) + 1)
+        found, ends = ids.tobytes(), ends.tolist()
+        return [found[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
     def _known(self, found: list[list[str]]) -> list[bytes]:
         """Ids of lists of matches."""
-        pieces = self.pieces.missing(set().union(*found))
-        self.pieces.now.update(zip(pieces, self._merged(pieces)))
-        return [b"".join(map(self.pieces.now.__getitem__, f)) for f in found]
+        pieces = list(set().union(*found))
+        ids = dict(zip(pieces, self.pieces.results(pieces, self._merged)))
+        return [b"".join(map(ids.__getitem__, f)) for f in found]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Ids of words, each with the blank before it."""
         letters, marked, others = plain_words(new)
-        known = self.words.now
-        bases = list({w[:-1] for w in marked}.difference(known, letters))
+        own = self.words
+        bases = list({w[:-1] for w in marked}.difference(letters, own.now))
         plain = letters + bases
-        known.update(zip(plain, self._merged([" " + w for w in plain])))
+        known = dict(zip(plain, self._merged([" " + w for w in plain])))
+        own.put(bases, [known[w] for w in bases])
         marks = {w[-1] for w in marked}
         ends = dict(zip(marks, self._known([[m] for m in marks])))
-        known.update((w, known[w[:-1]] + ends[w[-1]]) for w in marked)
+        known.update([(w, (known.get(w[:-1]) or own.now[w[:-1]]) + ends[w[-1]]) for w in marked])
         known.update(zip(others, self._known([self.pattern.findall(" " + w) for w in others])))
+        return [known[w] for w in new]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of the texts as the tokenizer gives them, each text followed by id 0."""
-        split, new = cut_words(texts, self.words)
-        self._learn(new)
-        heads = self._known([self.pattern.findall(parts[0]) for parts in split])
-        get, end = self.words.now.__getitem__, bytes(4)
-        return [
-            np.frombuffer(b"".join([head, *map(get, parts[1:]), end]), "<u4") for head, parts in zip(heads, split)
-        ]
+        if not texts:
+            return []
+        heads, words, rest, bounds = cut_words(texts)
+        # What a text is put together from: its head, its words and the closing id.
+        parts = [bytes(4), *self._known([self.pattern.findall(h) for h in heads]), *self.words.results(words, self._learn)]
+        flat = np.frombuffer(b"".join(parts), "<u4")
+        size = np.array([len(p) >> 2 for p in parts], np.int64)
+        begin = np.cumsum(size) - size
+        texts_at, n = bounds[:-1], len(texts)
+        order = np.zeros(len(rest) + 2 * n, np.int64)  # part numbers in the order of the line, 0 the closing id
+        heads_at = texts_at + 2 * np.arange(n)
+        order[heads_at] = 1 + np.arange(n)
+        words_at = np.arange(len(rest)) + 1 + 2 * np.repeat(np.arange(n), np.diff(bounds))
+        order[words_at] = rest + 1 + n
+        taken = size[order]
+        ends = np.cumsum(taken)
+        line = flat[np.arange(ends[-1]) + np.repeat(begin[order] - (ends - taken), taken)]
+        return np.split(line, ends[np.append(heads_at[1:], len(order)) - 1][:-1])
+
+    def forget(self) -> None:
+        """Free the memory of words."""
+        self.words.clear()
+        self.pieces.clear()
 
     def cuts(self, found: list[np.ndarray], plan: Plan) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each document: positions inside it where it may be cut, and what each costs."""
@@ -250,7 +276,7 @@ _LINES: dict[tuple[str, str], TokenLine] = {}
 
 
 def token_line(path: str, pattern: str) -> TokenLine:
-    """One per Python worker, whose memory later tasks use too."""
+    """One per Python worker; what it remembers of words ends with the task."""
     if (path, pattern) not in _LINES:
         _LINES[path, pattern] = TokenLine(path, pattern)
     return _LINES[path, pattern]
@@ -289,7 +315,7 @@ def pack(
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            for ids, texts in text_slices(batch):
+            for ids, texts in text_slices(batch, SLICE):
                 rows = []
                 encoded = tokens.encode(texts)
                 for i, found, cuts in zip(ids, encoded, tokens.cuts(encoded, plan)):
@@ -298,5 +324,6 @@ def pack(
                     yield table(rows)
         if rows := list(packer.flush(True)):
             yield table(rows)
+        tokens.forget()
 
     return line.mapInArrow(run, f"id {id_type}, {COLUMNS}").withColumnRenamed("id", id_col)
