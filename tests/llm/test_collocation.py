@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 import check_oracle
+from tidemark.llm import bits
 from tidemark.llm import collocation as co
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -60,14 +61,14 @@ def texts(rng, n):
     return out
 
 
-@pytest.mark.parametrize("bits", [64, 9, 6])  # few bits: most fingerprints stand for several phrases
+@pytest.mark.parametrize("width", [64, 9, 6])  # few bits: most fingerprints stand for several phrases
 @pytest.mark.parametrize("slice_bytes", [1 << 20, 40])
-def test_collocations(spark, monkeypatch, bits, slice_bytes):
+def test_collocations(spark, monkeypatch, width, slice_bytes):
     monkeypatch.setattr(co, "SLICE", slice_bytes)
-    rng = random.Random(bits)
+    rng = random.Random(width)
     rows = texts(rng, 150) + [("en", "New York City now. " * 60)] * 70 + [("de", None), (None, ""), ("fr", " ,. ")]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
-    got = co.collocations(df, least=12, top=25, cover=80, print_bits=bits).collect()
+    got = co.collocations(df, least=12, top=25, cover=80, print_bits=width).collect()
     assert sorted(map(tuple, got)) == brute(rows, 12, 25, 80)
 
 
@@ -78,7 +79,7 @@ def test_odd_documents(spark, odd_docs, no_docs):
 
 
 def test_full_filter_loses_nothing(spark, monkeypatch):
-    monkeypatch.setattr(co, "FILTER_MOST", 6)
+    monkeypatch.setattr(bits, "MOST", 6)
     rows = texts(random.Random(1), 120)
     got = co.collocations(spark.createDataFrame(rows, "lang string, text string"), least=5).collect()
     assert sorted(map(tuple, got)) == brute(rows, 5, 2000, 80)

@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import exact, jaccard, simhash, substring
@@ -318,10 +319,11 @@ def edited_copies(seed=5):
     return texts + ["", None, "One", "one", "a b c d e", "A b\tc d e", *texts[:3]]
 
 
-@pytest.mark.parametrize("rounds, sample", [(2, 4000), (0, 4000), (1, 0)])
-def test_near_copies_by_shingles(spark, rounds, sample, monkeypatch):
+@pytest.mark.parametrize("rounds, share, whole", [(2, 1, 200_000), (0, 16, 200_000), (1, 4, 1)])
+def test_near_copies_by_shingles(spark, rounds, share, whole, monkeypatch):
     monkeypatch.setattr(jaccard, "ROUNDS", rounds)
-    monkeypatch.setattr(jaccard, "SAMPLE", sample)
+    monkeypatch.setattr(jaccard, "SHARE", share)
+    monkeypatch.setattr(jaccard, "WHOLE", whole)
     rows = list(enumerate(edited_copies()))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     want = brute_kept(rows)
@@ -330,6 +332,52 @@ def test_near_copies_by_shingles(spark, rounds, sample, monkeypatch):
     assert len(want) < fingerprints.count() and len(want) > 25  # two bits are too few for such copies
 
 
+def test_a_long_chain_of_versions(spark, monkeypatch):
+    """Each version edited from the last: the rounds grow with the logarithm of the chain, and so do the tables."""
+    words, rows = prose(random.Random(9), 200).split(" "), []
+    for i in range(60):
+        words = [*words[: 3 * i], f"edit{i}", *words[3 * i + 1 :]]
+        rows.append((i, " ".join(words)))
+    tables, store = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, label: tables.append(label) or store(df, label))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in jaccard.drop_near_copies(df).collect()) == brute_kept(rows)
+    assert len(tables) < 50
+
+
+def test_a_line_in_many_texts_makes_no_pairs(spark, monkeypatch):
+    """Texts that share half of their words and no copies: a line like that is common in the sample, so none meet by it."""
+    rng = random.Random(8)
+    line = " ".join(f"licence{k}" for k in range(60))
+    rows = [(i, line + " " + " ".join(f"own{rng.randrange(10**9)}" for _ in range(60))) for i in range(400)]
+    seen, store = [], jaccard.written
+
+    def count(df, label):
+        out = store(df, label)
+        if label in ("pairs", "met"):
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", count)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert jaccard.drop_near_copies(df).count() == len(rows)
+    assert sum(seen) < 10 * len(rows)
+
+
+def test_groups_find_close_copies(spark):
+    """What the SimHash index alone brings together: the closest of the pairs alike by whole sets."""
+    rows = [(i, t) for i, t in enumerate(edited_copies()) if t]
+    df = spark.createDataFrame(rows, "id long, text string").withColumn("version", F.xxhash64("text"))
+    grouped = jaccard._grouped(jaccard._first(df)).collect()
+    group = {r.node.id: r.key for r in grouped}
+    sets = [(i, brute_shingles(t)) for i, t in rows]
+    prints = {r.node.id: jaccard.fingerprint(jaccard.shingles(r.text)) for r in df.selectExpr("*", "struct(id) node").collect()}
+    alike = [(i, j) for i, a in sets for j, b in sets if i < j and 5 * len(a & b) >= 4 * len(a | b)]
+    close = [(i, j) for i, j in alike if ((prints[i] ^ prints[j]) & (2**64 - 1)).bit_count() <= jaccard.DIFFER]
+    assert 0 < len(close) < len(alike)  # copies further apart are left to the shingles
+    assert all(i in group and group[i] == group[j] for i, j in close)
+
+
 def test_near_copies_of_odd_documents(odd_docs, no_docs):
     left = jaccard.drop_near_copies(odd_docs)
     assert left.columns == odd_docs.columns

@@ -15,7 +15,6 @@ found, the fingerprint stands for several phrases: they are counted again by the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +22,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bits import Filter, bit_filter
 from tidemark.llm.common import column, written
 
 #: Longest phrase in words, least count of a candidate, rows kept of each language, and when a longer phrase covers one.
 LONGEST, LEAST, TOP, COVER = 4, 30, 2000, 80
 UNKNOWN = "und"
+#: Parts of a language whose best phrases are found apart.
+PARTS = 64
 #: Bytes of text worked on together, and where a longer text is cut (between two pieces).
 SLICE = 1 << 20
-#: Bits of a filter: as many times the number of fingerprints in it, but no more than 2 to the largest.
-FILTER_FACTOR, FILTER_MOST = 16, 27
 #: Bits of a second fingerprint, few enough for the sum over any number of occurrences, and of a task's memory of pointers.
 CHECK_BITS, POINTED = 22, 18
 
@@ -159,30 +159,6 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarr
         yield Words(parts, langs), np.array(docs, np.int64), np.array(offsets, np.int64), parts
 
 
-@dataclass
-class Filter:
-    """A set of fingerprints as bits at their leading bits; it may hold more, never less."""
-
-    bits: np.ndarray
-    size: int
-
-    def holds(self, prints: np.ndarray) -> np.ndarray:
-        at = prints >> _U(64 - self.size)
-        return ((self.bits[(at >> _U(6)).astype(np.int64)] >> (at & _U(63))) & _U(1)).astype(bool)
-
-
-def bit_filter(prints: DataFrame, count: int) -> Filter:
-    """Filter over the longs of column ``fp``. What reaches the driver is bounded by 2^FILTER_MOST bits."""
-    size = min(max(6, (FILTER_FACTOR * max(count, 1) - 1).bit_length()), FILTER_MOST)
-    at = F.shiftrightunsigned("fp", 64 - size)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(fp, {64 - size}) & 63 AS INT))")
-    words = prints.select(F.shiftrightunsigned(at, 6).alias("word"), bit.alias("bit"))
-    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bits = np.zeros(1 << (size - 6), np.uint64)
-    bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return Filter(bits, size)
-
-
 def _prints(words: Words, at: np.ndarray, size: int, mask: int) -> np.ndarray:
     """First fingerprints. ``mask`` leaves fewer bits of them, but the empty run, met once for each word, keeps its own."""
     return words.prints(at, size) & _U(mask if size else _ALL)
@@ -426,12 +402,13 @@ def collocations(
     )
     covered = _exact("longer") * 100 >= _exact("a") * cover
     kept = scored.join(around, ["lang", "phrase"], "left").filter(~F.coalesce(covered, F.lit(False)))
+    kept = kept.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))
+    # The best of each part of a language first, so that no task sorts more than TOP rows of each part.
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang", part).orderBy(*best))).filter(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).filter(F.col("rank") <= top)
     totals = known.filter("words = 0").select("lang", F.col("n").alias("total"))
-    kept = kept.join(totals, "lang").select(
-        "lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("total").alias("n"),
-        F.col("cut.score").alias("score"),
+    return ranked.join(totals, "lang").select(
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score"
     )
-    # Tasks keep their own best rows before the shuffle, so a language with most phrases costs no more than others.
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
-    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
