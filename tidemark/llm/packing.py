@@ -193,10 +193,14 @@ class TokenLine:
         """Of each document: positions inside it where it may be cut, and what each costs."""
         line = np.concatenate(found)
         bounds = np.cumsum([0] + [len(ids) for ids in found])
-        ends = np.flatnonzero(self.breaks[line[:-1]] | (self.closes[line[:-1]] & self.opens[line[1:]])) + 1
+        before = line[:-1]
+        end = np.zeros(len(line) + 1, bool)
+        end[1:-1] = self.breaks[before] | (self.closes[before] & self.opens[line[1:]])
         # A document's closing id is no sentence of its own, and its end no cut inside it.
-        ends = np.setdiff1d(ends, np.concatenate([bounds, bounds[1:] - 1]), assume_unique=False)
-        fixed = np.union1d(bounds, ends)
+        end[bounds], end[bounds[1:] - 1] = False, False
+        ends = np.flatnonzero(end)
+        end[bounds] = True
+        fixed = np.flatnonzero(end)
         gaps = np.diff(fixed)
         long = np.flatnonzero(gaps > plan.long_sentence)
         inner = [np.arange(a + plan.inner_step, a + g, plan.inner_step) for a, g in zip(fixed[long], gaps[long])]
