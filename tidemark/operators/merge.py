@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import skew
 from tidemark.operators.skew import SkewPolicy
 
 
+#: A column's value from the target's and the source's values, each by name.
+Combine = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+
+
 def merge_frames(
     target: DataFrame,
     source: DataFrame,
@@ -18,12 +22,17 @@ def merge_frames(
     update: Sequence[str] | None = None,
     insert: bool = True,
     policy: SkewPolicy = SkewPolicy(),
+    newer: str | None = None,
+    combine: Mapping[str, Combine] | None = None,
 ) -> DataFrame:
     """The target after ``MERGE``: matched rows updated, unmatched source rows inserted.
 
     ``update=None`` updates every column the two sides share. Columns only the source
     has are ignored; inserted rows have null in columns only the target has. Two source
-    rows for one target row raise, as ``MERGE`` does. Null keys match nothing.
+    rows for one target row raise, as ``MERGE`` does. Null keys match nothing. With ``newer``
+    a matched row is only updated if the source has more in that column (or the target
+    nothing), so changes may come twice or late. ``combine`` makes a column's new value from
+    both rows, given as functions from a column's name to its value.
 
     Written as a left join plus an anti join rather than a full outer join: when the
     source is small, adaptive execution broadcasts it and the target is never shuffled.
@@ -41,9 +50,18 @@ def merge_frames(
     joined = skew.left_join(target, per_key, keys, policy)
     stop = F.raise_error(F.lit("merge: several source rows match one target row")).cast("boolean")
     hit = F.when(F.col("_n") > 1, stop).otherwise(F.col("_n").isNotNull())
+    if newer is not None:
+        hit = hit & (F.col(newer).isNull() | (F.col(f"_s.`_new_{newer}`") > F.col(newer)))
+
+    def updated(c: str) -> Column:
+        value = F.col(f"_s.`_new_{c}`")
+        if combine and c in combine:
+            value = combine[c](F.col, lambda name: F.col(f"_s.`_new_{name}`"))
+        return F.when(hit, value.cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+
     merged = joined.select(
         *[
-            F.when(hit, F.col(f"_s.`_new_{c}`").cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+            updated(c)
             if c in changed
             else F.col(c)
             for c in target.columns

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import classify
+from tidemark.operators.merge import Combine
 
 ALL_MODELS = "*"
 GROUP = ["window_start", "window_end", "model_version", "slice_key", "slice_value"]
@@ -83,12 +84,16 @@ def window_counts(df: DataFrame, time_col: str, granularity: str = "1 day", by:
     return df.groupBy(span, *by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def profile_numeric(df: DataFrame, monitor: Monitor) -> DataFrame:
-    """Count, nulls, mean, standard deviation (population), min and max per numeric column."""
+def numeric_state(df: DataFrame, monitor: Monitor) -> DataFrame:
+    """What a numeric profile is made of, per window, model and slice values; parts of a log add up.
+
+    Rows, and of each column count, sum, squared deviations from the mean, and extremes.
+    """
+
     def value(c: str) -> Column:
         return F.col(c).cast("double")
 
-    base = with_grain(df, monitor).groupBy(*monitor.grain).agg(
+    return with_grain(df, monitor).groupBy(*monitor.grain).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[
             a
@@ -102,47 +107,88 @@ def profile_numeric(df: DataFrame, monitor: Monitor) -> DataFrame:
             )
         ],
     )
-    wide = expand(base, monitor)
-    totals = wide.groupBy(*GROUP).agg(
+
+
+def distinct_state(df: DataFrame, monitor: Monitor) -> DataFrame:
+    """Sketches of the distinct values of each numeric column, at the same grain."""
+    sketches = [F.hll_sketch_agg(F.col(c).cast("string")).alias(f"_hll{i}") for i, c in enumerate(monitor.numeric)]
+    return with_grain(df, monitor).groupBy(*monitor.grain).agg(*sketches)
+
+
+def added_deviations(i: int) -> Combine:
+    """Squared deviations of two parts together: within each, and of their means from the common one."""
+
+    def combine(old, new) -> Column:
+        n, m = old(f"_n{i}"), new(f"_n{i}")
+        apart = F.pow(old(f"_sum{i}") / n - new(f"_sum{i}") / m, 2) * (n * m) / (n + m)
+        return F.when(n == 0, new(f"_dev{i}")).when(m == 0, old(f"_dev{i}")).otherwise(old(f"_dev{i}") + new(f"_dev{i}") + apart)
+
+    return combine
+
+
+def state_sums(monitor: Monitor) -> dict[str, Combine]:
+    """How the columns of two numeric states of one group add up."""
+
+    def plus(c: str) -> Combine:
+        return lambda old, new: F.coalesce(old(c) + new(c), old(c), new(c))
+
+    out: dict[str, Combine] = {"_rows": plus("_rows")}
+    for i, _ in enumerate(monitor.numeric):
+        out |= {f"_n{i}": plus(f"_n{i}"), f"_sum{i}": plus(f"_sum{i}"), f"_dev{i}": added_deviations(i)}
+        out[f"_min{i}"] = lambda old, new, c=f"_min{i}": F.least(old(c), new(c))
+        out[f"_max{i}"] = lambda old, new, c=f"_max{i}": F.greatest(old(c), new(c))
+    return out
+
+
+def profile_numeric(df: DataFrame, monitor: Monitor) -> DataFrame:
+    """Count, nulls, mean, standard deviation (population), min and max per numeric column."""
+    return numeric_profile(numeric_state(df, monitor), monitor)
+
+
+def numeric_profile(state: DataFrame, monitor: Monitor) -> DataFrame:
+    """The profile of a numeric state, which may hold a group in several parts.
+
+    Deviations of merged parts are those within the parts plus those of their means from the
+    total mean, which a window over the small table brings beside each part; taken as a
+    difference of large squares they would lose all digits where the mean is large.
+    """
+    wide = expand(state, monitor)
+    group = Window.partitionBy(*GROUP)
+
+    def mean(i: int, over: Window | None = None) -> Column:
+        total, n = F.sum(f"_sum{i}"), F.sum(f"_n{i}")
+        return total.over(over) / F.nullif(n.over(over), F.lit(0)) if over is not None else total / F.nullif(n, F.lit(0))
+
+    wide = wide.withColumns({f"_mean{i}": mean(i, group) for i, _ in enumerate(monitor.numeric)})
+
+    def square(i: int) -> Column:
+        own = F.col(f"_sum{i}") / F.nullif(F.col(f"_n{i}"), F.lit(0))
+        return F.sum(F.col(f"_dev{i}") + F.col(f"_n{i}") * F.pow(own - F.col(f"_mean{i}"), 2))
+
+    merged = wide.groupBy(*GROUP).agg(
         F.sum("_rows").alias("_rows"),
         *[
             a
             for i, _ in enumerate(monitor.numeric)
             for a in (
                 F.sum(f"_n{i}").alias(f"_n{i}"),
-                F.sum(f"_sum{i}").alias(f"_sum{i}"),
+                mean(i).alias(f"_avg{i}"),
+                square(i).alias(f"_sq{i}"),
                 F.min(f"_min{i}").alias(f"_min{i}"),
                 F.max(f"_max{i}").alias(f"_max{i}"),
             )
         ],
     )
 
-    # Squared deviations of merged groups: within groups, plus those of the group means from the total mean.
-    # Taken as a difference of large squares they would lose all digits where the mean is large.
-    def mean_of(i: int) -> Column:
-        return F.col(f"_sum{i}") / F.nullif(F.col(f"_n{i}"), F.lit(0))
-
-    means = totals.select(*GROUP, *[mean_of(i).alias(f"_mean{i}") for i, _ in enumerate(monitor.numeric)])
-    apart = wide.join(means, GROUP).groupBy(*GROUP).agg(
-        *[
-            F.sum(F.col(f"_dev{i}") + F.col(f"_n{i}") * F.pow(mean_of(i) - F.col(f"_mean{i}"), 2)).alias(f"_sq{i}")
-            for i, _ in enumerate(monitor.numeric)
-        ],
-        F.count(F.lit(1)).alias("_groups"),
-    )
-    merged = totals.join(apart, GROUP)
-
     def stats(i: int, name: str) -> Column:
-        n, total = F.col(f"_n{i}"), F.col(f"_sum{i}")
-        mean = total / F.nullif(n, F.lit(0))
-        variance = F.col(f"_sq{i}") / F.nullif(n, F.lit(0))
+        n = F.col(f"_n{i}")
         return F.struct(
             F.lit(name).alias("column_name"),
             F.col("_rows").alias("count"),
             (F.col("_rows") - n).alias("num_nulls"),
             (F.lit(100.0) * (F.col("_rows") - n) / F.col("_rows")).alias("percent_null"),
-            mean.alias("avg"),
-            F.when(n > 0, F.sqrt(variance)).alias("stddev"),
+            F.col(f"_avg{i}").alias("avg"),
+            F.when(n > 0, F.sqrt(F.col(f"_sq{i}") / F.nullif(n, F.lit(0)))).alias("stddev"),
             F.col(f"_min{i}").alias("min"),
             F.col(f"_max{i}").alias("max"),
         )
@@ -151,21 +197,41 @@ def profile_numeric(df: DataFrame, monitor: Monitor) -> DataFrame:
     return publish(merged.select(*GROUP, F.inline(F.array(*rows))))
 
 
+def distinct_profile(state: DataFrame, monitor: Monitor) -> DataFrame:
+    """Estimated distinct values per numeric column, of sketches that may hold a group in several parts."""
+    wide = expand(state, monitor).groupBy(*GROUP)
+    merged = wide.agg(*[F.hll_union_agg(f"_hll{i}").alias(f"_hll{i}") for i, _ in enumerate(monitor.numeric)])
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.hll_sketch_estimate(f"_hll{i}").alias("distinct_estimate"))
+        for i, c in enumerate(monitor.numeric)
+    ]
+    return publish(merged.select(*GROUP, F.inline(F.array(*rows))))
+
+
+def value_state(df: DataFrame, monitor: Monitor, columns: Sequence[str]) -> DataFrame:
+    """Rows per window, model, slice values, column and value, nulls included; parts of a log add up."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+    rows = with_grain(df, monitor).select(*monitor.grain, F.inline(F.array(*pairs)))
+    return rows.groupBy(*monitor.grain, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def value_counts(df: DataFrame, monitor: Monitor, columns: Sequence[str]) -> DataFrame:
     """Rows per window, model, slice, column and value, nulls included; slice markers internal."""
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
-    base = (
-        with_grain(df, monitor)
-        .select(*monitor.grain, F.inline(F.array(*pairs)))
-        .groupBy(*monitor.grain, "column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return expand(base, monitor).groupBy(*GROUP, "column_name", "value").agg(F.sum("n").alias("n"))
+    return _summed(value_state(df, monitor, columns), monitor)
+
+
+def _summed(state: DataFrame, monitor: Monitor) -> DataFrame:
+    return expand(state, monitor).groupBy(*GROUP, "column_name", "value").agg(F.sum("n").alias("n"))
 
 
 def profile_categorical(df: DataFrame, monitor: Monitor) -> DataFrame:
     """Count, nulls, distinct values and the most frequent value (smallest on ties) per column."""
-    counts = value_counts(df, monitor, monitor.categorical)
+    return categorical_profile(value_state(df, monitor, monitor.categorical), monitor)
+
+
+def categorical_profile(state: DataFrame, monitor: Monitor) -> DataFrame:
+    """The categorical profile of counted values, which may hold a group in several parts."""
+    counts = _summed(state, monitor)
     n, value = F.col("n"), F.col("value")
     best = F.when(value.isNotNull(), F.struct((-n).alias("m"), value.alias("v")))
     out = counts.groupBy(*GROUP, "column_name").agg(
@@ -226,9 +292,16 @@ def custom_metrics(df: DataFrame, monitor: Monitor) -> DataFrame:
 
 def quality_by_group(df: DataFrame, monitor: Monitor) -> DataFrame:
     """Classification quality per window, model and slice over labelled rows; slice markers internal."""
-    counts = classify.confusion_counts(
-        with_grain(df, monitor), monitor.label_col, monitor.prediction_col, by=monitor.grain
-    )
+    return quality_profile(confusion_state(df, monitor), monitor)
+
+
+def confusion_state(df: DataFrame, monitor: Monitor) -> DataFrame:
+    """Confusion counts per window, model and slice values; parts of a log add up."""
+    return classify.confusion_counts(with_grain(df, monitor), monitor.label_col, monitor.prediction_col, by=monitor.grain)
+
+
+def quality_profile(counts: DataFrame, monitor: Monitor) -> DataFrame:
+    """Classification quality of a confusion state, which may hold a group in several parts; slice markers internal."""
     merged = expand(counts, monitor).groupBy(*GROUP, "label", "prediction").agg(F.sum("n").alias("n"))
     return classify.quality_metrics(merged, by=GROUP)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.errors import PySparkException
@@ -118,14 +119,20 @@ def table_drop_tags(spark, folder):
 def stream_wait(spark, folder):
     """A named stream is listed while it runs and waited for; then the table it feeds is."""
     orders = _stream(spark, folder, "orders").select("o_custkey", "o_orderdate")
-    name = _fresh("fed")
+    name, listed = _fresh("fed"), threading.Event()
+
+    def held(batch):  # the first batch ends when the stream has been seen
+        listed.wait(120)
+        return batch
+
     tables.create_keyed_table(spark, name, orders.schema, ["o_custkey"])
-    started = jobs.upsert_stream(orders, name, ["o_custkey"], "o_orderdate", scratch_path(spark, "cp"), name)
-    listed = name in [q.name for q in jobs.active_streams(spark, "tidemark_fed")] or not started.isActive
+    jobs.upsert_stream(orders, name, ["o_custkey"], "o_orderdate", scratch_path(spark, "cp"), name, held)
+    seen = name in [q.name for q in jobs.active_streams(spark, "tidemark_fed")]
+    listed.set()
     jobs.wait_for_streams(spark, name, timeout=300)
     left, rows = len(jobs.active_streams(spark, name)), tables.wait_for_table(spark, name, timeout=60).count()
     tables.drop_table(spark, name)
-    return _facts(spark, [("listed", listed), ("left", left), ("rows", rows)])
+    return _facts(spark, [("listed", seen), ("left", left), ("rows", rows)])
 
 
 @query(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import quality
-from tidemark.operators.merge import merge_frames
+from tidemark.operators.merge import Combine, merge_frames
 
 KEYS, TIME, BASE, BUCKETS = "tidemark.keys", "tidemark.time", "tidemark.base", "tidemark.buckets"
 #: Column with the bucket of a row, in tables that have buckets.
@@ -315,7 +315,8 @@ def _place_buckets(spark: SparkSession, name: str, base: str, before: dict[str,
     for bucket, version in after.items():
         if before.get(bucket) != version:
             place = _text(f"{base}/_version={version}/{BUCKET}={bucket}")
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({BUCKET}={bucket}) LOCATION {place}")
+            if bucket not in before:
+                spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({BUCKET}={bucket}) LOCATION {place}")
             spark.sql(f"ALTER TABLE {name} PARTITION ({BUCKET}={bucket}) SET LOCATION {place}")
     for bucket in before.keys() - after.keys():
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({BUCKET}={bucket})")
@@ -448,6 +449,12 @@ def _retain(spark: SparkSession, base: str, files, version: int, buckets: int) -
             files.delete(_folder(spark, f"{base}/{name}")[1], False)
 
 
+def read_current(spark: SparkSession, name: str) -> DataFrame:
+    """A table as it is now. A session keeps the files of a table it has read, and streams change tables in sessions of their own."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def read_version(spark: SparkSession, name: str, version: int | None = None) -> DataFrame:
     """One retained state of a keyed table; the current one by default."""
     version = current_version(spark, name) if version is None else version
@@ -472,8 +479,10 @@ def merge_into(
     keys: Sequence[str] | None = None,
     update: Sequence[str] | None = None,
     insert: bool = True,
+    newer: str | None = None,
+    combine: Mapping[str, Combine] | None = None,
 ) -> None:
-    """Upsert ``source`` into an existing table.
+    """Upsert ``source`` into an existing table. Arguments as those of ``merge_frames``.
 
     If another writer changes the table meanwhile, the merge is planned again on its state, so
     both changes stay. With buckets, and merged by the table's own key, only the buckets of the
@@ -482,7 +491,9 @@ def merge_into(
     if not spark.catalog.tableExists(name):
         raise ValueError(f"table {name} does not exist")
     if _provider(spark, name) not in ("parquet", "orc", "csv", "json"):
-        _merge_rows(spark, name, source, list(keys or table_keys(spark, name)), update, insert)
+        if combine:
+            raise ValueError("columns are combined in plain file tables only")
+        _merge_rows(spark, name, source, list(keys or table_keys(spark, name)), update, insert, newer)
         return
     facts = properties(spark, name)
     own = facts.get(KEYS, "").split(",")
@@ -502,7 +513,8 @@ def merge_into(
             places = _bucket_map(spark, _folder(spark, base)[0], base, version)
             places = {str(b): places[str(b)] for b in touched if str(b) in places}
             target = _read_buckets(spark, base, spark.table(name).schema, places)
-        return merge_frames(target.select(*[F.col(f"`{c}`") for c in schema.names]), source, keys, update, insert)
+        target = target.select(*[F.col(f"`{c}`") for c in schema.names])
+        return merge_frames(target, source, keys, update, insert, newer=newer, combine=combine)
 
     change_state(spark, name, plan, sort_by=keys, touched=touched)
 
@@ -529,7 +541,8 @@ def _provider(spark: SparkSession, name: str) -> str:
 
 
 def _merge_rows(
-    spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], update: Sequence[str] | None, insert: bool
+    spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], update: Sequence[str] | None, insert: bool,
+    newer: str | None = None,
 ) -> None:
     """The merge of a table whose format changes rows itself. Columns and keys as in ``merge_frames``."""
     columns = [c for c in spark.table(name).columns if c in source.columns]
@@ -540,7 +553,8 @@ def _merge_rows(
         return {f"`{c}`": F.col(f"_source.`{c}`") for c in names}
 
     change = source.alias("_source").mergeInto(name, F.expr(on))
-    change = change.whenMatched().update(given(changed)) if changed else change
+    later = F.expr(f"{name}.`{newer}` IS NULL OR _source.`{newer}` > {name}.`{newer}`") if newer else None
+    change = change.whenMatched(later).update(given(changed)) if changed else change
     (change.whenNotMatched().insert(given(columns)) if insert else change).merge()
 
 
@@ -593,7 +607,7 @@ class FeatureStore:
             create_keyed_table(self.spark, self.full_name(table), df.schema, keys, rows=df, **options)
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.full_name(table))
+        return read_current(self.spark, self.full_name(table))
 
     def drop(self, table: str) -> None:
         if not self._skip("drop", table):

@@ -35,7 +35,8 @@ def _once(spark: SparkSession, table: str, number: int, change: Callable[[], Non
 
 
 def upsert_stream(
-    stream: DataFrame, table: str, keys: Sequence[str], time_col: str, checkpoint: str, name: str | None = None
+    stream: DataFrame, table: str, keys: Sequence[str], time_col: str, checkpoint: str, name: str | None = None,
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
     """Merge a stream into a keyed table, newest row per key first within each batch.
 
@@ -50,7 +51,7 @@ def upsert_stream(
         spark = batch.sparkSession
 
         def change() -> None:
-            newest = latest_per_key(batch, keys, time_col)
+            newest = latest_per_key(transform(batch), keys, time_col)
             for key in keys:
                 missing = F.raise_error(F.lit(f"stream row without key {key}")).cast(newest.schema[key].dataType)
                 newest = newest.withColumn(key, F.coalesce(F.col(key), missing))
