@@ -18,8 +18,10 @@ from tidemark.plans.binding import (
     orders_as,
     orders_sql,
     query,
+    sql_bucket,
     table,
 )
+from tidemark.plans.features import _split
 from tidemark.session import scratch_path
 
 # --- preprocessing ----------------------------------------------------------
@@ -115,94 +117,182 @@ def _training_rows(spark, folder):
     return spark.read.parquet(path)
 
 
-# Small ensembles, so that a check run stays short; the operators take any size.
-_SPACE = {
-    **train.SEARCH_SPACE,
-    "RandomForest": {
-        "n_estimators": train.Range(5, 15, whole=True),
-        "max_depth": train.Range(3, 5, whole=True),
-        "min_samples_leaf": train.Range(1, 10, whole=True),
-    },
-    "GradientBoosting": {
-        "n_estimators": train.Range(3, 6, whole=True),
-        "max_depth": train.Range(2, 4, whole=True),
-        "learning_rate": train.Range(0.1, 0.9),
-        "max_bin": train.Range(32, 64, whole=True),
-    },
-}
-_SMALL = {
-    "LogisticRegression": {"C": 1.0, "tol": 1e-4},
-    "RandomForest": {"n_estimators": 10, "max_depth": 4},
-    "GradientBoosting": {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3, "max_bin": 32},
-}
+_CLASSES = ("Yes", "No")
+#: What was fitted for a folder in this session: several queries look at the same model.
+_FITTED: dict[tuple, object] = {}
+
+
+def _once(spark, folder, name, make):
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
+
+
+def _split_rows(spark, folder):
+    """The training set and its two parts."""
+    rows = _once(spark, folder, "rows", lambda: _training_rows(spark, folder))
+    return rows, *[rows.filter(F.col("split") == s).drop("split") for s in ("train", "test")]
+
+
+def _boosted(spark, folder):
+    """The boosted trees of the fixed parameters."""
+    _, rows, _ = _split_rows(spark, folder)
+    args = (prep.churn_spec(), churn.LABEL, *_CLASSES, "GradientBoosting", train.GBT_DEFAULTS)
+    return _once(spark, folder, "boosted", lambda: train.fit_model(rows, *args))
 
 
-def _fit(rows, family):
-    return train.fit_model(
-        rows.filter("split = 'train'").drop("split"), prep.churn_spec(), churn.LABEL, "Yes", "No", family, _SMALL[family]
+def _searched(spark, folder):
+    """Eight trials over all families and their whole ranges."""
+    _, rows, _ = _split_rows(spark, folder)
+    args = (prep.churn_spec(), [churn.KEY], churn.LABEL, *_CLASSES, train.draw_trials(8))
+    return _once(spark, folder, "search", lambda: train.search(rows, *args))
+
+
+# A model's numbers depend on what it has learnt. What SQL can state are facts that hold for any: which rows it
+# scored, that chances are chances, that the likelier class is predicted, and that its metrics are those of its predictions.
+_LEARNT = f"""l AS (SELECT customer_id, {_split(sql_bucket(['customer_id'], 42))} AS split
+    FROM ({BRONZE_SQL}) WHERE customer_id IS NOT NULL AND churn IS NOT NULL)"""
+
+
+def _facts_sql(where="true", head="", measured=True):
+    zeros = ["chances outside 0 to 1", "predictions of the lesser chance"] + ["metrics counted otherwise"] * measured
+    return f"""SELECT '{head}rows' AS fact, CAST(count(*) AS VARCHAR) AS value FROM l WHERE {where}
+        UNION ALL SELECT '{head}keys', CAST(count(DISTINCT customer_id) AS VARCHAR) FROM l WHERE {where}""" + "".join(
+        f" UNION ALL SELECT '{head}{z}', '0'" for z in zeros
     )
 
 
-def _model(spark, folder, family="GradientBoosting"):
-    rows = _training_rows(spark, folder)
-    return rows, _fit(rows, family)
+def _facts(spark, rows):
+    return spark.createDataFrame([(fact, str(value)) for fact, value in rows], "fact string, value string")
+
+
+def _scored_facts(scored, metrics=None, prefix="", head=""):
+    """The facts of scored rows, and of their metrics if given."""
+    chance = F.col("probability")
+    wrong = F.col("prediction") != F.when(chance > 0.5, _CLASSES[0]).otherwise(_CLASSES[1])
+    counts = scored.agg(
+        F.count(F.lit(1)), F.countDistinct(churn.KEY), F.count_if(~chance.between(0, 1)),
+        F.count_if(wrong & (F.abs(chance - 0.5) > 1e-9)),
+    ).first()
+    names = ["rows", "keys", "chances outside 0 to 1", "predictions of the lesser chance"]
+    out = [(head + n, v) for n, v in zip(names, counts)]
+    if metrics is not None:
+        found = {r["metric"]: r["value"] for r in metrics.collect()}
+        cells = {(r[churn.LABEL], r["prediction"]): r["count"] for r in scored.groupBy(churn.LABEL, "prediction").count().collect()}
+        hits, yes, no = (cells.get(k, 0) for k in (("Yes", "Yes"), ("Yes", "No"), ("No", "Yes")))
+        total = sum(cells.values())
+        right = {
+            "accuracy_score": (hits + cells.get(("No", "No"), 0)) / total,
+            "f1_score": 2 * hits / (2 * hits + yes + no) if hits else 0.0,
+            "example_count": total,
+        }
+        out.append((f"{head}metrics counted otherwise", sum(abs(found[prefix + m] - v) > 1e-9 for m, v in right.items())))
+    return out
+
+
+def _evaluated(scored, prefix):
+    return classify.evaluate(scored, churn.LABEL, "prediction", "Yes", prefix, "probability")
 
 
-@query("train_gbt")
+@query("train_gbt", f"WITH {_LEARNT} " + _facts_sql("split = 'test'"))
 def train_gbt(spark, folder):
-    rows, model = _model(spark, folder)
-    scored = model.score(rows.filter("split = 'test'"))
-    return classify.evaluate(scored, churn.LABEL, "prediction", "Yes", "test_", "probability")
+    """250 rounds of trees eight levels deep."""
+    scored = _boosted(spark, folder).score(_split_rows(spark, folder)[2]).persist()
+    return _facts(spark, _scored_facts(scored, _evaluated(scored, "test_"), "test_"))
 
 
-@query("train_families")
+@query(
+    "train_families",
+    f"WITH {_LEARNT} " + " UNION ALL ".join(_facts_sql("split = 'test'", f"{f}: ") for f in train.FAMILIES),
+)
 def train_families(spark, folder):
-    rows, out = _training_rows(spark, folder), None
+    """A model of each family, at the first point that the search draws for it."""
+    _, rows, held = _split_rows(spark, folder)
+    out = []
     for family in train.FAMILIES:
-        scored = _fit(rows, family).score(rows.filter("split = 'test'"))
-        metrics = classify.evaluate(scored, churn.LABEL, "prediction", "Yes", "test_")
-        part = metrics.withColumn("family", F.lit(family))
-        out = part if out is None else out.unionByName(part)
-    return out
+        trial = next(t for t in train.draw_trials(64) if t["family"] == family)
+        model = train.fit_best(rows, prep.churn_spec(), churn.LABEL, *_CLASSES, trial)
+        scored = model.score(held).persist()
+        out += _scored_facts(scored, _evaluated(scored, "test_"), "test_", f"{family}: ")
+    return _facts(spark, out)
 
 
-@query("hpo_trials")
+@query(
+    "hpo_trials",
+    """SELECT 'trials' AS fact, '8' AS value UNION ALL SELECT 'complete', '8' UNION ALL SELECT 'scores outside 0 to 1', '0'
+       UNION ALL SELECT 'parameters out of range', '0' UNION ALL SELECT 'better than the best', '0'""",
+)
 def hpo_trials(spark, folder):
-    rows = _training_rows(spark, folder).filter("split = 'train'").drop("split")
-    trials = train.draw_trials(3, space=_SPACE)
-    return train.search(rows, prep.churn_spec(), [churn.KEY], churn.LABEL, "Yes", "No", trials).trials
+    found = _searched(spark, folder)
+    trials = found.trials.collect()
+    out_of_range = sum(
+        not limit.low <= t["params"][name] <= limit.high
+        for t in trials
+        for name, limit in train.SEARCH_SPACE[t["family"]].items()
+    )
+    best = next(t["value"] for t in trials if t["trial"] == found.best["trial"])
+    return _facts(
+        spark,
+        [
+            ("trials", len(trials)),
+            ("complete", sum(t["state"] == "COMPLETE" for t in trials)),
+            ("scores outside 0 to 1", sum(not 0 <= t["value"] <= 1 for t in trials)),
+            ("parameters out of range", out_of_range),
+            ("better than the best", sum(t["value"] > best for t in trials)),
+        ],
+    )
 
 
-@query("train_best")
+@query("train_best", f"WITH {_LEARNT} " + _facts_sql("split = 'train'", measured=False))
 def train_best(spark, folder):
-    rows = _training_rows(spark, folder).filter("split = 'train'").drop("split")
-    trials = train.draw_trials(2, seed=7, families=["LogisticRegression"])
-    found = train.search(rows, prep.churn_spec(), [churn.KEY], churn.LABEL, "Yes", "No", trials)
-    model = train.fit_best(rows, prep.churn_spec(), churn.LABEL, "Yes", "No", found.best)
-    return model.score(rows).select(churn.KEY, churn.LABEL, "probability", "prediction")
+    """The best trial fitted again on the whole training part."""
+    _, rows, _ = _split_rows(spark, folder)
+    model = train.fit_best(rows, prep.churn_spec(), churn.LABEL, *_CLASSES, _searched(spark, folder).best)
+    return _facts(spark, _scored_facts(model.score(rows).persist()))
 
 
-@query("training_job")
+@query(
+    "training_job",
+    f"WITH {_LEARNT} "
+    + " UNION ALL ".join(_facts_sql(f"split = '{s}'", f"{s}: ") for s in ("train", "test"))
+    + " UNION ALL SELECT 'trials', '8' UNION ALL SELECT 'metrics logged', '24'",
+)
 def training_job(spark, folder):
-    job = train.training_job(
-        _training_rows(spark, folder), prep.churn_spec(), [churn.KEY], churn.LABEL, "Yes", "No", trials=2, space=_SPACE
-    )
-    return registry.log_metrics(job.metrics, "run-1", "churn", "search", _AT)
+    rows, *parts = _split_rows(spark, folder)
+    job = train.training_job(rows, prep.churn_spec(), [churn.KEY], churn.LABEL, *_CLASSES)
+    out = []
+    for name, prefix, part in zip(("train", "test"), ("training_", "test_"), parts):
+        out += _scored_facts(job.model.score(part).persist(), job.metrics, prefix, f"{name}: ")
+    logged = registry.log_metrics(job.metrics, "run-1", "churn", "search", _AT).count()
+    return _facts(spark, [*out, ("trials", job.trials.count()), ("metrics logged", logged)])
 
 
-@query("topk_importance")
+@query(
+    "topk_importance",
+    """SELECT 'features' AS fact, '20' AS value UNION ALL SELECT 'below the next', '0'
+       UNION ALL SELECT 'negative', '0' UNION ALL SELECT 'total but 0 or 1', '0'""",
+)
 def topk_importance(spark, folder):
-    _, model = _model(spark, folder)
-    return train.top_importances(model.importances(spark), 20)
+    every = _boosted(spark, folder).importances(spark)
+    top = [r["importance"] for r in train.top_importances(every, 20).collect()]
+    total = every.agg(F.round(F.sum("importance"), 6)).first()[0]
+    below = sum(a < b for a, b in zip(top, top[1:]))
+    return _facts(spark, [("features", len(top)), ("below the next", below), ("negative", sum(v < 0 for v in top)), ("total but 0 or 1", int(total not in (0, 1)))])
 
 
-@query("score_batch")
+@query(
+    "score_batch",
+    f"""WITH l AS (SELECT customer_id FROM ({BRONZE_SQL}) WHERE customer_id IS NOT NULL) {_facts_sql(measured=False)}
+        UNION ALL SELECT 'price increases', CAST(count(*) AS VARCHAR) FROM l""",
+)
 def score_batch(spark, folder):
+    """Features looked up for the keys, the function applied, and all of it scored."""
     made = _tables(spark, folder)
-    model = _fit(_training_rows(spark, folder), "LogisticRegression")
-    keys = made.labels.select(churn.KEY, churn.TIME)
-    scored = score.score_batch(keys, churn.churn_lookups(made.features), model)
-    return scored.select(churn.KEY, churn.TIME, "avg_price_increase", "probability", "prediction")
+    trial = next(t for t in train.draw_trials(64) if t["family"] == "LogisticRegression")
+    model = train.fit_best(_split_rows(spark, folder)[1], prep.churn_spec(), churn.LABEL, *_CLASSES, trial)
+    scored = score.score_batch(made.labels.select(churn.KEY, churn.TIME), churn.churn_lookups(made.features), model).persist()
+    return _facts(spark, [*_scored_facts(scored), ("price increases", scored.filter("avg_price_increase IS NOT NULL").count())])
 
 
 @query(
