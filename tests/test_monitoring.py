@@ -8,7 +8,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
-from tidemark.functions.distances import upper_gamma
+from tidemark.functions import distances
 from tidemark.operators import classify, drift, profile
 from tidemark.operators.profile import Monitor
 from tidemark.plans import churn
@@ -49,11 +49,51 @@ def test_auc_against_pairs(spark):
     assert top["tpr"] == 1.0 and top["fpr"] == 1.0
 
 
+def upper_gamma(shape: float, x: float) -> float:
+    """Share of the Gamma(shape, 1) distribution above ``x``."""
+    if x <= 0:
+        return 1.0
+    scale = math.exp(shape * math.log(x) - x - math.lgamma(shape))
+    if x < shape + 1:  # power series of the lower part
+        term = total = 1.0 / shape
+        n = shape
+        while abs(term) > abs(total) * 1e-16:
+            n += 1
+            term *= x / n
+            total += term
+        return max(0.0, 1.0 - total * scale)
+    # continued fraction of the upper part, forward until it no longer changes
+    tiny, n = 1e-300, 0
+    b = x + 1 - shape
+    c, d = 1 / tiny, 1 / b
+    total = d
+    while True:
+        n += 1
+        step, b = n * (shape - n), b + 2
+        d = 1 / (step * d + b or tiny)
+        c = b + step / c or tiny
+        total *= c * d
+        if abs(c * d - 1) < 1e-15:
+            return min(1.0, scale * total)
+
+
 @pytest.mark.parametrize("x, k, p", [(3.841459, 1, 0.05), (18.307038, 10, 0.05), (2.0, 2, math.exp(-1.0)), (0.0, 3, 1.0)])
 def test_p_value(x, k, p):
     assert upper_gamma(k / 2, x / 2) == pytest.approx(p, abs=1e-6)
 
 
+def test_p_values_of_all_sizes(spark):
+    """Against the same tail by a power series and a continued fraction in Python."""
+    rows = [(float(x), float(k)) for k in (1, 2, 3, 4, 7, 10, 51, 100, 999, 20_000, 1_000_001) for x in
+            (0.0, 1e-9, 0.3, 1.0, 2.9, 3.1, k / 2, 0.97 * k, k + 1.9, k + 2.1, 1.03 * k + 3, 2 * k + 9, 3 * k + 700)]
+    rows += [(None, 3.0), (float("nan"), 3.0), (1.0, 0.0)]
+    df = spark.createDataFrame(rows, "x double, k double")
+    got = df.select("x", "k", distances.chi_squared_p_value(F.col("x"), F.col("k")).alias("p")).collect()
+    for r in got[:-3]:
+        assert r.p == pytest.approx(upper_gamma(r.k / 2, r.x / 2), rel=1e-7, abs=1e-12), (r.x, r.k)
+    assert [r.p for r in got[-3:]] == [None] * 3
+
+
 MONITOR = Monitor("ts", model_col="m", categorical=["c"], slices=["big"])
 
 

@@ -8,10 +8,8 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def total_variation() -> Column:
@@ -39,49 +37,50 @@ def chi_squared() -> Column:
     return spread * F.sum("a") * F.sum("b")
 
 
-def _tail_of_gamma():
-    """Functions made inside a function travel to the workers by value, so the workers need no copy of this package."""
-
-    def upper_gamma(shape: float, x: float) -> float:
-        """Share of the Gamma(shape, 1) distribution above ``x``."""
-        if x <= 0:
-            return 1.0
-        scale = math.exp(shape * math.log(x) - x - math.lgamma(shape))
-        if x < shape + 1:  # power series of the lower part
-            term = total = 1.0 / shape
-            n = shape
-            while abs(term) > abs(total) * 1e-16:
-                n += 1
-                term *= x / n
-                total += term
-            return max(0.0, 1.0 - total * scale)
-        # continued fraction of the upper part, forward until it no longer changes
-        tiny, n = 1e-300, 0
-        b = x + 1 - shape
-        c, d = 1 / tiny, 1 / b
-        total = d
-        while True:
-            n += 1
-            step, b = n * (shape - n), b + 2
-            d = 1 / (step * d + b or tiny)
-            c = b + step / c or tiny
-            total *= c * d
-            if abs(c * d - 1) < 1e-15:
-                return min(1.0, scale * total)
-
-    return upper_gamma
-
-
-upper_gamma = _tail_of_gamma()
+#: Rounds of the continued fraction of the error function, which is used from one and a half on only.
+_ROUNDS = 160
 
 
-def chi_squared_p_value(statistic: Column, degrees: Column) -> Column:
-    """Tail probability of the chi-squared distribution. Runs on finished aggregates, one row per test."""
-    tail = upper_gamma
+def _log_gamma(z: Column) -> Column:
+    """Logarithm of the gamma function of z > 0: Stirling's series, eight steps up where it is exact enough."""
+    up = z + 8
+    steps = F.log(z)
+    for k in range(1, 8):
+        steps = steps + F.log(z + k)
+    series = 1 / (12 * up) - 1 / (360 * F.pow(up, 3)) + 1 / (1260 * F.pow(up, 5)) - 1 / (1680 * F.pow(up, 7))
+    return (up - 0.5) * F.log(up) - up + math.log(2 * math.pi) / 2 + series - steps
+
+
+def _sum_of_products(count: Column, ratio) -> Column:
+    """1 + r(1) + r(1) r(2) + ... with this many ratios; all terms of one sign, so no digits are lost."""
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
 
-    @F.pandas_udf(T.DoubleType())
-    def p_value(s: pd.Series, k: pd.Series) -> pd.Series:
-        sound = s.notna() & (k >= 1)
-        return pd.Series([tail(b / 2, a / 2) if ok else None for a, b, ok in zip(s, k, sound)], dtype="float64")
+    def step(held: Column, m: Column) -> Column:
+        term = F.when(m > 0, held["term"] * ratio(m)).otherwise(held["term"])
+        return F.struct(term.alias("term"), (held["total"] + F.when(m > 0, term).otherwise(F.lit(0.0))).alias("total"))
 
-    return p_value(statistic, degrees)
+    places = F.sequence(F.lit(0).cast("long"), F.greatest(count, F.lit(0)).cast("long"))
+    return F.aggregate(places, start, step, lambda held: held["total"])
+
+
+def chi_squared_p_value(statistic: Column, degrees: Column) -> Column:
+    """Tail probability of the chi-squared distribution with a whole number of degrees.
+
+    With s half the degrees and x half the statistic: below s + 1 the convergent series of the
+    lower part; above, the recurrence over s of the upper part, which ends at exp(-x) or at the
+    complementary error function. Terms fall like exp(-n^2 / 2s), so some nine times the root
+    of s are enough, however many degrees there are.
+    """
+    s, x = degrees / 2, statistic / 2
+    enough = F.ceil(9 * F.sqrt(s) + 60)
+    whole = F.pmod(degrees, F.lit(2)) == 0
+    shared = F.exp(s * F.log(x) - x - _log_gamma(s + 1))  # x^s exp(-x) / gamma(s + 1)
+    lower = shared * _sum_of_products(enough, lambda m: x / (s + m))
+    steps = F.floor(s)
+    upper = F.when(steps > 0, shared * s / x * _sum_of_products(F.least(steps - 1, enough), lambda m: (s - m) / x)).otherwise(0.0)
+    root = F.sqrt(x)
+    nested = F.aggregate(F.sequence(F.lit(_ROUNDS), F.lit(1)), root, lambda held, n: root + n / 2 / held)
+    error = F.exp(-x) / (math.sqrt(math.pi) * nested)
+    tail = F.when(x < s + 1, 1 - lower).otherwise(upper + F.when(whole, F.lit(0.0)).otherwise(error))
+    sound = statistic.isNotNull() & ~F.isnan(statistic) & (degrees >= 1)
+    return F.when(sound, F.when(x <= 0, 1.0).otherwise(F.greatest(F.least(tail, F.lit(1.0)), F.lit(0.0))))

@@ -342,10 +342,25 @@ def drift_chi2(spark, folder):
     )
 
 
-@query("drift_pvalue")
+# The tail of the chi-squared distribution as one minus the series of its lower part.
+_TAIL = """CASE WHEN x <= 0 THEN 1 ELSE greatest(0, 1 - list_sum(list_transform(
+    range(0, CAST(greatest(x - s, 0) * 2 + 12 * sqrt(greatest(x, s)) + 80 AS BIGINT)),
+    lambda n: exp((s + n) * ln(x) - x - lgamma(s + n + 1))))) END"""
+
+
+@query(
+    "drift_pvalue",
+    f"""WITH {_GROUPS}, {_distribution_sql(_DIST_COLUMNS)}, {_consecutive_sql()},
+        r AS (SELECT {_KEYS}, column_name, {_DISTANCES}, count(*) - 1 AS degrees,
+                     sum((p - q) ** 2 / (a + b)) * sum(a) * sum(b) AS statistic FROM pairs GROUP BY {_KEYS}, column_name),
+        t AS (SELECT * EXCLUDE (statistic, degrees), statistic / 2 AS x, degrees / 2::DOUBLE AS s FROM r)
+        SELECT * EXCLUDE (x, s) REPLACE (round(chi_squared_statistic, 4) AS chi_squared_statistic), 'CONSECUTIVE' AS drift_type,
+               CASE WHEN s >= 0.5 THEN round({_TAIL}, 6) END AS chi_squared_pvalue FROM t""",
+)
 def drift_pvalue(spark, folder):
     shares = drift.distribution(inference_log(spark, folder), MONITOR)
-    return _flat(drift.consecutive_drift(shares, p_value=True), "chi_squared_pvalue", "chi_squared_statistic")
+    found = _flat(drift.consecutive_drift(shares, p_value=True), "chi_squared_pvalue", *_ROUND_DRIFT)
+    return found.withColumn("chi_squared_statistic", F.round("chi_squared_statistic", 4))
 
 
 _BASELINE = f"SELECT * FROM ({LOG_SQL}) WHERE inference_timestamp < TIMESTAMP '2024-01-08 00:00:00'"
