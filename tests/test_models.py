@@ -65,6 +65,52 @@ def test_remainder(spark):
     assert prep.fit(df, kept).transform(df).columns == ["n", "x_a", "other"]
 
 
+WIDE = PrepSpec(booleans=["b"], numbers=["n"], categories=["x", "y"])
+
+
+def wide_rows(spark):
+    rows = [("Yes", 1.0, "v1", None), ("No", None, None, "q"), (None, 4.0, "v0", "p"), ("Yes", 2.0, "v1", "p")]
+    return spark.createDataFrame(rows, "b string, n double, x string, y string")
+
+
+@pytest.mark.parametrize("spec", [WIDE, PrepSpec(**{**WIDE.__dict__, "category_strategy": "constant", "drop_first": False})])
+def test_a_wide_encoder_gives_the_same_numbers(spark, spec):
+    df = wide_rows(spark)
+    narrow, wide = prep.fit(df, spec), prep.fit_wide(df, spec)
+    new = df.unionByName(spark.createDataFrame([("?", 0.0, "unseen", "q")], df.schema))
+    want = [r["features"].toArray().tolist() for r in narrow.assemble(new).collect()]
+    got = [r["features"] for r in wide.assemble(new).collect()]
+    assert [v.toArray().tolist() for v in got] == want and wide.size() == len(want[0]) == len(narrow.feature_names())
+    again = prep.WidePrep.from_json(wide.to_json())
+    assert [r["features"] for r in again.assemble(new).collect()] == got
+    with pytest.raises(PySparkException, match="unknown category in"):
+        prep.fit_wide(df, PrepSpec(categories=["x"], handle_unknown="error")).assemble(new).collect()
+
+
+def test_a_million_values_stay_off_the_driver(spark, monkeypatch):
+    n, collected = 1_000_000, []
+    df = spark.range(n).selectExpr("id", "md5(cast(id AS string)) AS x", "cast(id % 3 AS string) AS y")
+    collect = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: (lambda rows: collected.append(len(rows)) or rows)(collect(self)))
+    wide = prep.fit_wide(df, PrepSpec(categories=["x", "y"]))
+    monkeypatch.undo()
+    assert wide.sizes == {"x": n, "y": 3} and max(collected) < 100
+    row = wide.with_vector(df.filter("id = 17")).first()["features"]
+    place = df.filter(F.col("x") < df.filter("id = 17").first()["x"]).count()
+    assert row.size == n + 3 and row.indices.tolist() == [place, n + 2] and row.values.tolist() == [1.0, 1.0]
+    places = wide.values(spark).filter("column_name = 'x'").agg(F.countDistinct("place"), F.min("place"), F.max("place")).first()
+    assert tuple(places) == (n, 0, n - 1)
+
+
+def test_a_model_on_a_wide_encoder(easy):
+    rows = easy.filter("split = 'train'")
+    fitted = prep.fit_wide(rows, SPEC)
+    model = train.fit_model(rows, SPEC, "y", "Yes", "No", "LogisticRegression", {"C": 1.0}, fitted=fitted)
+    scored = model.score(easy.filter("split = 'test'"))
+    assert scored.columns == [*easy.columns, "probability", "prediction"]
+    assert scored.filter("prediction = y").count() / scored.count() > 0.85
+
+
 @pytest.fixture(scope="module")
 def easy(spark):
     rng = random.Random(1)

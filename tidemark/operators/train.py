@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import classify, prep, splits
-from tidemark.operators.prep import FittedPrep, PrepSpec
+from tidemark.operators.prep import FittedPrep, PrepSpec, WidePrep
 
 FAMILIES = ("LogisticRegression", "RandomForest", "GradientBoosting")
 
@@ -95,7 +95,7 @@ def classifier(family: str, params: Mapping[str, float], rows: int, seed: int =
 class TrainedModel:
     """Preprocessing and classifier together: rows in, ``probability`` and text ``prediction`` out."""
 
-    prep: FittedPrep
+    prep: FittedPrep | WidePrep
     model: PipelineModel
     classes: tuple[str, str]
 
@@ -106,11 +106,7 @@ class TrainedModel:
         taken = {"features", "rawPrediction", "_prob", "_pred"} & set(df.columns)
         if taken:
             raise ValueError(f"reserved columns in the input: {sorted(taken)}")
-        vectors = df.select("*", *[c.alias(f"_x{i}") for i, c in enumerate(self.prep.columns())])
-        assembler = prep.VectorAssembler(
-            inputCols=[f"_x{i}" for i in range(len(self.prep.feature_names()))], outputCol="features"
-        )
-        scored = self.model.transform(assembler.transform(vectors))
+        scored = self.model.transform(self.prep.with_vector(df))
         negative, positive = self.classes
         return scored.select(
             *df.columns,
@@ -121,6 +117,8 @@ class TrainedModel:
     def importances(self, spark) -> DataFrame:
         """Feature name and importance, for tree models."""
         last = self.model
+        if isinstance(self.prep, WidePrep):
+            raise ValueError("a wide encoder has no list of names; its values are a table")
         names = self.prep.feature_names()
         if not hasattr(last, "featureImportances"):
             return spark.createDataFrame([], "feature string, importance double")
@@ -134,7 +132,7 @@ def top_importances(importances: DataFrame, k: int = 20) -> DataFrame:
     return importances.orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def prepare(df: DataFrame, fitted: FittedPrep, label: str, positive: str, weighted: bool = True) -> DataFrame:
+def prepare(df: DataFrame, fitted: FittedPrep | WidePrep, label: str, positive: str, weighted: bool = True) -> DataFrame:
     """Vector, 0/1 label and class weight; balanced weights unless ``weighted`` is off."""
     rows = df.filter(F.col(label).isNotNull())
     index = F.when(F.col(label) == positive, 1.0).otherwise(0.0)
@@ -153,7 +151,7 @@ def fit_model(
     family: str,
     params: Mapping[str, float],
     seed: int = 2025,
-    fitted: FittedPrep | None = None,
+    fitted: FittedPrep | WidePrep | None = None,
 ) -> TrainedModel:
     """Fit preprocessing (unless given) and one classifier with balanced class weights."""
     fitted = fitted or prep.fit(train, spec)

@@ -100,6 +100,18 @@ def prep_all(spark, folder):
     return _encode(spark, folder, spec)
 
 
+@query(
+    "prep_wide",
+    """SELECT c_custkey, dense_rank() OVER (ORDER BY c_name) - 1 AS c_name_index,
+              dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS c_mktsegment_index FROM customer""",
+)
+def prep_wide(spark, folder):
+    """A column with a value for each row beside one of a few values, both placed by a table of values."""
+    rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    fitted = prep.fit_wide(rows, prep.PrepSpec(categories=["c_name", "c_mktsegment"]))
+    return fitted.indexed(rows).drop("c_name", "c_mktsegment")
+
+
 # --- training ---------------------------------------------------------------
 
 _AT = dt.datetime(2024, 2, 1)
