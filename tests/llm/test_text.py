@@ -1,8 +1,13 @@
 """HTML extraction and I-Match fingerprints."""
 
 import hashlib
+import math
+import random
+from collections import Counter
 
 import pytest
+import regex
+import xxhash
 
 from tidemark.llm import html_text, imatch
 
@@ -113,3 +118,89 @@ def test_odd_documents(odd_docs, no_docs):
 def test_single_document(spark):
     row = imatch.edited_fingerprints(spark.createDataFrame([(1, "abcdefgh")], "doc_id long, text string")).collect()[0]
     assert row.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and row.near_next == 1.0
+
+
+# ---- I-Match by hand
+
+
+def signed(n):
+    return n - (1 << 64) if n >> 63 else n
+
+
+def spark_hash(*values):
+    """Spark's xxhash64 of strings, longs and (as 4 bytes) the seed of the subsets, each with the hash before as its seed."""
+    h = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v.to_bytes(4 if v == imatch.SEED else 8, "little", signed=True)
+        h = xxhash.xxh64_intdigest(data, h)
+    return signed(h)
+
+
+def hand_terms(text):
+    return {w for w in regex.split("[^\\p{L}\\p{N}]+", text.lower()) if w}
+
+
+def hand_print(text, lexicon):
+    """(level, low, high) of a text, or its hash."""
+    terms = {spark_hash(w) for w in hand_terms(text)}
+    terms = sorted(terms & lexicon or terms)
+    if not terms:
+        return spark_hash(text)
+    level = max(0, math.floor(math.log2(len(terms) / imatch.PER_SUBSET)))
+
+    def subsets(k):
+        out = []
+        for i in range(imatch.SUBSETS):
+            own = [t for t in terms if (spark_hash(t, imatch.SEED) >> 20) & ((1 << k) - 1) == i]
+            out.append(spark_hash(*[v for t in own for v in (i, t)]) & 0xFFFF if own else -1)  # numbers of subsets go along
+        return out
+
+    return level, subsets(level), subsets(level + 1)
+
+
+def hand_likeness(a, b, equal):
+    if equal:
+        return 1.0
+    if isinstance(a, int) or isinstance(b, int) or abs(a[0] - b[0]) > 1:
+        return 0.0
+    level = max(a[0], b[0])
+    pairs = [(x, y) for x, y in zip(*(p[1] if p[0] == level else p[2] for p in (a, b))) if x >= 0 or y >= 0]
+    return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+
+
+def hand_shown(p):
+    if isinstance(p, int):
+        return "x" + f"{p & (1 << 64) - 1:x}"
+    return "/".join([str(p[0]), *["".join("----" if h < 0 else f"{h:04x}" for h in part) for part in p[1:]]])
+
+
+def test_fingerprints_by_hand(spark):
+    rng = random.Random(9)
+    vocabulary = [f"wort{k}é" for k in range(60)] + [f"rare{k}" for k in range(400)]
+    texts = [" ".join(rng.choice(vocabulary[: rng.choice([20, 60, 460])]) for _ in range(rng.randrange(60))) for _ in range(70)]
+    texts += [texts[3]] * 60 + ["", "?!", "only these words here"]  # one text nearly half of the rows
+    rows = list(enumerate(texts)) + [(5, texts[5])] * 40  # and one row again and again
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    distinct = set(texts)
+    counts = Counter(w for t in distinct for w in hand_terms(t))
+    low, high = len(distinct) * imatch.LEAST_SHARE, max(1.0, len(distinct) * imatch.MOST_SHARE)
+    lexicon = {spark_hash(w) for w, n in counts.items() if low <= n <= high}
+    want, edited = {}, edited_by_hand(list(enumerate(texts)))
+    for i, text in enumerate(texts):
+        after = texts[(i + 1) % len(texts)]
+        own, new, following = (hand_print(t, lexicon) for t in (text, edited[i], after))
+        want[i] = (hand_shown(own), hand_shown(new), hand_likeness(own, new, text == edited[i]), hand_likeness(own, following, text == after))
+    got = imatch.edited_fingerprints(df).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) == want[r.doc_id], r.doc_id
+
+
+def test_repeated_rows_leave_fingerprints_as_they_are(spark):
+    texts = [topic(i) for i in range(40)]
+    once = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    twice = once.unionByName(once).unionByName(spark.createDataFrame([(1000 + i, texts[0]) for i in range(60)], once.schema))
+    prints = [{r.doc_id: r.fingerprint for r in imatch.edited_fingerprints(df).collect()} for df in (once, twice)]
+    assert all(prints[1][i] == prints[0][i] for i in prints[0]) and prints[1][1000] == prints[0][0]
+    copies = [r for r in imatch.edited_fingerprints(twice).collect() if r.doc_id >= 1000]
+    assert all(r.near_edited > 0.2 for r in copies)  # nor do copies lose the likeness to their edited texts

@@ -6,6 +6,9 @@ that about ``PER_SUBSET`` of a text's terms fall into each. A text's fingerprint
 the first ``SUBSETS`` of them, a hash of its sorted distinct terms in that subset, for its
 own k and for k+1. Fingerprints of texts of similar size share a k; their likeness is the
 share of subsets with equal hashes.
+
+Frequencies count distinct texts, so copies of one text don't push its terms out of the band.
+A text without a term of the lexicon is fingerprinted by all its terms.
 """
 
 from __future__ import annotations
@@ -30,8 +33,25 @@ def _terms(text: Column) -> Column:
     return F.split(F.lower(text), _NOT_TERM)
 
 
-def lexicon(texts: DataFrame, documents: int) -> DataFrame:
-    """Hashes (column ``term``) of the terms in the band, from all rows of column ``text``, stored."""
+def _once(keyed: DataFrame) -> tuple[DataFrame, int]:
+    """One row of each distinct text (columns i, h, text), and their number.
+
+    Only the narrow keys are shuffled to find the first document of each text; rows of the
+    others are left out by an anti join, and a first one that has several rows is brought back once.
+    """
+    docs = keyed.groupBy("i", "h").agg(F.count(F.lit(1)).alias("rows"))
+    first = docs.groupBy("h").agg(F.min("i").alias("first"))
+    spare = docs.join(first, "h").filter((F.col("i") != F.col("first")) | (F.col("rows") > 1))
+    spare = written(spare.select("i", "h", (F.col("i") == F.col("first")).alias("own")), "spare")
+    documents = first.count()
+    texts = keyed.select("i", "h", "text")
+    again = texts.join(spare.filter("own").select("i", "h"), ["i", "h"], "left_semi").dropDuplicates(["i", "h"])
+    return texts.join(spare.select("i", "h"), ["i", "h"], "left_anti").unionByName(again), documents
+
+
+def lexicon(keyed: DataFrame) -> DataFrame:
+    """Hashes (column ``term``) of the terms in the band, from all distinct texts of (i, h, text), stored."""
+    texts, documents = _once(keyed)
     terms = texts.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("word")).filter("word != ''")
     counts = terms.select(F.xxhash64("word").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     band = F.col("n").between(documents * LEAST_SHARE, max(1.0, documents * MOST_SHARE))
@@ -58,12 +78,17 @@ def _subset_hashes(terms: Column, level: Column) -> Column:
 def fingerprints(texts: DataFrame, keys: list[str], terms: DataFrame) -> DataFrame:
     """The keys, ``level`` and ``low`` and ``high`` (subset hashes at the level and one above).
 
-    ``texts`` has the keys and ``text``; a text without a term of the lexicon gives no row. If it is
-    partitioned by the keys already, nothing is shuffled. A list is gathered per text, no longer than the text.
+    ``texts`` has the keys and ``text``; a text without any term gives no row. If it is partitioned
+    by the keys already, nothing is shuffled. Lists are gathered per text, no longer than the text.
     """
-    words = texts.select(*keys, F.explode(_terms(F.col("text"))).alias("word"))
-    found = words.select(*keys, F.xxhash64("word").alias("term")).join(F.broadcast(terms), "term")
-    sets = found.groupBy(*keys).agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    words = texts.select(*keys, F.explode(_terms(F.col("text"))).alias("word")).filter("word != ''")
+    known = F.broadcast(terms.withColumn("known", F.lit(True)))
+    found = words.select(*keys, F.xxhash64("word").alias("term")).join(known, "term", "left")
+    sets = found.groupBy(*keys).agg(
+        F.collect_set(F.when(F.col("known"), F.col("term"))).alias("band"), F.collect_set("term").alias("every")
+    )
+    own = F.when(F.size("band") > 0, F.col("band")).otherwise(F.col("every"))
+    sets = sets.select(*keys, F.sort_array(own).alias("terms"))
     level = F.greatest(F.lit(0), F.floor(F.log2(F.size("terms") / PER_SUBSET))).cast("int")
     sets = sets.withColumn("level", level)
     return sets.select(
@@ -140,7 +165,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     source = identified(docs, id_col, text_col)
     keyed = source.select("id", "text", F.xxhash64("id").alias("i"), F.xxhash64("text").alias("h"))
     order = _order(keyed)
-    terms = lexicon(source, order.count())
+    terms = lexicon(keyed)
 
     texts = keyed.select("i", "h", "text").dropDuplicates(["i", "h"])
     quarter = F.floor(F.col("n") / 4).cast("int")
