@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -45,12 +46,72 @@ def test_main_text():
         ("<div hidden>no</div><div><p>yes, this is it</p></div>", "yes, this is it"),
         ("<div>" * 5000 + "deep" + "</div>" * 5000, "deep"),
         ("<" * 2000, "<" * 2000),
+        ("<article><p>a &<b>lt;</b> b &am<i>p;</i></p></article>", "a &lt; b &amp;"),
+        ("<p>&lt;p&gt; is &amp;lt; here</p>", "<p> is &lt; here"),
     ],
 )
 def test_odd_pages(source, text):
     assert html_text.main_text(source) == text
 
 
+@pytest.mark.parametrize("name", ["related-work", "search-strategy", "share-price", "alert_levels", "hidden-costs"])
+@pytest.mark.parametrize("tag", ["p", "h2", "blockquote"])
+def test_marks_on_paragraphs_of_an_article(name, tag):
+    text = "A paragraph of the article, about work that is related to it."
+    page = f"<body><article><p>First of all, some words.</p><{tag} class='big {name}'>{text}</{tag}><p>Last words.</p></article></body>"
+    assert text in html_text.main_text(page)
+    for whole in ("ad", "x advertisement", "newsletter"):
+        assert text not in html_text.main_text(page.replace(f"big {name}", whole))
+    outside = f"<body><article><p>{text}</p></article><div class='{name}'><p>More of that elsewhere on the site.</p></div></body>"
+    assert html_text.main_text(outside) == text
+    box = f"<body><article><p>{text}</p><div class='{name}'><p>In a box beside it.</p></div></article></body>"
+    assert html_text.main_text(box) == text
+
+
+def brute_density(node, page):
+    """Characters, tags, link characters, link tags and density of a node and all below, by recursion over the definition."""
+    kids = [c for c in node.children if not isinstance(c, str) and not c.skip]
+    below = [brute_density(k, page) for k in kids]
+    chars = sum(len(re.sub(r"\s", "", c)) for c in node.children if isinstance(c, str)) + sum(b[0] for b in below)
+    tags = sum(b[1] + (k.tag not in html_text.INLINE) for b, k in zip(below, kids))
+    links = (chars, tags + 1) if node.tag == "a" else (sum(b[2] for b in below), sum(b[3] for b in below))
+    density = 0.0
+    if chars:
+        share = page[0] / max(1, page[1])
+        base = math.log(chars / max(1, chars - links[0]) * max(1, links[0]) + share * chars + math.e)
+        ratio = max(1.0, chars / max(1, links[0]) * max(1, tags) / max(1, links[1]))
+        density = chars / max(1, tags) * math.log(ratio + 1) / math.log(base + 1)
+    assert (node.chars, node.tags, node.link_chars, node.link_tags) == (chars, tags, *links)
+    assert node.density == pytest.approx(density)
+    own = sum(len(re.sub(r"\s", "", c)) for c in node.children if isinstance(c, str))
+    assert node.total == pytest.approx(sum(b[4] for b in below) + (own / chars * max(1, tags) * density if own else 0))
+    return chars, tags, *links, density
+
+
+def test_densities_by_recursion():
+    rng = random.Random(3)
+
+    def some(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return " ".join("w" * rng.randrange(1, 9) for _ in range(rng.randrange(6))) + " &amp; "
+        tag = rng.choice(["div", "div", "p", "a", "b", "section", "nav"])
+        return f"<{tag}>" + "".join(some(depth - 1) for _ in range(rng.randrange(5))) + f"</{tag}>"
+
+    for _ in range(200):
+        root = html_text.parse("<body>" + "".join(some(5) for _ in range(4)) + "</body>")
+        html_text.measure(root)
+        brute_density(root, (root.link_chars, root.chars))
+        nodes = [n for n in html_text._order(root) if n.chars]
+        chosen = html_text.main_nodes(root)
+        body = next((n for n in html_text._order(root) if n.tag == "body"), root)
+        best = max((n.total for n in html_text._order(body)), default=0.0)
+        assert not nodes or any(n.total == best or _above(n, best) for n in chosen)
+
+
+def _above(node, best):
+    return any(n.total == best for n in html_text._order(node))
+
+
 def test_long_page_is_whole():
     paragraphs = [f"Paragraph {i} with some words, and more." for i in range(20_000)]
     source = "<body><nav>x</nav><article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article></body>"

@@ -37,6 +37,8 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table "
     "tbody td tfoot th thead title tr ul".split()
 )
+#: Elements that hold a paragraph of an article.
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt figcaption td th".split())
 #: An open element that a new one of these ends, and the elements that shield it.
 ENDED_BY = {
     "p": BLOCKS - {"caption", "dd", "dt", "li", "option", "tbody", "td", "tfoot", "th", "thead", "tr", "legend", "body"},
@@ -77,13 +79,15 @@ class Node:
         self.children: list[Node | str] = []
 
 
-def _marked(attributes: str) -> bool:
+def _marked(attributes: str, paragraph: bool) -> bool:
+    """Whether class, id or role hold a mark. A paragraph of an article needs one that is a name of its own: its
+    ``related-work`` or ``search-results`` are about the text, not around it."""
     if not attributes.strip():
         return False
     if _HIDDEN.search(attributes):
         return True
     names = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)).lower()
-    return not MARKS.isdisjoint(_WORDS.findall(names))
+    return not MARKS.isdisjoint(names.split() if paragraph else _WORDS.findall(names))
 
 
 def parse(source: str) -> Node:
@@ -93,8 +97,8 @@ def parse(source: str) -> Node:
     while True:
         token = _TOKEN.search(source, at)
         text = source[at : token.start()] if token else source[at:]
-        if text:
-            here.children.append(text)
+        if text:  # references are decoded piece by piece, so what markup parts doesn't make one
+            here.children.append(html.unescape(text))
         if token is None:
             return root
         at = token.end()
@@ -117,7 +121,8 @@ def parse(source: str) -> Node:
                 if node is not None and node.tag == open_tag and node.parent is not None:
                     here = node.parent
         inside_article = _has_ancestor(here, ("article", "main"))
-        skip = tag in LEFT_OUT or (tag == "header" and not inside_article) or _marked(token[3])
+        skip = tag in LEFT_OUT or (tag == "header" and not inside_article)
+        skip = skip or _marked(token[3], inside_article and tag in PARAGRAPHS)
         # A mark on the page's own frame would leave nothing.
         node = Node(tag, here, skip and tag not in ("html", "body", "article", "main"))
         here.children.append(node)
@@ -220,7 +225,7 @@ def _blocks(chosen: list[Node], root: Node) -> list[str]:
     blocks, current = [], []
 
     def close() -> None:
-        text = " ".join(html.unescape("".join(current)).split())
+        text = " ".join("".join(current).split())
         if text:
             blocks.append(text)
         current.clear()
