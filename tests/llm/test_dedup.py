@@ -257,6 +257,27 @@ def test_substring_dedup(spark):
         assert sum(passage in r["text"] for r in got.values()) <= 1
 
 
+def test_passages_that_begin_and_end_inside_sentences(spark):
+    """Passages of some 55 words in sentences of 11, whose first and last sentence run into what is around them."""
+    rng = random.Random(21)
+
+    def line(n):
+        return " ".join(f"u{rng.randrange(10**6)}" for _ in range(n))
+
+    rows, passages = [], []
+    for k in range(30):
+        passage = ". ".join(line(11) for _ in range(5)) if k % 2 else ", ".join(line(8) for _ in range(7))
+        passages.append(passage)
+        for side in range(2):
+            rows.append((2 * k + side, f"{line(40)}. {line(3 + 4 * side)} {passage} {line(5 - side)}. {line(30)}."))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in substring.drop_repeats(df).collect()}
+    for k, passage in enumerate(passages):
+        assert passage in left[2 * k] == rows[2 * k][1]  # the first occurrence stays
+        words, rest = passage.replace(",", "").replace(".", "").split(), left[2 * k + 1]
+        assert sum(w in rest for w in words) <= 25 and rest.startswith(rows[2 * k + 1][1][:100])
+
+
 def test_substring_of_odd_documents(odd_docs, no_docs):
     left = substring.drop_repeats(odd_docs)
     assert left.columns == odd_docs.columns

@@ -2,7 +2,8 @@
 
 Every run of consecutive sentences that is long enough is hashed, and the runs of all
 documents meet by hash. The first occurrence of a run stays; sentences that any later
-occurrence covers are removed.
+occurrence covers are removed. An overlong sentence counts as several, cut at its clause
+marks: where a passage begins or ends inside a sentence, its inner clauses still make runs.
 """
 
 from __future__ import annotations
@@ -21,27 +22,37 @@ from tidemark.llm.common import column, unused, written
 
 #: White space after a sentence's end, or a line break.
 _BETWEEN = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
+#: White space after a clause mark, and blanks from which on a sentence is cut there.
+_CLAUSE, LONG_SENTENCE = re.compile(r"(?<=[,;:])\s+"), 30
 
 
 @dataclass(frozen=True)
 class Span:
     """A run is the shortest one from (or up to) a sentence with at least ``sentences`` and ``words``, or with ``many`` words."""
 
-    sentences: int = 3
-    words: int = 20
+    sentences: int = 2
+    words: int = 15
     many: int = 40
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Start and end of each sentence, without the white space around it."""
+    """Start and end of each sentence, or clause of an overlong one, without the white space around it."""
     out, start = [], len(text) - len(text.lstrip())
+
+    def add(start: int, end: int) -> None:
+        if text.count(" ", start, end) >= LONG_SENTENCE:
+            for gap in _CLAUSE.finditer(text, start, end):
+                out.append((start, gap.start()))
+                start = gap.end()
+        out.append((start, end))
+
     for gap in _BETWEEN.finditer(text):
         if gap.start() > start:
-            out.append((start, gap.start()))
+            add(start, gap.start())
         start = max(start, gap.end())
     end = len(text.rstrip())
     if end > start:
-        out.append((start, end))
+        add(start, end)
     return out
 
 
