@@ -104,3 +104,39 @@ def test_feature_and_label_schemas_hold_after_the_job(customers):
 def test_primary_key_report(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (None, 2)], "a int, b int")
     assert [r["violations"] for r in quality.primary_key_report(df, ["a", "b"]).collect()] == [1, 0, 1]
+
+
+RULES = [
+    quality.Expectation("known", "v IS NOT NULL", "drop"),
+    quality.Expectation("small", "v < 7"),
+    quality.Expectation("even", "v % 2 = 0", "drop"),
+]
+
+
+def test_kept_rows_and_counts_in_one_pass(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(20).selectExpr("CASE WHEN id % 5 = 0 THEN NULL ELSE id END AS v").repartition(3).write.parquet(source)
+    df = spark.read.parquet(source)
+    metrics = quality.write_expected(df, RULES, lambda rows: rows.write.parquet(out))
+    assert metrics.collect() == quality.expectation_metrics(df, RULES).collect()
+    kept = spark.read.parquet(out)
+    assert kept.exceptAll(quality.keep_valid(df, RULES)).isEmpty() and kept.count() == quality.keep_valid(df, RULES).count()
+    plan = quality.observed(df, RULES, "rules")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan
+
+
+def test_counts_of_a_stream(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(20).selectExpr("id AS v").write.parquet(source)
+    stream = quality.observed(spark.readStream.schema("v long").parquet(source), RULES, "rules")
+    query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp"))
+    query = query.trigger(availableNow=True).start()
+    query.awaitTermination()
+    seen = [p["observedMetrics"]["rules"] for p in query.recentProgress if "rules" in p["observedMetrics"]]
+    assert sum(s["_n"] for s in seen) == 20 and sum(s["_v1"] for s in seen) == 13 and spark.read.parquet(out).count() == 10
+
+
+def test_a_fail_rule_still_stops_an_observed_write(spark, tmp_path):
+    rules = [*RULES, quality.Expectation("never", "v < 3", "fail")]
+    with pytest.raises(PySparkException, match="expectation failed: never"):
+        quality.write_expected(spark.range(9).withColumnRenamed("id", "v"), rules, lambda rows: rows.write.parquet(str(tmp_path / "o")))

@@ -6,11 +6,11 @@ single aggregate over the table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_SCHEMA = "name string, passed boolean, violations long, message string"
@@ -50,12 +50,15 @@ def keep_valid(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     return out
 
 
+def _counts(expectations: Sequence[Expectation]) -> list[Column]:
+    """All rows, and the violations of each rule."""
+    failed = [F.count_if(violated(rule.expr)).alias(f"_v{i}") for i, rule in enumerate(expectations)]
+    return [F.count(F.lit(1)).alias("_n"), *failed]
+
+
 def expectation_metrics(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     """One row per rule: name, action, passed and failed records, from one pass over ``df``."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(violated(rule.expr)).alias(f"_v{i}") for i, rule in enumerate(expectations)],
-    )
+    counted = df.agg(*_counts(expectations))
     rows = [
         F.struct(
             F.lit(rule.name).alias("name"),
@@ -68,6 +71,33 @@ def expectation_metrics(df: DataFrame, expectations: Sequence[Expectation]) -> D
     return counted.select(F.inline(F.array(*rows)))
 
 
+METRICS_SCHEMA = "name string, action string, passed_records long, failed_records long"
+
+
+def observed(df: DataFrame, expectations: Sequence[Expectation], observation: Observation | str) -> DataFrame:
+    """The kept rows, counted as they pass: whatever reads them also counts all incoming rows and every rule's violations.
+
+    With an ``Observation`` its ``get`` has the counts after the action; with a name they stand
+    in the progress of a stream. The optimizer may not move filters below the counts.
+    """
+    return keep_valid(df.observe(observation, *_counts(expectations)), expectations)
+
+
+def observed_metrics(spark: SparkSession, found: Mapping[str, int], expectations: Sequence[Expectation]) -> DataFrame:
+    """The rows of ``expectation_metrics`` from observed counts."""
+    rows = [(r.name, r.action, found["_n"] - found[f"_v{i}"], found[f"_v{i}"]) for i, r in enumerate(expectations)]
+    return spark.createDataFrame(rows, METRICS_SCHEMA)
+
+
+def write_expected(
+    df: DataFrame, expectations: Sequence[Expectation], write: Callable[[DataFrame], None]
+) -> DataFrame:
+    """Write the kept rows by ``write`` and return the metrics, in one pass over ``df``."""
+    seen = Observation()
+    write(observed(df, expectations, seen))
+    return observed_metrics(df.sparkSession, seen.get, expectations)
+
+
 def expect(df: DataFrame, expectations: Sequence[Expectation]) -> tuple[DataFrame, DataFrame]:
     """(kept rows, metrics over all incoming rows)."""
     return keep_valid(df, expectations), expectation_metrics(df, expectations)

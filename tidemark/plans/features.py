@@ -10,6 +10,7 @@ from tidemark.functions import columns
 from tidemark.operators import quality, splits
 from tidemark.plans import churn
 from tidemark.plans.binding import BRONZE_SQL, LOG_SQL, bronze, inference_log, query, sql_bucket, table
+from tidemark.session import scratch_path
 from tidemark.sources import tables
 
 SNAPSHOT = "2024-02-01 00:00:00"
@@ -182,7 +183,17 @@ _VALIDATED = f"SELECT * FROM ({BRONZE_SQL}) WHERE customer_id IS NOT NULL"
 
 @query("bronze_validated", _metrics_sql(churn.BRONZE_EXPECTATIONS, BRONZE_SQL))
 def bronze_validated(spark, folder):
-    return churn.bronze_validated(bronze(spark, folder))[1]
+    """The rules' counts, taken while the kept rows are written."""
+    path = scratch_path(spark, "validated")
+    return quality.write_expected(bronze(spark, folder), churn.BRONZE_EXPECTATIONS, lambda rows: rows.write.parquet(path))
+
+
+@query("bronze_kept", _VALIDATED)
+def bronze_kept(spark, folder):
+    """The rows that the same pass wrote."""
+    path = scratch_path(spark, "validated")
+    quality.write_expected(bronze(spark, folder), churn.BRONZE_EXPECTATIONS, lambda rows: rows.write.parquet(path))
+    return spark.read.parquet(path)
 
 
 @query("silver_features", f"SELECT * EXCLUDE (churn) FROM ({_FEATURES}) WHERE customer_id IS NOT NULL")
