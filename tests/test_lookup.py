@@ -11,7 +11,7 @@ from tidemark.operators import lookup, skew
 from tidemark.operators.lookup import FeatureLookup
 from tidemark.operators.skew import SkewPolicy
 
-FORCED = SkewPolicy(share=0.05, min_rows=20, pieces=24)
+FORCED = SkewPolicy(rows=25)
 OFF = SkewPolicy(enabled=False)
 
 
@@ -77,9 +77,10 @@ def test_hot_key_is_cut_and_its_heavy_instant_is_salted(spark):
     marks = spark.createDataFrame(labels, "id int, k int, ts timestamp").select(
         skew.key_hash(["k"]).alias("_key"), F.unix_micros("ts").alias("_ord")
     )
-    hot, total = skew.hot_keys(marks, FORCED)
-    pieces = skew.cut_pieces(marks, hot, total, FORCED)
-    assert total == 600 and len(pieces) <= FORCED.pieces + 2 * len(hot) * 2
+    hot = skew.hot_keys(marks, FORCED)
+    assert hot and all(n > FORCED.rows for n in hot.values())
+    pieces = skew.cut_pieces(marks, hot, FORCED)
+    assert len(pieces) <= 600 / FORCED.rows + 4 * len(hot)
     assert any(p.salts > 1 for p in pieces)
     for key in hot:
         starts = [p.start for p in pieces if p.key == key]
@@ -138,3 +139,26 @@ def test_training_set(spark):
     assert out.columns == ["k", "y", "monthly", "tenure", "total", "increase"]
     assert sorted(map(tuple, out.collect()))[0] == ("a", "Yes", 50.0, 10.0, 400.0, 10.0)
     assert out.count() == 2 and lookup.training_set(labels, specs, "y", exclude_null_labels=False).count() == 3
+
+
+def test_a_key_far_below_a_thousandth_of_the_rows_is_spread(spark):
+    """What is hot is a number of rows, so it doesn't grow with the data."""
+    rows = spark.range(60_000).selectExpr("CASE WHEN id < 40 THEN -1 ELSE id END AS k", "timestamp_seconds(id) AS ts", "id AS v")
+    marks = rows.select(skew.key_hash(["k"]).alias("_key"), F.unix_micros("ts").alias("_ord"))
+    policy = SkewPolicy(rows=10)
+    hot = skew.hot_keys(marks, policy)
+    assert list(hot.values()) == [40] and 4 <= len(skew.cut_pieces(marks, hot, policy)) <= 5
+    labels = spark.createDataFrame([(-1, i) for i in range(0, 60, 3)], "k long, s long").selectExpr("k", "timestamp_seconds(s) AS ts")
+    out = lookup.asof_join(labels, FeatureLookup(rows, ["k"], ["v"], time_key="ts"), policy).selectExpr("unix_seconds(ts) s", "v")
+    assert {r["s"]: r["v"] for r in out.collect()} == {s: min(s, 39) for s in range(0, 60, 3)}
+
+
+def test_rows_per_key_are_counted_on_the_labels_alone(spark, monkeypatch):
+    """Later lookups don't run the earlier ones again to count rows."""
+    left = spark.createDataFrame([(i, i % 3, i % 5) for i in range(30)], "id int, a int, b int")
+    one, two = (spark.createDataFrame([(i, i * 10) for i in range(5)], f"{c} int, v{c} int") for c in "ab")
+    plans, count = [], skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda rows, policy: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or count(rows, policy))
+    out = lookup.apply_lookups(left, [FeatureLookup(one, ["a"]), FeatureLookup(two, ["b"])])
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    assert {r["id"]: (r["va"], r["vb"]) for r in out.collect()} == {i: (i % 3 * 10, i % 5 * 10) for i in range(30)}

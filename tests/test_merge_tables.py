@@ -13,7 +13,7 @@ from tidemark.sources import readers, synthetic, tables
 from tidemark.sources.readers import Source
 from tidemark.sources.tables import FeatureStore
 
-SALTED = SkewPolicy(share=0.1, min_rows=2, pieces=8)
+SALTED = SkewPolicy(rows=3)
 
 
 def rows(df):

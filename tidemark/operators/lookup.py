@@ -52,13 +52,14 @@ class FeatureLookup:
 
 
 def key_lookup(
-    left: DataFrame, lookup: FeatureLookup, check_unique: bool = True, policy: SkewPolicy = SkewPolicy()
+    left: DataFrame, lookup: FeatureLookup, check_unique: bool = True, policy: SkewPolicy = SkewPolicy(),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join on the full key.
 
     A key that occurs twice on the feature side would multiply rows, so it raises when
     such rows are read. The check groups by the join key: it shares the join's shuffle and
-    pre-aggregates before it. Hot keys on the left are spread.
+    pre-aggregates before it. Hot keys on the left are spread; ``counted`` as in ``skew.left_join``.
     """
     table = lookup.frame(left.sparkSession)
     columns, names, keys = lookup.output_columns(table), lookup.output_names(table), list(lookup.keys)
@@ -72,12 +73,13 @@ def key_lookup(
     )
     text = F.concat(F.lit("lookup key is not unique: "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys]))
     one = F.when(F.col("_n") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
-    joined = skew.left_join(left, grouped.filter(one).drop("_n"), keys, policy)
+    joined = skew.left_join(left, grouped.filter(one).drop("_n"), keys, policy, counted)
     return joined.select(*[F.col(c) for c in left.columns], *[F.col(f"_f.`{n}`").alias(n) for n in names])
 
 
 def asof_join(
-    left: DataFrame, lookups: Sequence[FeatureLookup] | FeatureLookup, policy: SkewPolicy = SkewPolicy()
+    left: DataFrame, lookups: Sequence[FeatureLookup] | FeatureLookup, policy: SkewPolicy = SkewPolicy(),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Attach, for each row of ``left``, the latest feature row with time <= its own.
 
@@ -88,7 +90,7 @@ def asof_join(
     the largest hash of its values counts, so the result is repeatable. Label rows without a match, with a null
     key or with a null time are kept with null features.
 
-    A key that holds a large share of the rows is cut into pieces along time.
+    A key with more rows than a piece should have (``policy.rows``) is cut into pieces along time.
     The last feature row before each piece goes along with the piece, so each
     piece is complete on its own. A null key is a key like any other here: no feature row
     has it, and it is cut when it is hot.
@@ -118,7 +120,10 @@ def asof_join(
         ).filter(_all_set([*keys, "_time"]))
         for i, (lk, t) in enumerate(zip(lookups, tables))
     ]
-    pieces = _find_pieces(rows, sides, keys, time_type, policy) if policy.enabled else []
+    labels = rows
+    if counted is not None:  # the same keys and times under a cheaper plan
+        labels = counted.select(*key_columns, F.col(time).alias("_time"))
+    pieces = _find_pieces(labels, sides, keys, time_type, policy) if policy.enabled else []
     line = _time_line(rows, sides, keys, time_type, pieces)
 
     carried = Window.partitionBy(*keys, "_piece", "_salt").orderBy("_time", "_side", "_tie")
@@ -156,8 +161,8 @@ def _find_pieces(rows, sides, keys, time_type, policy) -> list[skew.Piece]:
     for side in sides:
         both = both.unionByName(side.select(*keys, "_time"))
     marks = both.select(skew.key_hash(keys).alias("_key"), order_value("_time", time_type).alias("_ord"))
-    hot, total = skew.hot_keys(marks, policy)
-    return skew.cut_pieces(marks, hot, total, policy) if hot else []
+    hot = skew.hot_keys(marks, policy)
+    return skew.cut_pieces(marks, hot, policy) if hot else []
 
 
 def _time_line(rows, sides, keys, time_type, pieces) -> DataFrame:
@@ -234,15 +239,23 @@ def apply_lookups(
 ) -> DataFrame:
     """Apply lookups and functions in order; later ones may read earlier results.
 
-    Neighbouring point-in-time lookups on the same keys run as one pass.
+    Neighbouring point-in-time lookups on the same keys run as one pass. Lookups keep the rows,
+    so rows per key are counted on ``left`` itself where it has the keys, not on the lookups before.
     """
     out, batch = left, []
 
+    def counted(columns: Sequence[str]) -> DataFrame | None:
+        return left if set(columns) <= set(left.columns) else None
+
     def same_line(a: FeatureLookup, b: FeatureLookup) -> bool:
         return list(a.keys) == list(b.keys) and (a.label_time or a.time_key) == (b.label_time or b.time_key)
 
     def flush(df: DataFrame) -> DataFrame:
-        done = asof_join(df, batch, policy) if batch else df
+        if batch:
+            first = batch[0]
+            done = asof_join(df, batch, policy, counted([*first.keys, first.label_time or first.time_key]))
+        else:
+            done = df
         batch.clear()
         return done
 
@@ -253,7 +266,7 @@ def apply_lookups(
         if timed:
             batch.append(spec)
         elif isinstance(spec, FeatureLookup):
-            out = key_lookup(out, spec, policy=policy)
+            out = key_lookup(out, spec, policy=policy, counted=counted(spec.keys))
         else:
             out = spec.apply(out)
     return flush(out)

@@ -1,10 +1,10 @@
 """Finding hot keys and cutting their time line into pieces.
 
 A window or a group runs as one task per key, and adaptive execution cannot
-split it. When one key holds a large share of the rows, that task decides the
-run time of the job. Here such keys are found with one sketch aggregate, and
+split it. When one key holds more rows than a task should have, that task decides
+the run time of the job. Here such keys are found by counting rows per key, and
 their rows get cut points at equal row counts, so that (key, piece) is a unit
-of work of fair size.
+of work of a stated size, whatever the size of the data.
 """
 
 from __future__ import annotations
@@ -17,25 +17,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TRACKED_ITEMS = 20_000
-MAX_HOT_KEYS = 2_000
 SKETCH_ACCURACY = 10_000
 GRID_CELLS = 65_536
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """A key is hot above ``share`` of all rows and above ``min_rows``.
+    """A key with more than ``rows`` rows is cut into pieces of about that many.
 
-    ``pieces`` is the number of pieces the whole input would be cut into, so a
-    hot key with a third of the rows gets a third of them. Since at most
-    ``1/share`` keys can be hot, the cut table has at most
-    ``pieces + 1/share`` rows, whatever the size of the data.
+    No more than one key in ``rows`` rows can be hot, and the cut table has a row for about
+    every ``rows`` rows of hot keys: 12 bytes for each 5 million rows of the default.
     """
 
-    share: float = 0.0005
-    min_rows: int = 1_000_000
-    pieces: int = 4_096
+    rows: int = 5_000_000
     enabled: bool = True
 
 
@@ -75,30 +69,22 @@ class Piece:
     salts: int
 
 
-def hot_keys(rows: DataFrame, policy: SkewPolicy) -> tuple[dict[int, int], int]:
-    """Hot values of column ``_key`` with their approximate row counts, and the number of rows.
+def hot_keys(rows: DataFrame, policy: SkewPolicy) -> dict[int, int]:
+    """Values of column ``_key`` with more rows than a piece should have, and their row counts.
 
-    The sketch never misses an item whose share is above its error, about 1/9000 for
-    TRACKED_ITEMS, which is below ``policy.share``. One map-side aggregate, no shuffle by key.
+    Rows are counted before the shuffle, so a hot key sends one row per task; only hot keys reach the driver.
     """
-    if policy.share * MAX_HOT_KEYS < 1:
-        raise ValueError(f"a share below 1/{MAX_HOT_KEYS} can't be told from the sketch")
-    found = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(_key, {MAX_HOT_KEYS}, {TRACKED_ITEMS})").alias("top"),
-    ).first()
-    floor = max(policy.min_rows, policy.share * found["n"])
-    hot = {item["item"]: item["count"] for item in found["top"] or [] if item["count"] >= floor}
-    return hot, found["n"]
-
-
-def cut_pieces(rows: DataFrame, hot: dict[int, int], total: int, policy: SkewPolicy) -> list[Piece]:
+    counts = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > policy.rows)
+    return {row["_key"]: row["n"] for row in counts.collect()}
+
+
+def cut_pieces(rows: DataFrame, hot: dict[int, int], policy: SkewPolicy) -> list[Piece]:
     """Pieces of equal row count for each hot key, from columns ``_key`` and ``_ord``."""
-    wanted = {k: max(2, math.ceil(policy.pieces * n / max(total, 1))) for k, n in hot.items()}
+    wanted = {k: max(2, math.ceil(n / policy.rows)) for k, n in hot.items()}
     grid = max(wanted.values())
     steps = [i / grid for i in range(1, grid)]
     marks = rows.filter(F.col("_key").isin(list(hot)) & F.col("_ord").isNotNull())
-    cuts = marks.groupBy("_key").agg(F.percentile_approx("_ord", steps, SKETCH_ACCURACY).alias("cuts")).collect()
+    cuts = marks.groupBy("_key").agg(F.percentile_approx("_ord", steps, max(SKETCH_ACCURACY, 10 * grid)).alias("cuts")).collect()
     found = {row["_key"]: row["cuts"] for row in cuts}
     return [piece for key in hot for piece in _pieces_of(key, found.get(key, []), wanted[key])]
 
@@ -168,21 +154,24 @@ def place(df: DataFrame, pieces: list[Piece], order: Column, order_type: T.DataT
     )
 
 
-def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+def left_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], policy: SkewPolicy = SkewPolicy(), counted: DataFrame | None = None
+) -> DataFrame:
     """Left join to a side that is unique per key, safe for hot keys on the left.
 
     Adaptive execution cannot split a join whose side was just aggregated. Here the rows of
     a hot key (a null key counts as one) are spread over salts and its single right row is
-    copied to each salt: at most ``policy.pieces`` copies over all keys together.
+    copied to each salt: one copy for every ``policy.rows`` rows. ``counted`` may name a frame with
+    the same keys whose plan is cheaper than that of ``left``.
     """
     keys = list(keys)
     if not policy.enabled:
         return left.join(right, keys, "left")
     types = common_types(keys, left, right)
-    hot, total = hot_keys(left.select(key_hash(keys, types).alias("_key")), policy)
+    hot = hot_keys((left if counted is None else counted).select(key_hash(keys, types).alias("_key")), policy)
     if not hot:
         return left.join(right, keys, "left")
-    rows = [(k, max(2, math.ceil(policy.pieces * n / total))) for k, n in hot.items()]
+    rows = [(k, max(2, math.ceil(n / policy.rows))) for k, n in hot.items()]
     salts = F.broadcast(left.sparkSession.createDataFrame(rows, "_key long, _salts int"))
 
     def marked(df: DataFrame) -> DataFrame:
