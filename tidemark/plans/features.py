@@ -321,6 +321,24 @@ def split_rand(spark, folder):
     return splits.split_at_random(table(spark, folder, "orders").select("o_orderkey"))
 
 
+@query(
+    "split_rand_facts",
+    """SELECT 'orders' AS fact, CAST(count(DISTINCT o_orderkey) AS VARCHAR) AS value FROM orders
+       UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM orders
+       UNION ALL SELECT 'neither train nor test', '0' UNION ALL SELECT 'further from four fifths than chance', '0'""",
+)
+def split_rand_facts(spark, folder):
+    """What holds for any draw: every order once, in one of the parts, about four fifths of them for training."""
+    rows = split_rand(spark, folder)
+    n, keys, train, other = rows.agg(
+        F.count("*"), F.countDistinct("o_orderkey"), F.count_if(F.col("split") == "train"),
+        F.count_if(~F.col("split").isin("train", "test")),
+    ).first()
+    far = int(abs(train - 0.8 * n) > 6 * (0.16 * n) ** 0.5)
+    facts = [("orders", keys), ("rows", n), ("neither train nor test", other), ("further from four fifths than chance", far)]
+    return spark.createDataFrame([(k, str(v)) for k, v in facts], "fact string, value string")
+
+
 @query(
     "split_time",
     """SELECT o_orderkey, CASE WHEN percent_rank() OVER (ORDER BY o_orderdate NULLS FIRST) <= 0.8

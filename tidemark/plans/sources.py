@@ -77,6 +77,35 @@ def synth_inference_log(spark, folder):
     return synthetic.synthetic_log(table(spark, folder, "customer"), "c_custkey")
 
 
+@query(
+    "synth_log_facts",
+    """SELECT 'rows' AS fact, CAST(30 * count(*) AS VARCHAR) AS value FROM customer
+       UNION ALL SELECT 'days', '30' UNION ALL SELECT 'rows of the least day', CAST(count(*) AS VARCHAR) FROM customer
+       UNION ALL SELECT 'values off their steps or lists', '0' UNION ALL SELECT 'other on a second run', '0'""",
+)
+def synth_log_facts(spark, folder):
+    """What holds for any draw: a row per key and day, values on the stated steps and lists, and the same log again."""
+    customers = table(spark, folder, "customer")
+    log, again = (synthetic.synthetic_log(c, "c_custkey") for c in (customers, customers.repartition(5)))
+    off = F.lit(False)
+    for name, spec in synthetic.CHURN_LOG.items():
+        if isinstance(spec, synthetic.Choice):
+            off = off | ~F.col(name).isin(list(spec.weights))
+        else:
+            place = (F.col(name).cast("double") - spec.low) / spec.step
+            off = off | ~F.col(name).between(spec.low, spec.high) | (F.abs(place - F.round(place)) > 1e-6)
+    days = log.groupBy(F.to_date("inference_timestamp").alias("day")).agg(F.count("*").alias("n"))
+    per_day = days.agg(F.count("*"), F.min("n"), F.sum("n")).first()
+    facts = [
+        ("rows", per_day[2]),
+        ("days", per_day[0]),
+        ("rows of the least day", per_day[1]),
+        ("values off their steps or lists", log.filter(off).count()),
+        ("other on a second run", log.exceptAll(again).count()),
+    ]
+    return spark.createDataFrame([(k, str(v)) for k, v in facts], "fact string, value string")
+
+
 @query("unlabelled_copy", "SELECT * EXCLUDE (event_type) FROM events")
 def unlabelled_copy(spark, folder):
     return synthetic.without_label(table(spark, folder, "events"), "event_type")
