@@ -59,10 +59,19 @@ def next_versions(versions: DataFrame, new: DataFrame) -> DataFrame:
     return joined.withColumn("version", F.coalesce("_top", F.lit(0)) + F.lit(1)).drop("_top")
 
 
+def _newest(rows: DataFrame, keys: Sequence[str], time: str, value: str) -> DataFrame:
+    """The value at the newest time per key, the larger one on ties; null times are older than all others.
+
+    Two aggregates over plain columns, which are hashed; the largest struct of both would sort all rows.
+    """
+    largest = rows.groupBy(*keys, time).agg(F.max(value).alias(value))
+    newest = F.when(F.max(time).isNotNull(), F.max_by(value, time)).otherwise(F.max(value))
+    return largest.groupBy(*keys).agg(newest.alias(value))
+
+
 def resolve_aliases(aliases: DataFrame) -> DataFrame:
     """Version behind each alias: the newest assignment, larger version on ties."""
-    newest = aliases.groupBy("model", "alias").agg(F.max(F.struct("assigned_at", "version")).alias("_a"))
-    return newest.select("model", "alias", F.col("_a.version").alias("version"))
+    return _newest(aliases, ["model", "alias"], "assigned_at", "version")
 
 
 def assign_alias(spark, model: str, alias: str, version: int, at: dt.datetime) -> DataFrame:
@@ -89,9 +98,8 @@ def version_metric(versions: DataFrame, runs: DataFrame, metric: str) -> DataFra
 
     A run may log a metric again: the newest value counts, the larger one on ties.
     """
-    newest = F.max(F.struct("start_time", "value")).alias("_newest")
-    values = runs.filter(F.col("metric") == metric).groupBy("run_id").agg(newest)
-    return versions.join(values.select("run_id", F.col("_newest.value").alias("metric_value")), "run_id", "left")
+    values = _newest(runs.filter(F.col("metric") == metric), ["run_id"], "start_time", "value")
+    return versions.join(values.withColumnRenamed("value", "metric_value"), "run_id", "left")
 
 
 def _gate(name: str, passed, message) -> Column:
@@ -114,7 +122,7 @@ def gate_checks(
     was not logged fails its gates.
     """
     scored = version_metric(versions, runs, metric)
-    holder = resolve_aliases(aliases).filter(F.col("alias") == champion).select("model", "version")
+    holder = resolve_aliases(aliases.filter(F.col("alias") == champion)).select("model", "version")
     bar = scored.join(holder, ["model", "version"], "left_semi").select("model", F.col("metric_value").alias("_bar"))
     rows = scored.join(bar, "model", "left")
     size, value, top = F.length(F.coalesce("description", F.lit(""))), F.col("metric_value"), F.col("_bar")
