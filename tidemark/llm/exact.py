@@ -109,8 +109,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = copy_groups(docs, id_col, text_col)
     fate = groups.groupBy("digest", "id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times"))
     digest, times = unused(docs, "digest"), unused(docs, "times")
-    fate = fate.filter(~F.col("kept") | (F.col("times") > 1)).select(
-        F.col("digest").alias("fate_digest"), F.col("id").alias("fate_id"), F.col("kept").alias("fate_kept")
+    # Stored, so that its size is known before the texts are shuffled: while it is small they needn't be.
+    fate = written(
+        fate.filter(~F.col("kept") | (F.col("times") > 1)).select(
+            F.col("digest").alias("fate_digest"), F.col("id").alias("fate_id"), F.col("kept").alias("fate_kept")
+        ),
+        "fate",
     )
     keyed = docs.withColumn(digest, F.unhex(F.sha2(F.coalesce(column(text_col), F.lit("")).cast("binary"), 256)))
     same = (keyed[digest] == fate["fate_digest"]) & keyed[f"`{id_col}`"].eqNullSafe(fate["fate_id"])
