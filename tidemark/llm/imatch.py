@@ -75,22 +75,33 @@ def _subset_hashes(terms: Column, level: Column) -> Column:
     return F.transform(F.array(first), listed)[0]
 
 
+def _level(terms: Column) -> Column:
+    return F.greatest(F.lit(0), F.floor(F.log2(F.size(terms) / PER_SUBSET))).cast("int")
+
+
+def _by_all_terms(text: Column) -> Column:
+    """The fingerprint (a struct) of a text by all its terms; null if it has none."""
+    words = F.filter(F.array_distinct(_terms(text)), lambda w: w != "")
+    # As the only item of an array the terms are found once.
+    made = F.transform(
+        F.array(F.sort_array(F.transform(words, lambda w: F.xxhash64(w)))),
+        lambda t: F.struct(
+            _level(t).alias("level"), _subset_hashes(t, _level(t)).alias("low"), _subset_hashes(t, _level(t) + 1).alias("high")
+        ),
+    )
+    return F.when(F.size(words) > 0, made[0])
+
+
 def fingerprints(texts: DataFrame, keys: list[str], terms: DataFrame) -> DataFrame:
     """The keys, ``level`` and ``low`` and ``high`` (subset hashes at the level and one above).
 
-    ``texts`` has the keys and ``text``; a text without any term gives no row. If it is partitioned
-    by the keys already, nothing is shuffled. Lists are gathered per text, no longer than the text.
+    ``texts`` has the keys and ``text``; a text without a term of the lexicon gives no row. If it is
+    partitioned by the keys already, nothing is shuffled. A list is gathered per text, no longer than the text.
     """
-    words = texts.select(*keys, F.explode(_terms(F.col("text"))).alias("word")).filter("word != ''")
-    known = F.broadcast(terms.withColumn("known", F.lit(True)))
-    found = words.select(*keys, F.xxhash64("word").alias("term")).join(known, "term", "left")
-    sets = found.groupBy(*keys).agg(
-        F.collect_set(F.when(F.col("known"), F.col("term"))).alias("band"), F.collect_set("term").alias("every")
-    )
-    own = F.when(F.size("band") > 0, F.col("band")).otherwise(F.col("every"))
-    sets = sets.select(*keys, F.sort_array(own).alias("terms"))
-    level = F.greatest(F.lit(0), F.floor(F.log2(F.size("terms") / PER_SUBSET))).cast("int")
-    sets = sets.withColumn("level", level)
+    words = texts.select(*keys, F.explode(_terms(F.col("text"))).alias("word"))
+    found = words.select(*keys, F.xxhash64("word").alias("term")).join(F.broadcast(terms), "term")
+    sets = found.groupBy(*keys).agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    sets = sets.withColumn("level", _level(F.col("terms")))
     return sets.select(
         *keys,
         "level",
@@ -182,8 +193,17 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # A text and its edited one are rows of their own; the partitioning by document lasts up to the sets of terms.
     pieces = both.select("i", "h", sides.alias("s")).select("i", "h", "s.side", "s.text")
     prints = written(fingerprints(pieces, ["i", "h", "side"], terms), "prints")
+    # Texts that gave no row have no term of the lexicon; only of those all terms are taken.
+    marks = prints.groupBy("i", "h").agg(F.max(F.col("side") == 0).alias("has_own"), F.max(F.col("side") == 1).alias("has_new"))
+    both = both.join(marks, ["i", "h"], "left")
+    every = [
+        F.when(~F.coalesce(has, F.lit(False)), _by_all_terms(F.col(text))).alias(name)
+        for has, text, name in (("has_own", "text", "own_every"), ("has_new", "edited", "new_every"))
+    ]
     sums = written(
-        both.select("i", "h", n.alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("edited").alias("edited_h")),
+        both.select(
+            "i", "h", n.alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("edited").alias("edited_h"), *every
+        ),
         "edited",
     )
 
@@ -192,8 +212,12 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return own.select("i", "h", *[F.col(c).alias(f"{name}_{c}") for c in ("level", "low", "high")])
 
     facts = sums.join(side(0, "own"), ["i", "h"], "left").join(side(1, "new"), ["i", "h"], "left")
+    facts = facts.withColumns(
+        {f"{s}_{c}": F.coalesce(f"{s}_{c}", F.col(f"{s}_every.{c}")) for s in ("own", "new") for c in ("level", "low", "high")}
+    )
     facts = facts.join(order.select("i", "h", "next_i", "next_h"), ["i", "h"])
-    after = side(0, "next").withColumnsRenamed({"i": "next_i", "h": "next_h"})
+    whole = sums.filter("own_every IS NOT NULL").select("i", "h", *[F.col(f"own_every.{c}").alias(f"next_{c}") for c in ("level", "low", "high")])
+    after = side(0, "next").unionByName(whole).withColumnsRenamed({"i": "next_i", "h": "next_h"})
     facts = facts.join(after, ["next_i", "next_h"], "left")
 
     def struct(name: str, text_hash: str) -> Column:
