@@ -122,6 +122,9 @@ class Check:
         return F.when(count > 0, failed).otherwise(F.lit(self.passed_text))
 
 
+# The names and messages of the checks below, which callers compare with.
+
+
 def no_nulls(column: str) -> Check:
     return Check(
         f"{column}_no_nulls",

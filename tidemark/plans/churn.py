@@ -43,6 +43,7 @@ CLEANING = CleaningRules(
     fills={"tenure": 0.0, "monthly_charges": 0.0, "total_charges": 0.0},
 )
 
+# Names, conditions and actions of the row rules.
 BRONZE_EXPECTATIONS = [
     Expectation("customer_id_not_null", "customer_id IS NOT NULL", "drop"),
     Expectation("monthly_charges_non_negative", "monthly_charges >= 0 OR monthly_charges IS NULL"),
@@ -64,6 +65,7 @@ LABEL_EXPECTATIONS = [
     Expectation("label_not_null", "churn IN ('Yes', 'No') OR churn IS NULL"),
 ]
 
+# Declared schemas of the raw, feature and label tables.
 BRONZE_RULES = [
     ColumnRule("customer_id", nullable=False, min_length=1),
     ColumnRule("gender", allowed=["Male", "Female"]),
