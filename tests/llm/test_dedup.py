@@ -248,7 +248,7 @@ def test_substring_dedup(spark):
     got = {r["doc_id"]: r for r in out.collect()}
     for i, text in rows:
         kept = [text[a:b] for (a, b), stay in zip(substring.sentences(text), want[i]) if stay]
-        assert [got[i]["text"][a:b] for a, b in substring.sentences(got[i]["text"])] == kept, i
+        assert got[i]["text"].split() == " ".join(kept).split(), i  # what is left of an overlong sentence may be one sentence
         assert (got[i][removed], got[i][total]) == (want[i].count(False), len(want[i]))
         if all(want[i]):
             assert got[i]["text"] == text

@@ -43,7 +43,7 @@ def test_stages(spark, tokenizer):  # noqa: F811
     got = {r.doc_id: r.text for r in rest.collect()}
     for i, text in rows:
         kept = [text[a:b] for (a, b), stay in zip(substring.sentences(text), want[i]) if stay]
-        assert [got[i][a:b] for a, b in substring.sentences(got[i])] == kept
+        assert got[i].split() == " ".join(kept).split()  # what is left of an overlong sentence may be one sentence
 
     packed = stages["packing"](spark, rest, FOLDER)
     check_pieces([tuple(r) for r in packed.collect()], got, tokenizer)
