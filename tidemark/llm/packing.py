@@ -45,7 +45,7 @@ class Plan:
     inner_step: int = 32
     #: Windows of a power of two of tokens aren't padded, from this one on.
     least_power: int = 128
-    #: Tokens planned together; more only costs memory.
+    #: Tokens planned together: more cost memory; where a block's plan ends, windows may end elsewhere than in a longer one.
     block: int = 1_000_000
 
 
