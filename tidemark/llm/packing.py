@@ -26,7 +26,7 @@ from tidemark.llm.common import Recent, cut_words, identified, plain_words, text
 #: Bytes of a generation of a task's memory of words.
 REMEMBERED = 48 << 20
 #: Characters encoded together.
-SLICE = 1_000_000
+SLICE = 4_000_000
 
 
 @dataclass(frozen=True)
