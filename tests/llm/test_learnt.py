@@ -84,6 +84,25 @@ def test_toxicity(toxic_corpus, odd_docs, no_docs):
     assert left.columns == odd_docs.columns and left.count() == odd_docs.count()
 
 
+def test_toxicity_of_long_passages(spark):
+    """A passage whose score passes what exp can hold is evidence like others; it made all weights and scores NaN."""
+    assert np.isfinite(toxicity.Model(k=0.01).evidence(4000, [5000.0, 800.0, 3.0])[0])
+    rng = random.Random(8)
+    docs = []
+    for i in range(300):
+        words = [rng.choice(CLEAN) + str(rng.randrange(40)) for _ in range(rng.randrange(20, 100))]
+        if i % 6 == 0:
+            words[5:5] = [rng.choice(BAD) for _ in range(1500 if i == 6 else 3)]
+        docs.append((i, " ".join(words)))
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(300)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(docs, labels)
+    assert np.isfinite(model.weights).all()
+    got = [r for r in toxicity.score(docs, model).collect() if r.held_out]
+    toxic = [r.score for r in got if r.doc_id % 6 == 0]
+    assert toxic and min(toxic) > max(r.score for r in got if r.doc_id % 6)
+
+
 def test_toxicity_without_labels(toxic_corpus, no_docs):
     docs, labels = toxic_corpus
     for few in (labels.filter("false"), labels.filter("toxic = 0"), labels.selectExpr("doc_id", "CAST(NULL AS INT) AS toxic")):

@@ -109,11 +109,13 @@ class Model:
         """
         best = np.sort(np.array(scores))[::-1]
         r = np.arange(1, len(best) + 1)
-        mean = self.k * max(n, 1) * np.exp(-best)
+        # By its log: the mean of a long passage's score is too small for a double.
+        log_mean = np.log(self.k * max(n, 1)) - best
+        mean = np.exp(log_mean)
         # Chance of r or more: the first term, times a series in which mean/(r+1) is below 1 where it matters.
         ratio = mean[:, None] / (r[:, None] + np.arange(1, SERIES + 1))
         series = 1 + np.cumprod(np.minimum(ratio, 1), axis=1).sum(1)
-        found = np.where(mean < r, mean - r * np.log(mean) + _log_factorial(r) - np.log(series), 0.0)
+        found = np.where(mean < r, mean - r * log_mean + _log_factorial(r) - np.log(series), 0.0)
         at = int(found.argmax())
         return max(0.0, float(found[at])), at + 1
 
