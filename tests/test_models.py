@@ -3,6 +3,7 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import prep, registry, score, train
@@ -145,6 +146,17 @@ def test_families_learn_and_repeat(easy, family, params):
         train.classifier("Other", {}, 1)
 
 
+@pytest.mark.parametrize("family, params", [("LogisticRegression", {"C": 1.0}), ("RandomForest", {"n_estimators": 3, "max_depth": 2})])
+def test_models_score_in_a_session_that_has_observed(easy, spark, family, params):
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get == {"rows": 3}
+    model = train.fit_model(easy, SPEC, "y", "Yes", "No", family, params)
+    assert model.score(easy).filter("probability IS NULL").count() == 0
+    found = train.search(easy, SPEC, ["id"], "y", "Yes", "No", [{"trial": 0, "family": family, **params}])
+    assert found.trials.first()["state"] == "COMPLETE"
+
+
 def test_training_job(easy, spark):
     space = {"LogisticRegression": train.SEARCH_SPACE["LogisticRegression"]}
     job = train.training_job(easy, SPEC, ["id"], "y", "Yes", "No", trials=2, families=["LogisticRegression"], space=space)

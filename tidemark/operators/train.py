@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import classify, prep, splits
 from tidemark.operators.prep import FittedPrep, PrepSpec, WidePrep
+from tidemark.session import scratch_path
 
 FAMILIES = ("LogisticRegression", "RandomForest", "GradientBoosting")
 
@@ -142,6 +143,20 @@ def prepare(df: DataFrame, fitted: FittedPrep | WidePrep, label: str, positive:
     return out.withColumn("weight", F.lit(1.0))
 
 
+def _fit(estimator, ready: DataFrame):
+    """The fitted model without its training summary, which goes when a model is stored and read back.
+
+    The summaries of logistic regressions and forests hold the session, and tasks get them with the
+    model. Once anything in the session has observed a metric, a session can't be sent any more.
+    """
+    model = estimator.fit(ready)
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = scratch_path(ready.sparkSession, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def fit_model(
     train: DataFrame,
     spec: PrepSpec,
@@ -159,7 +174,7 @@ def fit_model(
     try:
         estimator = classifier(family, params, ready.count(), seed)
         estimator = estimator.setProbabilityCol("_prob").setPredictionCol("_pred")
-        return TrainedModel(fitted, estimator.fit(ready), (negative, positive))
+        return TrainedModel(fitted, _fit(estimator, ready), (negative, positive))
     finally:
         ready.unpersist()
 
@@ -210,7 +225,7 @@ def search(
         try:
             estimator = classifier(trial["family"], params, rows, seed)
             estimator = estimator.setProbabilityCol("_prob").setPredictionCol("_pred")
-            model = TrainedModel(fitted, estimator.fit(ready), (negative, positive))
+            model = TrainedModel(fitted, _fit(estimator, ready), (negative, positive))
             counts = classify.confusion_counts(model.score(held), label, "prediction")
             value, state = float(classify.binary_metrics(counts, positive).first()["f1_score"]), "COMPLETE"
         except Exception as error:  # a trial may fail for its parameters; the search goes on
