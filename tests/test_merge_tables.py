@@ -268,6 +268,20 @@ def test_synthetic_log(spark):
     log.unpersist()
 
 
+def test_a_synthetic_log_of_few_keys_is_made_by_many_tasks(spark):
+    log = synthetic.synthetic_log(spark.range(0, 400, 1, 1).withColumnRenamed("id", "k"), "k")
+    assert log.select(F.spark_partition_id()).distinct().count() >= 4
+
+
+def test_rows_beyond(spark):
+    schema = "a string, b double, t timestamp_ntz"
+    at = dt.datetime(2024, 1, 1)
+    log = spark.createDataFrame([("x", 1.0, at), ("x", 1.0, at), (None, 2.0, at), ("y", None, None)], schema)
+    other = spark.createDataFrame([("x", 1.0, at), (None, 2.0, at), ("z", 1.0, at)], schema)
+    assert synthetic.rows_beyond(log, other) == log.exceptAll(other).count() == 2
+    assert synthetic.rows_beyond(log, log) == 0 and synthetic.rows_beyond(log.limit(0), other) == 0
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 

@@ -94,14 +94,14 @@ def synth_log_facts(spark, folder):
         else:
             place = (F.col(name).cast("double") - spec.low) / spec.step
             off = off | ~F.col(name).between(spec.low, spec.high) | (F.abs(place - F.round(place)) > 1e-6)
-    days = log.groupBy(F.to_date("inference_timestamp").alias("day")).agg(F.count("*").alias("n"))
-    per_day = days.agg(F.count("*"), F.min("n"), F.sum("n")).first()
+    days = log.groupBy(F.to_date("inference_timestamp").alias("day")).agg(F.count("*").alias("n"), F.count_if(off).alias("off"))
+    per_day = days.agg(F.count("*"), F.min("n"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("off"), F.lit(0))).first()
     facts = [
         ("rows", per_day[2]),
         ("days", per_day[0]),
         ("rows of the least day", per_day[1]),
-        ("values off their steps or lists", log.filter(off).count()),
-        ("other on a second run", log.exceptAll(again).count()),
+        ("values off their steps or lists", per_day[3]),
+        ("other on a second run", synthetic.rows_beyond(log, again)),
     ]
     return spark.createDataFrame([(k, str(v)) for k, v in facts], "fact string, value string")
 
