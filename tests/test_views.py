@@ -177,6 +177,24 @@ def test_a_batch_of_a_profile_delivered_again(spark, tmp_path, monkeypatch):
     assert same(views.profile_so_far(spark, MONITOR, name, "values"), profile.profile_categorical(log, MONITOR))
 
 
+def test_a_batch_of_one_file_is_profiled_by_all_cores(spark, tmp_path, monkeypatch):
+    folder, name, parts = str(tmp_path / "in"), "default.spread", []
+    log = spark.createDataFrame(log_rows(random.Random(4), 60), TYPES)
+    log.coalesce(1).write.parquet(folder)
+    states = views._states_of
+
+    def seen(df, monitor):
+        parts.append(df.rdd.getNumPartitions())
+        return states(df, monitor)
+
+    monkeypatch.setattr(views, "_states_of", seen)
+    stream = jobs.file_stream(spark, folder, "*.parquet", log.schema)
+    views.profile_stream(stream, MONITOR, name, scratch_path(spark, "cp")).awaitTermination()
+    assert parts == [spark.sparkContext.defaultParallelism] and parts[0] > 1
+    assert same(views.profile_so_far(spark, MONITOR, name, "values"), profile.profile_categorical(log, MONITOR))
+    views.drop_profile(spark, name)
+
+
 def test_numeric_profiles_scan_once(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame(log_rows(random.Random(3), 50), TYPES).write.parquet(path)

@@ -188,7 +188,8 @@ def profile_stream(
     def add(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         own = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        batch.persist()  # read once for each state
+        # Read once for each state, and by all cores: a batch may be one file that one task reads.
+        batch = batch.repartition(spark.sparkContext.defaultParallelism).persist()
         for kind, (state, apart) in _states_of(batch, monitor).items():
             rows, table = _keyed(state, monitor, apart, own, number), f"{name}_{kind}"
             keys = ["window_start", _GROUP, _STREAM]
