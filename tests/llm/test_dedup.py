@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import exact, jaccard, simhash, substring
+from tidemark.llm.bits import parted
 from tidemark.llm.components import components
 
 
@@ -399,6 +400,73 @@ def test_groups_find_close_copies(spark):
     assert all(i in group and group[i] == group[j] for i, j in close)
 
 
+def test_groups_settle_what_is_not_searched_again(spark, monkeypatch):
+    """A copy in the SimHash group of a text that stays goes by that alone: without the groups the shingles have more left to do."""
+    rows = list(enumerate(edited_copies()))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    searched, found, store, grouped = [], [], jaccard.written, jaccard._grouped
+
+    def count(df, label):
+        out = store(df, label)
+        if label == "rest" and not found:
+            found.append({r.node.id for r in out.select("node").distinct().collect()})
+        return out
+
+    monkeypatch.setattr(jaccard, "written", count)
+    for groups in (grouped, lambda own: grouped(own).limit(0)):
+        monkeypatch.setattr(jaccard, "_grouped", groups)
+        assert sorted(r.doc_id for r in jaccard.drop_near_copies(df).collect()) == brute_kept(rows)
+        searched.append(found.pop())
+    settled = searched[1] - searched[0]
+    assert settled and searched[0] < searched[1] and not settled & set(brute_kept(rows))
+
+
+def test_a_crowd_of_texts_makes_few_pairs(spark, monkeypatch):
+    """Edited copies of one text, most of them too far apart: tasks part them by their sketches, whatever the blocks."""
+    rng = random.Random(13)
+    base, rows = prose(rng, 200).split(" "), []
+    for i in range(240):
+        words = list(base)
+        for k in rng.sample(range(200), rng.choice([1, 4, 4, 4])):
+            words[k] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    seen, store = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, label: (label == "pairs" and seen.append(df.count())) or store(df, label))
+    monkeypatch.setattr(jaccard, "FEW", 8)
+    monkeypatch.setattr(jaccard, "HELD", 100)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for block in (1024, 32):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "ROUNDS", 0)
+        seen.clear()
+        assert sorted(r.doc_id for r in jaccard.drop_near_copies(df).collect()) == brute_kept(rows)
+        assert sum(seen) < 240 * 239 / 2 / 2
+
+
+def test_sketches_never_part_like_sets():
+    rng = np.random.default_rng(3)
+    for n in (1, 30, 200, 1500, 6000):
+        for part in (0.0, 0.05, 0.12, 0.3):
+            a = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+            b = np.unique(np.concatenate([a[int(part * n) :], rng.integers(-(2**63), 2**63 - 1, int(part * n * 1.1))]))
+            apart, sizes = len(np.setxor1d(a, b)), np.array([len(a), len(b)])
+            alike = 9 * (sizes.sum() - apart) >= 8 * sizes.sum()
+            maybe = jaccard._may_be_alike(
+                sizes, np.zeros(2, np.int64), [jaccard.sketch(a), jaccard.sketch(b)], np.array([0]), np.array([1])
+            )
+            assert maybe[0] or not alike
+
+
+def test_drop_copies_shuffles_few_texts(spark):
+    """Texts without a copy need no shuffle: both joins of the stages read only rows that may match."""
+    rows = [(i, f"text number {i} " * 40) for i in range(400)] + [(1000 + i, f"text number {i} " * 40) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = exact.drop_copies(df)
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(5, 400)] + [1000 + i for i in range(5)]
+    found, _ = parted(df, F.xxhash64("text"), df.filter("doc_id >= 1000").select(F.xxhash64("text").alias("fp")))
+    assert {r.doc_id for r in found.collect()} >= {*range(5), *range(1000, 1005)} and found.count() < 40
+
+
 def test_near_copies_of_odd_documents(odd_docs, no_docs):
     left = jaccard.drop_near_copies(odd_docs)
     assert left.columns == odd_docs.columns

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of a filter: as many times the number of hashes in it, but no more than 2 to the largest.
@@ -34,3 +34,19 @@ def bit_filter(prints: DataFrame, count: int) -> Filter:
     bits = np.zeros(1 << (size - 6), np.uint64)
     bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return Filter(bits, size)
+
+
+def parted(rows: DataFrame, key: Column, prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose long ``key`` may be in column ``fp`` of the stored ``prints``, and those where it is not.
+
+    Only the former, few more than there are matches, then need to be shuffled for a join, however large both sides are.
+    """
+    known = rows.sparkSession.sparkContext.broadcast(bit_filter(prints, prints.count()))
+
+    @F.pandas_udf("boolean")
+    def held(keys):
+        import pandas as pd
+
+        return pd.Series(known.value.holds(keys.to_numpy().view(np.uint64)))
+
+    return rows.filter(held(key)), rows.filter(~held(key))
