@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bits import parted
 from tidemark.llm.common import column, identified, unused, written
 
 #: Counters of a summary. No digest with more than 2/COUNTERS of the rows is shuffled by key.
@@ -109,7 +110,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = copy_groups(docs, id_col, text_col)
     fate = groups.groupBy("digest", "id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times"))
     digest, times = unused(docs, "digest"), unused(docs, "times")
-    # Stored, so that its size is known before the texts are shuffled: while it is small they needn't be.
     fate = written(
         fate.filter(~F.col("kept") | (F.col("times") > 1)).select(
             F.col("digest").alias("fate_digest"), F.col("id").alias("fate_id"), F.col("kept").alias("fate_kept")
@@ -117,8 +117,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "fate",
     )
     keyed = docs.withColumn(digest, F.unhex(F.sha2(F.coalesce(column(text_col), F.lit("")).cast("binary"), 256)))
+    # Texts that no fate can be about, most of them, aren't shuffled.
+    keyed, alone = parted(keyed, F.xxhash64(column(digest)), fate.select(F.xxhash64("fate_digest").alias("fp")))
     same = (keyed[digest] == fate["fate_digest"]) & keyed[f"`{id_col}`"].eqNullSafe(fate["fate_id"])
     joined = keyed.join(fate, same, "left").withColumn(times, F.col("fate_kept")).drop(*fate.columns)
-    once = joined.filter(column(times).isNull())
-    repeated = joined.filter(column(times)).dropDuplicates([id_col, digest])
-    return once.unionByName(repeated).select(*[column(c) for c in docs.columns])
+    once = joined.filter(column(times).isNull()).drop(times)
+    repeated = joined.filter(column(times)).dropDuplicates([id_col, digest]).drop(times)
+    return alone.unionByName(once).unionByName(repeated).select(*[column(c) for c in docs.columns])
