@@ -6,9 +6,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import regex
 import xxhash
+from pyspark.sql import functions as F
 
 from tidemark.llm import html_text, imatch
 
@@ -265,3 +267,25 @@ def test_repeated_rows_leave_fingerprints_as_they_are(spark):
     assert all(prints[1][i] == prints[0][i] for i in prints[0]) and prints[1][1000] == prints[0][0]
     copies = [r for r in imatch.edited_fingerprints(twice).collect() if r.doc_id >= 1000]
     assert all(r.near_edited > 0.2 for r in copies)  # nor do copies lose the likeness to their edited texts
+
+
+def test_imatch_reads_few_texts_twice(spark, monkeypatch):
+    """All texts are joined with their next one's start once; again only those without a term of the lexicon and the ones after them."""
+    rng, rows = np.random.default_rng(17), []
+    for i in range(600):
+        words = [f"word{k}" for k in rng.integers(0, 300, 60)]
+        rows.append((i, " ".join(words) if i % 200 else f"alone{i} single{i} other{i}"))
+    joined, edited = [], imatch._edited
+    monkeypatch.setattr(imatch, "_edited", lambda keyed, order: joined.append(keyed.count()) or edited(keyed, order))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in imatch.edited_fingerprints(df).collect()}
+    assert len(got) == 600 and joined[0] == 600 and 3 <= joined[1] < 60
+    assert all(got[i].fingerprint[0] != "x" and got[i].n_chars == len(text) for i, text in rows)
+
+
+def test_imatch_filter_holds_all_its_keys(spark):
+    keys = [0, 1, -1, 2**63 - 1, -(2**63), *range(10**12, 10**12 + 200)]
+    df = spark.createDataFrame([(k,) for k in keys], "key long").select(F.xxhash64("key").alias("key"))
+    held = imatch._holds(df)
+    assert df.filter(held(F.col("key"))).count() == len(keys)
+    assert spark.range(10_000).filter(held(F.xxhash64("id", F.lit(1)))).count() < 2_000

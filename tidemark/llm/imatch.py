@@ -13,6 +13,8 @@ A text without a term of the lexicon is fingerprinted by all its terms.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ SUBSETS, PER_SUBSET = 24, 0.8
 #: Bits kept of a subset's hash.
 HASH_BITS = 16
 SEED = 20_261
+#: Bits of a filter: as many times the number of keys in it, but no more than 2 to the largest.
+FACTOR, MOST = 16, 24
 
 _NOT_TERM = "[^\\p{L}\\p{N}]+"
 
@@ -33,11 +37,26 @@ def _terms(text: Column) -> Column:
     return F.split(F.lower(text), _NOT_TERM)
 
 
+def _holds(keys: DataFrame) -> Callable[[Column], Column]:
+    """Whether a long may be in the column ``key``: a filter of bounded size, which every task gets as an array of words."""
+    size = min(max(6, (FACTOR * max(keys.count(), 1) - 1).bit_length()), MOST)
+    at = lambda key: F.shiftrightunsigned(key, 64 - size)
+    word = lambda key: F.shiftrightunsigned(at(key), 6)
+    place = lambda key: at(key).bitwiseAND(63).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place(F.col("key")))
+    words = keys.select(word(F.col("key")).alias("id"), bit.alias("bit")).groupBy("id").agg(F.bit_or("bit").alias("bits"))
+    every = keys.sparkSession.range(1 << (size - 6)).join(words, "id", "left")
+    line = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    bits = written(every.agg(line.alias("line")).select(F.col("line.bits").alias("bits")), "bits")
+    return lambda key: F.call_function("shiftright", F.get(bits.scalar(), word(key).cast("int")), place(key)).bitwiseAND(1) == 1
+
+
 def _once(keyed: DataFrame) -> tuple[DataFrame, int]:
     """One row of each distinct text (columns i, h, text), and their number.
 
     Only the narrow keys are shuffled to find the first document of each text; rows of the
-    others are left out by an anti join, and a first one that has several rows is brought back once.
+    others are left out by an anti join, and a first one that has several rows is brought back
+    once. A bit filter keeps the other texts out of the joins.
     """
     docs = keyed.groupBy("i", "h").agg(F.count(F.lit(1)).alias("rows"))
     first = docs.groupBy("h").agg(F.min("i").alias("first"))
@@ -45,8 +64,12 @@ def _once(keyed: DataFrame) -> tuple[DataFrame, int]:
     spare = written(spare.select("i", "h", (F.col("i") == F.col("first")).alias("own")), "spare")
     documents = first.count()
     texts = keyed.select("i", "h", "text")
-    again = texts.join(spare.filter("own").select("i", "h"), ["i", "h"], "left_semi").dropDuplicates(["i", "h"])
-    return texts.join(spare.select("i", "h"), ["i", "h"], "left_anti").unionByName(again), documents
+    key = F.xxhash64("i", "h")
+    maybe = _holds(spare.select(key.alias("key")))(key)
+    some = texts.filter(maybe)
+    again = some.join(spare.filter("own").select("i", "h"), ["i", "h"], "left_semi").dropDuplicates(["i", "h"])
+    rest = some.join(spare.select("i", "h"), ["i", "h"], "left_anti")
+    return texts.filter(~maybe).unionByName(rest).unionByName(again), documents
 
 
 def lexicon(keyed: DataFrame) -> DataFrame:
@@ -93,20 +116,24 @@ def _by_all_terms(text: Column) -> Column:
 
 
 def fingerprints(texts: DataFrame, keys: list[str], terms: DataFrame) -> DataFrame:
-    """The keys, ``level`` and ``low`` and ``high`` (subset hashes at the level and one above).
+    """The keys, ``text_h`` and ``sha256`` of the text, ``level`` and ``low`` and ``high`` (subset hashes at the level and one above).
 
-    ``texts`` has the keys and ``text``; a text without a term of the lexicon gives no row. If it is
-    partitioned by the keys already, nothing is shuffled. A list is gathered per text, no longer than the text.
+    ``texts`` has the keys and ``text``; without a term of the lexicon the last three are null. If it is partitioned
+    by the keys already, nothing is shuffled. A list is gathered per text, no longer than the text.
     """
-    words = texts.select(*keys, F.explode(_terms(F.col("text"))).alias("word"))
-    found = words.select(*keys, F.xxhash64("word").alias("term")).join(F.broadcast(terms), "term")
-    sets = found.groupBy(*keys).agg(F.sort_array(F.collect_set("term")).alias("terms"))
-    sets = sets.withColumn("level", _level(F.col("terms")))
+    # The empty word is no term; it stands first once, whatever the text, and carries what is known of the text.
+    none = F.xxhash64(F.lit(""))
+    known = F.struct(F.xxhash64("text").alias("text_h"), F.sha2("text", 256).alias("sha256")).alias("known")
+    words = texts.select(*keys, "text", known)
+    words = words.select(*keys, "known", F.explode(F.array_union(F.array(F.lit("")), _terms(F.col("text")))).alias("word"))
+    rows = words.select(*keys, F.xxhash64("word").alias("term"), F.when(F.col("word") == "", F.col("known")).alias("known"))
+    wanted = terms.unionByName(terms.sparkSession.range(1).select(none.alias("term")))
+    own = F.sort_array(F.collect_set(F.when(F.col("term") != none, F.col("term")))).alias("terms")
+    sets = rows.join(F.broadcast(wanted), "term").groupBy(*keys).agg(F.max("known").alias("known"), own)
+    sets = sets.withColumn("level", F.when(F.size("terms") > 0, _level(F.col("terms"))))
+    hashes = lambda level: F.when(F.col("level").isNotNull(), _subset_hashes(F.col("terms"), level))
     return sets.select(
-        *keys,
-        "level",
-        _subset_hashes(F.col("terms"), F.col("level")).alias("low"),
-        _subset_hashes(F.col("terms"), F.col("level") + 1).alias("high"),
+        *keys, "known.text_h", "known.sha256", "level", hashes(F.col("level")).alias("low"), hashes(F.col("level") + 1).alias("high")
     )
 
 
@@ -163,6 +190,19 @@ def _order(keyed: DataFrame) -> DataFrame:
     return written(both.select("i", "h", "n", F.col("after.i").alias("next_i"), F.col("after.h").alias("next_h")), "next")
 
 
+def _edited(keyed: DataFrame, order: DataFrame) -> DataFrame:
+    """Columns i, h, text and edited of the documents in ``order``, whose texts and next texts are among ``keyed``."""
+    texts = keyed.select("i", "h", "text").dropDuplicates(["i", "h"])
+    quarter = F.floor(F.col("n") / 4).cast("int")
+    # What a document takes from the next one is cut where that one's text is.
+    wanted = order.filter(quarter > 0).select(F.col("next_i").alias("i"), F.col("next_h").alias("h"), F.col("i").alias("to_i"), F.col("h").alias("to_h"), quarter.alias("take"))
+    starts = texts.join(wanted, ["i", "h"]).select("to_i", "to_h", F.substring("text", F.lit(1), F.col("take")).alias("start"))
+    starts = starts.withColumnsRenamed({"to_i": "i", "to_h": "h"})
+    n = F.length("text")
+    edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")), F.coalesce("start", F.lit("")))
+    return texts.join(starts, ["i", "h"], "left").select("i", "h", "text", edited.alias("edited"))
+
+
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every document and of its text with the last quarter replaced by the next one's start.
 
@@ -178,57 +218,40 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = _order(keyed)
     terms = lexicon(keyed)
 
-    texts = keyed.select("i", "h", "text").dropDuplicates(["i", "h"])
-    quarter = F.floor(F.col("n") / 4).cast("int")
-    # What a document takes from the next one is cut where that one's text is.
-    wanted = order.filter(quarter > 0).select(F.col("next_i").alias("i"), F.col("next_h").alias("h"), F.col("i").alias("to_i"), F.col("h").alias("to_h"), quarter.alias("take"))
-    starts = texts.join(wanted, ["i", "h"]).select("to_i", "to_h", F.substring("text", F.lit(1), F.col("take")).alias("start"))
-    starts = starts.withColumnsRenamed({"to_i": "i", "to_h": "h"})
-    n = F.length("text")
-    edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")), F.coalesce("start", F.lit("")))
-    both = texts.join(starts, ["i", "h"], "left").withColumn("edited", edited)
     sides = F.explode(
         F.array(F.struct(F.lit(0).alias("side"), "text"), F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")))
     )
     # A text and its edited one are rows of their own; the partitioning by document lasts up to the sets of terms.
-    pieces = both.select("i", "h", sides.alias("s")).select("i", "h", "s.side", "s.text")
-    prints = written(fingerprints(pieces, ["i", "h", "side"], terms), "prints")
-    # Texts that gave no row have no term of the lexicon; only of those all terms are taken.
-    marks = prints.groupBy("i", "h").agg(F.max(F.col("side") == 0).alias("has_own"), F.max(F.col("side") == 1).alias("has_new"))
-    both = both.join(marks, ["i", "h"], "left")
-    every = [
-        F.when(~F.coalesce(has, F.lit(False)), _by_all_terms(F.col(text))).alias(name)
-        for has, text, name in (("has_own", "text", "own_every"), ("has_new", "edited", "new_every"))
-    ]
-    sums = written(
-        both.select(
-            "i", "h", n.alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("edited").alias("edited_h"), *every
-        ),
-        "edited",
-    )
-
-    def side(which: int, name: str) -> DataFrame:
-        own = prints.filter(F.col("side") == which)
-        return own.select("i", "h", *[F.col(c).alias(f"{name}_{c}") for c in ("level", "low", "high")])
-
-    facts = sums.join(side(0, "own"), ["i", "h"], "left").join(side(1, "new"), ["i", "h"], "left")
-    facts = facts.withColumns(
-        {f"{s}_{c}": F.coalesce(f"{s}_{c}", F.col(f"{s}_every.{c}")) for s in ("own", "new") for c in ("level", "low", "high")}
-    )
-    facts = facts.join(order.select("i", "h", "next_i", "next_h"), ["i", "h"])
-    whole = sums.filter("own_every IS NOT NULL").select("i", "h", *[F.col(f"own_every.{c}").alias(f"next_{c}") for c in ("level", "low", "high")])
-    after = side(0, "next").unionByName(whole).withColumnsRenamed({"i": "next_i", "h": "next_h"})
-    facts = facts.join(after, ["next_i", "next_h"], "left")
+    # All that is told of a text is told here, so the texts are shuffled once.
+    pieces = _edited(keyed, order).select("i", "h", sides.alias("s")).select("i", "h", "s.side", "s.text")
+    print_of = F.struct("level", "low", "high")
+    told = fingerprints(pieces, ["i", "h", "side"], terms).withColumn("print", print_of)
+    both = [F.max(F.when(F.col("side") == side, F.col("print"))).alias(name) for side, name in enumerate(("own", "new"))]
+    edit = F.max(F.when(F.col("side") == 1, F.struct("text_h", "sha256"))).alias("edit")
+    prints = written(told.groupBy("i", "h").agg(*both, edit), "prints")
+    # Only of texts without a term of the lexicon all terms are taken; only theirs and those after them are read again.
+    bare = written(prints.filter("own.level IS NULL OR new.level IS NULL").select("i", "h"), "bare")
+    theirs = written(order.join(bare, ["i", "h"]), "theirs")
+    key = F.xxhash64("i", "h")
+    needed = theirs.select(key.alias("key")).unionByName(theirs.select(F.xxhash64("next_i", "next_h").alias("key")))
+    again = _edited(keyed.filter(_holds(needed)(key)), theirs).join(bare, ["i", "h"], "left_semi")
+    every = [_by_all_terms(F.col(text)).alias(name) for text, name in (("text", "own_every"), ("edited", "new_every"))]
+    every = written(again.select("i", "h", *every), "every")
+    found = prints.join(every, ["i", "h"], "left")
+    either = lambda name: F.when(F.col(f"{name}.level").isNull(), F.col(f"{name}_every")).otherwise(F.col(name)).alias(name)
+    found = written(found.select("i", "h", either("own"), either("new"), "edit"), "found")
+    after = found.select(F.col("i").alias("next_i"), F.col("h").alias("next_h"), F.col("own").alias("next"))
+    facts = found.join(order, ["i", "h"]).join(after, ["next_i", "next_h"], "left")
 
     def struct(name: str, text_hash: str) -> Column:
-        return F.struct(*[F.col(f"{name}_{c}").alias(c) for c in ("level", "low", "high")], F.col(text_hash).alias("h"))
+        return F.struct(*[F.col(f"{name}.{c}").alias(c) for c in ("level", "low", "high")], F.col(text_hash).alias("h"))
 
-    facts = facts.withColumns({"a": struct("own", "h"), "b": struct("new", "edited_h"), "c": struct("next", "next_h")})
+    facts = facts.withColumns({"a": struct("own", "h"), "b": struct("new", "edit.text_h"), "c": struct("next", "next_h")})
     results = facts.select(
         "i",
         "h",
-        F.col("n_chars").cast("long").alias("n_chars"),
-        "edited_sha256",
+        F.col("n").cast("long").alias("n_chars"),
+        F.col("edit.sha256").alias("edited_sha256"),
         shown(F.col("a.level"), F.col("a.low"), F.col("a.high"), F.col("a.h")).alias("fingerprint"),
         shown(F.col("b.level"), F.col("b.low"), F.col("b.high"), F.col("b.h")).alias("edited_fingerprint"),
         likeness("a", "b").alias("near_edited"),
