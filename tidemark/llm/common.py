@@ -143,7 +143,7 @@ def cut_words(texts: list[str]) -> tuple[list[str], list[str], np.ndarray, np.nd
     """
     split = pc.split_pattern(pa.array(texts, pa.string()), " ")
     coded, bounds = split.values.dictionary_encode(), split.offsets.to_numpy().astype(np.int64)
-    index, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+    index, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     # Parts that show that their text has other white space beside a blank.
     size = pc.binary_length(coded.dictionary).to_numpy()
     odd = (size == 0) | (size != pc.binary_length(pc.utf8_trim_whitespace(coded.dictionary)).to_numpy())
