@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import subprocess
+import sys
 import time
 import zlib
 from collections import defaultdict
@@ -229,3 +231,23 @@ def test_words_are_listed_at_once():
 
     distinct = pa.array([w for t in texts for w in t.split(" ")])
     assert seconds(lambda: cut_words(texts)) < seconds(distinct.to_pylist)
+
+
+def test_memory_is_given_back():
+    """What a slice took leaves the worker; in a process of its own, as the figures depend on all that ran before."""
+    script = f"""
+import random, re
+from tidemark.llm import packing
+held = lambda: sum(map(int, re.findall(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) >> 10
+rng = random.Random(1)
+line = packing.TokenLine({VOCABULARY!r}, {PATTERN!r})
+texts = [" ".join(f"{{rng.choice(['some', 'more'])}}{{rng.getrandbits(17)}}" for _ in range(500)) for _ in range(600)]
+del line.encode(texts)[:]
+line.forget()
+before = held()
+packing.give_back()
+print(before, held())
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True)
+    before, after = map(int, done.stdout.split()[-2:])
+    assert after < before - 20

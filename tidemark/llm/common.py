@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -82,6 +83,16 @@ def text_slices(batch: pa.RecordBatch, chars: int = SLICE_CHARS) -> Iterator[tup
         yield ids, texts
 
 
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Python workers outlive their tasks: what the C library and Arrow keep for later use is missed by whatever runs beside them.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 _SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 #: Characters of the longest word whose result is remembered, and what an entry takes beside word and result.
 LONG_WORD, ENTRY = 64, 200

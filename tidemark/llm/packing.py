@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Recent, cut_words, identified, plain_words, text_slices
+from tidemark.llm.common import Recent, cut_words, give_back, identified, plain_words, text_slices
 
 #: Bytes of a generation of a task's memory of words.
 REMEMBERED = 48 << 20
@@ -326,8 +326,11 @@ def pack(
                     rows += packer.add(_Part(i, found, 0, len(found), *cuts))
                 if rows:
                     yield table(rows)
+                del encoded
+                give_back()
         if rows := list(packer.flush(True)):
             yield table(rows)
         tokens.forget()
+        give_back()
 
     return line.mapInArrow(run, f"id {id_type}, {COLUMNS}").withColumnRenamed("id", id_col)
