@@ -443,6 +443,41 @@ def test_a_crowd_of_texts_makes_few_pairs(spark, monkeypatch):
         assert sum(seen) < 240 * 239 / 2 / 2
 
 
+def test_pairs_of_a_crowd_are_told_once_and_families_settled_first(spark, monkeypatch):
+    """Copies that share most of their shingles meet at each of them; they give a pair once, and few pairs for a family."""
+    rng = random.Random(17)
+    bases, rows = [prose(rng, 200).split(" ") for _ in range(3)], []
+    for i in range(150):
+        words = list(bases[i % 3])
+        words[rng.randrange(200)] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    seen, crowded = [], jaccard._crowded
+
+    def counted(*args, **more):
+        found = crowded(*args, **more)
+        seen.append((found.count(), found.distinct().count()))
+        return found
+
+    monkeypatch.setattr(jaccard, "FEW", 8)
+    monkeypatch.setattr(jaccard, "ROUNDS", 0)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    source = df.selectExpr("doc_id AS id", "text", "xxhash64(text) AS version")
+    own = jaccard._first(source)
+    sketches = own.filter("at = 0").select("node", "sketch")
+    for block in (1024, 16):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "_crowded", crowded)
+        crowd = jaccard._met(own).drop("fp", "sketch").withColumn("parts", F.lit(-(-50 // block)))
+        pairs = crowded(crowd, sketches)
+        assert pairs.count() == pairs.distinct().count() == 3 * 50 * 49 / 2
+        monkeypatch.setattr(jaccard, "_crowded", counted)
+        seen.clear()
+        out, left = jaccard._paired(jaccard._met(own), sketches, source)
+        assert out.count() == 147 and left.count() == 0
+        assert [n for n, _ in seen][1:] == [0] and seen[0][1] <= 147 * -(-50 // block) * 2
+    assert sorted(r.doc_id for r in jaccard.drop_near_copies(df).collect()) == brute_kept(rows) == [0, 1, 2]
+
+
 def test_sketches_never_part_like_sets():
     rng = np.random.default_rng(3)
     for n in (1, 30, 200, 1500, 6000):

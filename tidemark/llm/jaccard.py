@@ -7,7 +7,8 @@ and the copies found are settled; they aren't searched for again. As pairs of th
 may lie too many bits apart, the rest meets otherwise, without loss: all sets are sorted in
 one order, rare shingles first; then two sets so much alike share one of their first n / 5 + 1
 shingles. Every pair found is verified by its whole sets. Of shingles that many texts have, tasks
-first compare sketches of the sets, which tell how many shingles two sets differ in at least.
+first compare sketches of the sets, which tell how many shingles two sets differ in at least,
+and a pair that shares many of them is told once, after families of copies are settled by their least text.
 
 The order is only a matter of speed. It comes from bit filters of the shingles that a share
 of the texts has several times, so lines common to many texts come last at any size.
@@ -41,6 +42,8 @@ TOGETHER, WHOLE = 2, 200_000
 ROUNDS = 2
 #: Texts of a shingle whose pairs are made by a join; of more, tasks compare blocks of so many with each other.
 FEW, BLOCK = 64, 1024
+#: Shingles of many texts, the first of each text, by which a pair is known to have met at one before.
+LEADING = 16
 #: Bits of a sketch for a shingle, and of a sketch at most, as a power of two.
 SPREAD, WIDEST = 4, 12
 #: Texts held together in a task, and pairs or words of sketches compared at once; they bound memory, not results.
@@ -212,26 +215,51 @@ def _may_be_alike(n: np.ndarray, at: np.ndarray, sketches: list[bytes], a: np.nd
     return size
 
 
-def _crowded(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs (a, b) that may be alike, of rows (key, parts, node, n, at) whose key many have.
+def _met_before(leading: np.ndarray, before: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs of places a and b share a leading shingle, of those ``before`` the one they meet at here."""
+    out = np.zeros(len(a), bool)
+    step = max(1, AT_ONCE // LEADING**2)
+    for i in range(0, len(a), step):
+        one, other = a[i : i + step], b[i : i + step]
+        same = leading[one][:, :, None] == leading[other][:, None, :]
+        out[i : i + step] = (same & before[one][:, :, None] & before[other][:, None, :]).any((1, 2))
+    return out
+
+
+def _crowded(rows: DataFrame, sketches: DataFrame, least: bool = False) -> DataFrame:
+    """Pairs (a < b) that may be alike, of rows (key, parts, node, n, at) whose key many have; ``least``: only the least a of each b.
 
     A key's texts are dealt to ``parts`` blocks, and a task compares two of them; what it gives are pairs that no sketch tells apart.
+    A pair of many such keys is given at the first one: there all that is compared here holds, if it does at a later one. Texts carry
+    but their LEADING first keys, so a pair that shares none of these is given more than once. The least are those of a task, which
+    sees a text once for each key and block, so they grow with the rows.
     """
     id_type = rows.select("node.id").schema["id"].dataType.simpleString()
+    first = F.slice(F.sort_array(F.collect_set(F.struct("at", "key"))), 1, LEADING)
+    leading = rows.groupBy("node").agg(first.alias("first")).select("node", F.col("first.key").alias("leading"))
+    sketches = sketches.join(leading, "node")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("own")
     dealt = rows.select("key", "node", "n", "at", own, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     dealt = dealt.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "n", "at", "own")
-    dealt = dealt.join(sketches, "node").select("key", "x", "y", "own", "n", "at", "sketch", "node.id", "node.version")
+    dealt = dealt.join(sketches, "node")
+    dealt = dealt.select("key", "x", "y", "own", "n", "at", "sketch", "leading", "node.id", "node.version")
     met = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "id", "version")
 
     def pairs(held: pa.Table) -> Iterator[pa.RecordBatch]:
         key, x, y, own, n, at = (held.column(i).to_numpy().astype(np.int64) for i in range(6))
-        sketches, nodes = held.column(6).to_pylist(), held.select([7, 8]).combine_chunks()
+        sketches, nodes = held.column(6).to_pylist(), held.select([8, 9]).combine_chunks()
+        lists = held.column(7).combine_chunks()
+        taken = lists.value_lengths().to_numpy().astype(np.int64)
+        before = np.arange(LEADING) < taken[:, None]
+        leading = np.zeros(before.shape, np.int64)
+        leading[before] = lists.flatten().to_numpy()
+        before &= np.cumsum(leading == key[:, None], 1) == 0
         new = np.append(True, (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
         starts = np.flatnonzero(new)
         end = np.append(starts, len(key))[np.cumsum(new)]
         partners = end - np.arange(len(key)) - 1  # the rows after it in its group
         total = np.cumsum(partners)
+        led = np.zeros(len(key), bool)
         first = 0
         while first < len(key):
             done = int(total[first - 1]) if first else 0
@@ -242,7 +270,13 @@ def _crowded(rows: DataFrame, sketches: DataFrame) -> DataFrame:
             apart = (x[a] == y[a]) | (own[a] != own[b])  # two blocks: within one of them another task compares
             a, b = a[apart], b[apart]
             alike = _may_be_alike(n, at, sketches, a, b)
-            columns = [c.take(pa.array(i[alike])).combine_chunks() for i in (a, b) for c in nodes.columns]
+            a, b = a[alike], b[alike]
+            if least:  # pairs come in the order of a
+                b, at_first = np.unique(b, return_index=True)
+                a, b = a[at_first][~led[b]], b[~led[b]]
+                led[b] = True
+            new = ~_met_before(leading, before, a, b)
+            columns = [c.take(pa.array(i[new])).combine_chunks() for i in (a, b) for c in nodes.columns]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "a_version", "b", "b_version"])
             first = last
 
@@ -265,7 +299,7 @@ def _crowded(rows: DataFrame, sketches: DataFrame) -> DataFrame:
 
     found = met.mapInArrow(run, f"a {id_type}, a_version long, b {id_type}, b_version long")
     ends = [F.struct(F.col(c).alias("id"), F.col(f"{c}_version").alias("version")).alias(c) for c in ("a", "b")]
-    return found.select(*ends)
+    return found.select(*ends).filter("a < b")
 
 
 def _settled(pairs: DataFrame, rounds: int) -> tuple[DataFrame | None, DataFrame]:
@@ -362,16 +396,31 @@ def _led(grouped: DataFrame, below: DataFrame) -> DataFrame:
     return grouped.join(leads, "key").filter("a < node").filter(maybe).select("a", F.col("node").alias("b")).distinct()
 
 
-def _paired(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs (a < b) of the rows that share a shingle and may be alike."""
+def _paired(rows: DataFrame, sketches: DataFrame, source: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """Texts (node) that go, and the pairs (a < b) of the other rows that share a shingle and may be alike.
+
+    In a crowd each text meets the least one first that it may be like. If that one has no lesser one itself, it stays, and
+    the texts like it go: of a family of near copies that leaves no pairs, where all of them would grow with its square.
+    """
     many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > FEW)
     many = written(many.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")), "many")
     few = written(rows.join(many, "key", "left_anti"), "few")
     a = few.select("key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("at").alias("there"))
     pairs = few.withColumnRenamed("node", "b").join(a, "key").filter("a < b")
-    pairs = pairs.filter(_can_be_alike(F.col("n"), F.col("at"), F.col("m"), F.col("there"))).select("a", "b")
-    crowd = _crowded(rows.join(many, "key"), sketches.dropDuplicates(["node"])).filter("a < b")
-    return pairs.unionByName(crowd.select("a", "b")).distinct()
+    pairs = pairs.filter(_can_be_alike(F.col("n"), F.col("at"), F.col("m"), F.col("there"))).select("a", "b").distinct()
+    if many.isEmpty():
+        return None, pairs
+
+    pairs = written(pairs, "apart")
+    crowd = written(rows.join(many, "key"), "crowd")
+    sketches = written(sketches.dropDuplicates(["node"]).join(crowd.select("node").distinct(), "node"), "sketches")
+    led = written(_crowded(crowd, sketches, least=True), "led")
+    below = led.select("b").unionByName(pairs.select("b")).distinct().withColumnRenamed("b", "a")
+    out = _verified(led.join(below, "a", "left_anti").distinct(), source).select(F.col("b").alias("node")).distinct()
+    out = written(out, "out")
+    for end in ("a", "b"):
+        pairs = pairs.join(out.withColumnRenamed("node", end), end, "left_anti")
+    return out, pairs.unionByName(_crowded(crowd.join(out, "node", "left_anti"), sketches)).distinct()
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -399,7 +448,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         gone = gone.unionByName(out)
         rows = written(rows.join(below, "node", "left_semi").join(out, "node", "left_anti"), "rest")
 
-    pairs = _paired(rows, own.filter("at = 0").select("node", "sketch"))
+    out, pairs = _paired(rows, own.filter("at = 0").select("node", "sketch"), source)
+    gone = gone if out is None else gone.unionByName(out)
     later = _later(_verified(pairs, source))
     return gone.unionByName(later).select("node.*")
 
